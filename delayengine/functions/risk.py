@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from delayengine.functions.rounding import nearest
+
 MEDIUM_MINUTES = 5.0
 HIGH_MINUTES = 30.0
 MEDIUM_PROBABILITY = 0.3
@@ -32,12 +34,12 @@ def label_from_probability(probability: Column) -> Column:
 def score_from_minutes(minutes: Column) -> Column:
     """Minutes as a share of an hour, held to 0.02..1, two decimals; NULL stays NULL."""
     share = F.greatest(F.lit(0.02), F.least(minutes / F.lit(60.0), F.lit(1.0)))
-    return F.when(minutes.isNotNull(), F.round(share, 2))
+    return F.when(minutes.isNotNull(), nearest(share, 2))
 
 
 def minutes_from_probability(probability: Column) -> Column:
     """Notional delay for display: probability 1 is one hour."""
-    return F.round(probability * F.lit(60.0), 1)
+    return nearest(probability * F.lit(60.0), 1)
 
 
 def congestion_band(score: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delayengine.functions.rounding import nearest
 from delayengine.schema import LABEL
 
 # (label, prediction) pairs in report order.
@@ -38,8 +39,8 @@ def class_balance(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.count_if(F.col(LABEL) == 1).alias("delayed")
     ).select(
         "total",
-        F.round(_share(delayed, total), 4).alias("delayed_pct"),
-        F.round(_share(total - delayed, total), 4).alias("on_time_pct"),
+        nearest(_share(delayed, total), 4).alias("delayed_pct"),
+        nearest(_share(total - delayed, total), 4).alias("on_time_pct"),
     )
 
 
@@ -73,15 +74,15 @@ def quality(predictions: DataFrame) -> DataFrame:
     )
     delayed = n[1, 0] + n[1, 1]
     return counts.select(
-        F.round(_share(n[0, 0] + n[1, 1], total), 4).alias("accuracy"),
-        F.round(share0 * precision0 + share1 * precision1, 4).alias("precision"),
-        F.round(share0 * recall0 + share1 * recall1, 4).alias("recall"),
-        F.round(share0 * f1_0 + share1 * f1_1, 4).alias("f1"),
+        nearest(_share(n[0, 0] + n[1, 1], total), 4).alias("accuracy"),
+        nearest(share0 * precision0 + share1 * precision1, 4).alias("precision"),
+        nearest(share0 * recall0 + share1 * recall1, 4).alias("recall"),
+        nearest(share0 * f1_0 + share1 * f1_1, 4).alias("f1"),
         cells.alias("confusion_matrix"),
         F.struct(
             total.alias("total"),
-            F.round(_share(delayed, total), 4).alias("delayed_pct"),
-            F.round(_share(total - delayed, total), 4).alias("on_time_pct"),
+            nearest(_share(delayed, total), 4).alias("delayed_pct"),
+            nearest(_share(total - delayed, total), 4).alias("on_time_pct"),
         ).alias("class_balance"),
     )
 

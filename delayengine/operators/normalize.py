@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from delayengine.functions.clock import iso_utc
 from delayengine.functions.risk import label_from_minutes, score_from_minutes
+from delayengine.functions.rounding import nearest
 from delayengine.functions.text import pick
 
 # --- Dashboard layout: accepted spellings per field, first one wins (fixed values) ---
@@ -83,7 +84,7 @@ def normalized(records: DataFrame, as_of: Column) -> DataFrame:
         _time_text(records, TIME, as_of).alias("timestamp"),
         pick(records, ("source",), "string", F.lit("api")).alias("source"),
     )
-    delay = F.coalesce("given_delay", F.round(F.col("given_risk") * F.lit(60.0), 1))
+    delay = F.coalesce("given_delay", nearest(F.col("given_risk") * F.lit(60.0), 1))
     prefix = F.when(F.length("callsign") >= 3, F.substring("callsign", 1, 3))
     risk = F.when(F.col("given_delay").isNull(), F.col("given_risk")).otherwise(
         score_from_minutes(F.col("given_delay"))
@@ -102,13 +103,13 @@ def normalized(records: DataFrame, as_of: Column) -> DataFrame:
         F.col("lat").alias("latitude"),
         F.col("lon").alias("longitude"),
         F.col("altitude").cast("int").alias("altitude"),
-        F.round("velocity", 1).alias("velocity"),
+        nearest(F.col("velocity"), 1).alias("velocity"),
         "heading",
         "on_ground",
         "crs_dep_time",
         "distance",
         "month",
-        F.round("delay", 1).alias("predicted_delay_minutes"),
+        nearest(F.col("delay"), 1).alias("predicted_delay_minutes"),
         F.lower(F.coalesce("given_label", label_from_minutes(F.col("delay")))).alias("risk_label"),
         risk.alias("delay_risk"),
         "timestamp",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from delayengine.functions.clock import iso_minute
 from delayengine.functions.risk import ALERT_SCORE, HIGH_MINUTES, MEDIUM_MINUTES
+from delayengine.functions.rounding import nearest
 from delayengine.operators.views import in_hubs
 from delayengine.schema import HUB_POSITIONS
 
@@ -91,7 +92,7 @@ def _score(model: str) -> Column:
     if per_risk:
         score = score + F.col("risk_sum") / F.col("aircraft_count") * F.lit(per_risk)
     score = score + F.col("ground_count") * F.lit(per_ground)
-    return F.least(F.lit(100.0), F.round(score, 1))
+    return F.least(F.lit(100.0), nearest(score, 1))
 
 
 def congestion(flights: DataFrame, model: str = "risk") -> DataFrame:

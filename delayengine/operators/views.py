@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayengine.functions.risk import MEDIUM_MINUTES, congestion_band
+from delayengine.functions.rounding import nearest
 from delayengine.functions.text import ground_status, route_text, title_case
 
 
@@ -43,7 +44,7 @@ def delay_rows(flights: DataFrame, minimum: float = MEDIUM_MINUTES) -> DataFrame
         "origin",
         "dest",
         F.coalesce(F.nullif("nearest_airport", F.lit("")), "origin").alias("airport"),
-        F.round(minutes, 1).alias("duration_minutes"),
+        nearest(minutes, 1).alias("duration_minutes"),
         title_case(F.coalesce("risk_label", F.lit("low"))).alias("risk_level"),
         "lat",
         "lon",

@@ -58,8 +58,8 @@ rows_v AS (
 
 def _iso(ts: str) -> str:
     return (
-        f"strftime({ts}, CASE WHEN microsecond({ts}) % 1000000 = 0 "
-        f"THEN '%Y-%m-%dT%H:%M:%S+00:00' ELSE '%Y-%m-%dT%H:%M:%S.%f+00:00' END)"
+        f"CASE WHEN microsecond({ts}) % 1000000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S+00:00') "
+        f"ELSE strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END"
     )
 
 
@@ -105,8 +105,8 @@ live_v AS (
 
 
 def _round(value: str, digits: int) -> str:
-    """Half-up on the decimal digits of a double."""
-    return f"CAST(round(CAST({value} AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    """Nearest decimal to the exact binary value of a double."""
+    return f"CAST(printf('%.{digits}f', CAST({value} AS DOUBLE)) AS DOUBLE)"
 
 
 def _label(minutes: str) -> str:
@@ -380,10 +380,12 @@ ORACLES: dict[str, str] = {
         FROM states_v LEFT JOIN {IATA} ON icao = left(callsign, 3)""",
     "states_json_parsed": f"WITH {STATES} SELECT * EXCLUDE event_id FROM states_v",
     "state_vectors": _vectors(),
-    "state_topic_json": f"""WITH {STATES} SELECT icao24 AS key, CAST(json_object('icao24', icao24,
-        'callsign', callsign, 'origin_country', origin_country, 'longitude', longitude,
-        'latitude', latitude, 'on_ground', on_ground, 'polled_at', polled_at,
-        'time_position', time_position) AS VARCHAR) AS value FROM states_v""",
+    "state_topic_json": f"""WITH {STATES} SELECT icao24 AS key, '{{"icao24":"' || icao24
+        || '","callsign":"' || callsign || '","origin_country":"' || origin_country
+        || '","longitude":' || coalesce(CAST(longitude AS VARCHAR), 'null')
+        || ',"latitude":' || coalesce(CAST(latitude AS VARCHAR), 'null')
+        || ',"on_ground":' || on_ground || ',"polled_at":"' || polled_at
+        || '","time_position":' || time_position || '}}' AS value FROM states_v""",
     "normalized_flights": f"{ALL_FLIGHTS_LIVE} SELECT * FROM normalized_v",
     "api_live_records": f"{ALL_RECORDS} SELECT * FROM api_v",
     "risk_from_delay": f"""WITH {STATES},{_trip('states_v')} SELECT event_id,
@@ -436,11 +438,11 @@ ORACLES: dict[str, str] = {
           // greatest(count(*) FILTER (WHERE NOT on_ground), 1) AS INTEGER) AS avg_altitude_ft,
         'online' AS api_status FROM normalized_v""",
     "activity_trend": f"""{ALL_FLIGHTS_LIVE}, m AS (
-        SELECT date_trunc('minute', CAST(left(timestamp, 19) AS TIMESTAMP)) AS at, on_ground, risk_label
+        SELECT date_trunc('minute', CAST(left(timestamp, 19) AS TIMESTAMP)) AS mi, on_ground, risk_label
         FROM normalized_v)
-        SELECT at AS timestamp, CAST(count(*) AS BIGINT) AS active_aircraft,
+        SELECT mi AS timestamp, CAST(count(*) AS BIGINT) AS active_aircraft,
           CAST(count(*) FILTER (WHERE {SIGNAL}) AS BIGINT) AS ground_delays
-        FROM m WHERE at >= (SELECT max(at) FROM m) - INTERVAL 90 MINUTE GROUP BY at""",
+        FROM m WHERE mi >= (SELECT max(mi) FROM m) - INTERVAL 90 MINUTE GROUP BY mi""",
     "delay_histogram": f"""{ALL_FLIGHTS_LIVE}, b AS (SELECT min(predicted_delay_minutes) AS low,
         max(predicted_delay_minutes) AS high FROM normalized_v), n AS (
         SELECT low, high, CASE WHEN high = low THEN 1 ELSE least(18,
