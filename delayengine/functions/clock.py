@@ -38,13 +38,8 @@ def utc_clock(value: Column, kind: str) -> Column:
 
 def iso_utc(moment: Column) -> Column:
     """ISO text with offset; the fraction is written only when there is one."""
-    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(moment, ".SSSSSS")
-    return F.concat(
-        whole,
-        F.when(fraction == F.lit(".000000"), F.lit("")).otherwise(fraction),
-        F.lit("+00:00"),
-    )
+    text = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.replace(text, F.lit(".000000"), F.lit("")), F.lit("+00:00"))
 
 
 def iso_minute(moment: Column) -> Column:

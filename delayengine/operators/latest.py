@@ -39,6 +39,18 @@ def unexpired(
     return states.filter(F.col(time) > horizon - F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 
+def current(
+    states: DataFrame, key: str, order: Sequence[str], ttl_seconds: int, horizon: Column | None = None
+) -> DataFrame:
+    """The newest unexpired state per key; ``order`` starts with the event time.
+
+    Expired states are dropped first: that leaves the same result, as a key's newest
+    state is expired only if all of its states are, and the time filter can reach the
+    scan so that old history is never read.
+    """
+    return latest(unexpired(states, ttl_seconds, order[0], horizon), key, order)
+
+
 def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """``stored`` with ``incoming`` written over it by key; the last incoming row wins.
 

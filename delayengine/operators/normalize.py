@@ -43,6 +43,8 @@ def _time_text(records: DataFrame, aliases: tuple[str, ...], as_of: Column) -> C
             texts.append(F.nullif(F.col(name), F.lit("")))
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             texts.append(iso_utc(F.col(name)))
+        elif isinstance(kind, T.IntegralType):
+            texts.append(iso_utc(F.timestamp_seconds(F.col(name))))
         else:
             micros = (F.col(name).cast("decimal(20,6)") * F.lit(1000000)).cast("bigint")
             texts.append(iso_utc(F.timestamp_micros(micros)))

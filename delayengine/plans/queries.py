@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayengine.functions.clock import flight_date, scheduled_hour
+from delayengine.functions.clock import scheduled_hour
 from delayengine.functions.risk import (
     congestion_band,
     label_from_minutes,
@@ -15,7 +15,6 @@ from delayengine.functions.risk import (
     minutes_from_probability,
     score_from_minutes,
 )
-from delayengine.functions.text import title_case
 from delayengine.operators import (
     clean,
     enrich,
@@ -31,7 +30,6 @@ from delayengine.operators import (
 )
 from delayengine.plans import tables
 from delayengine.plans.dashboard import normalized_live
-from delayengine.schema import FLIGHT_TYPES
 from delayengine.session import new_folder, stage
 from delayengine.sinks.tables import write_months
 from delayengine.sources import airports as airport_source
@@ -268,7 +266,9 @@ def latest_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def live_expired(spark: SparkSession, sf: str) -> DataFrame:
-    return latest.unexpired(latest_state(spark, sf), DAY, horizon=tables.newest(spark, sf))
+    return latest.current(
+        tables.states(spark, sf), "icao24", ["event_ts", "event_id"], DAY, tables.newest(spark, sf)
+    )
 
 
 def live_limit(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,10 +410,10 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def activity_trend(spark: SparkSession, sf: str) -> DataFrame:
-    now = tables.newest(spark, sf)
-    flown = normalize.positioned(normalize.normalized(tables.live(spark, sf), now))
+    minutes = F.coalesce("predicted_delay_minutes", F.lit(0.0))
+    live = tables.live(spark, sf).dropna(subset=["latitude", "longitude"])
     series = summary.density_series(
-        flown.withColumn("at", F.col("timestamp").try_cast("timestamp_ntz")), "at"
+        live.withColumn("risk_label", label_from_minutes(minutes)), "event_ts"
     )
     return summary.activity_trend(series, minutes=90)
 
@@ -449,17 +449,13 @@ def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
 def stream_density(spark: SparkSession, sf: str) -> DataFrame:
     states = _event_stream(spark, sf).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
     base = new_folder(spark, "density")
-    table = SnapshotTable(spark, f"{base}/counts")
     # One availableNow run reads the events in no particular order: nothing is late.
     counts = pipeline.minute_density(states, "origin_country", lateness="3650 days")
-    run = pipeline.run(
-        counts, pipeline.keep_newest_counts(table), f"{base}/checkpoint", "update", availableNow=True
-    )
+    sink = pipeline.counts_sink(f"{base}/counts")
+    run = pipeline.run(counts, sink, f"{base}/checkpoint", "update", availableNow=True)
     run.awaitTermination()
-    return table.read().select(
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        "region", "count", "ground_delay_count",
-    )
+    newest = pipeline.newest_counts(spark.read.parquet(f"{base}/counts"))
+    return newest.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def stream_scored(spark: SparkSession, sf: str) -> DataFrame:

@@ -151,5 +151,9 @@ def airport_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newest(spark: SparkSession, sf_dir: str) -> Column:
-    """"Now" for the views: the newest event, found from the one column it needs."""
-    return table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    """"Now" for the views: the newest event time, as a literal.
+
+    One value from a one-column scan. As a literal it folds into every expression
+    that needs it and reaches the scan in time filters.
+    """
+    return F.lit(table(spark, sf_dir, "events").agg(F.max("ts")).first()[0])

@@ -1,7 +1,5 @@
 """Table layouts and the fixed lookup values shared by every module."""
 
-from pyspark.sql import types as T
-
 # --- Canonical flights: column -> Spark type, in storage order (fixed values) ---
 FLIGHT_TYPES = {
     "FL_DATE": "string",
@@ -38,9 +36,7 @@ REQUIRED_FLIGHT_COLUMNS = (
     "DEP_DELAY", "ARR_DELAY", "CANCELLED",
 )
 
-FLIGHT_SCHEMA = T.StructType.fromDDL(
-    ", ".join(f"{name} {kind}" for name, kind in FLIGHT_TYPES.items())
-)
+FLIGHT_DDL = ", ".join(f"{name} {kind}" for name, kind in FLIGHT_TYPES.items())
 
 # --- Positions of the fields in one raw state vector, with their types (fixed values) ---
 STATE_VECTOR_TYPES = {

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from delayengine.operators.enrich import with_airport
 from delayengine.operators.features import state_features
-from delayengine.operators.latest import latest, union_all, unexpired
+from delayengine.operators.latest import current, union_all
 from delayengine.operators.model import score
 from delayengine.streaming.messages import flat_states, parse_states, without_key
 from delayengine.streaming.snapshots import SnapshotTable
@@ -28,8 +28,8 @@ def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_folder(root, batch_id))
 
 
-def _newest_first(states: DataFrame) -> DataFrame:
-    """Order states of one aircraft by time, then by content so that ties are settled."""
+def _tied(states: DataFrame) -> DataFrame:
+    """A last sort key from the row's content, so that equal times have a fixed order."""
     return states.withColumn("tie", F.xxhash64(*states.columns))
 
 
@@ -41,8 +41,7 @@ def merge_state(
     Newest is by event time, so a late message does not replace a newer one.
     """
     arrived = union_all([previous, states]) if previous is not None else states
-    current = latest(_newest_first(arrived), "icao24", ["event_ts", "tie"]).drop("tie")
-    return unexpired(current, ttl_seconds, horizon=arrived.agg(F.max("event_ts")).scalar())
+    return current(_tied(arrived), "icao24", ["event_ts", "tie"], ttl_seconds).drop("tie")
 
 
 def enriched_states(raw: DataFrame, reference: DataFrame) -> DataFrame:
@@ -116,24 +115,25 @@ def minute_density(states: DataFrame, hub: str, lateness: str = "2 minutes") ->
     )
 
 
-def keep_newest_counts(table: SnapshotTable) -> Callable[[DataFrame, int], None]:
-    """Sink for ``minute_density`` in update mode: the last count of each minute and hub stays."""
+def counts_sink(root: str) -> Callable[[DataFrame, int], None]:
+    """Sink for ``minute_density`` in update mode: each batch stores the counts it changed."""
 
     def handle(changed: DataFrame, batch_id: int) -> None:
-        fresh = changed.withColumn("batch", F.lit(batch_id))
-        previous = table.read(before=batch_id)
-        rows = fresh if previous is None else previous.unionByName(fresh)
-        counts = F.struct("count", "ground_delay_count")
-        table.write(
-            rows.groupBy("timestamp", "region")
-            .agg(F.max_by(counts, "batch").alias("c"), F.max("batch").alias("batch"))
-            .select("timestamp", "region", "c.*", "batch"),
-            batch_id,
-        )
+        write_batch(changed, root, batch_id)
 
     return handle
 
 
+def newest_counts(changes: DataFrame) -> DataFrame:
+    """The last count of each minute and hub out of everything ``counts_sink`` stored."""
+    counts = F.struct("count", "ground_delay_count")
+    return (
+        changes.groupBy("timestamp", "region")
+        .agg(F.max_by(counts, "batch_id").alias("c"))
+        .select("timestamp", "region", "c.*")
+    )
+
+
 def scored_sink(
     model: PipelineModel, output: str, mode: str = "strict"
 ) -> Callable[[DataFrame, int], None]:
