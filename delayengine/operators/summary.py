@@ -170,10 +170,11 @@ def delay_histogram(flights: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame
     minutes = flights.select(F.coalesce("predicted_delay_minutes", F.lit(0.0)).alias("m"))
     bounds = minutes.agg(F.struct(F.min("m").alias("low"), F.max("m").alias("high"))).scalar()
     low, high = bounds.getField("low"), bounds.getField("high")
-    number = F.least(F.width_bucket(F.col("m"), low, high, F.lit(bins)), F.lit(bins).cast("bigint"))
-    counted = minutes.groupBy(
-        F.coalesce(number, F.lit(1).cast("bigint")).alias("bin")
-    ).agg(F.count(F.lit(1)).alias("flights"))
+    # Equal bounds give a NULL bucket, the maximum one past the last.
+    bucket = F.coalesce(F.width_bucket(F.col("m"), low, high, F.lit(bins)), F.lit(1).cast("bigint"))
+    counted = minutes.groupBy(F.least(bucket, F.lit(bins).cast("bigint")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("flights")
+    )
     width = (high - low) / F.lit(float(bins))
     return counted.select(
         "bin", (low + (F.col("bin") - F.lit(1)) * width).alias("bin_start"), "flights"

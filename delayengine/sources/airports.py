@@ -63,5 +63,5 @@ def with_country_names(airports: DataFrame, names: DataFrame) -> DataFrame:
     return (
         airports.join(lookup, "country", "left")
         .withColumn("country", F.coalesce("country_name", "country"))
-        .drop("country_name")
+        .select(*airports.columns)
     )
