@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from delayengine.operators.features import state_features
-from delayengine.operators.model import rejected, score
+from delayengine.operators.model import rejected, score, tabulate
 from delayengine.schema import FEATURES
 from delayengine.session import get_session
 from delayengine.sources.stored import fitted_model, whole_table
@@ -25,7 +25,7 @@ def run(
     rows = whole_table(spark, source)
     if not set(FEATURES) <= set(rows.columns):
         rows = state_features(rows, F.current_timestamp(), mode)
-    score(fitted_model(model), rows).write.mode("overwrite").parquet(output)
+    score(tabulate(spark, fitted_model(model)), rows).write.mode("overwrite").parquet(output)
     if rejects:
         rejected(rows).write.mode("overwrite").parquet(rejects)
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from delayengine.operators.enrich import country_reference
+from delayengine.operators.model import tabulate
 from delayengine.session import get_session, stage
 from delayengine.sources.live import kafka_stream, text_stream
 from delayengine.sources.stored import airport_table, fitted_model
@@ -25,7 +26,9 @@ def start(
 ) -> list[StreamingQuery]:
     """State and history (and scores) in one query, per-minute counts in another."""
     root = output.rstrip("/")
-    more = pipeline.scored_sink(fitted_model(model), f"{root}/scored") if model else None
+    more = None
+    if model:
+        more = pipeline.scored_sink(tabulate(spark, fitted_model(model)), f"{root}/scored")
     # The reference is reduced and stored once, not once per micro-batch.
     reference = stage(country_reference(airports), "countries")
     live = pipeline.live_sink(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from delayengine.operators.evaluate import metrics
+from delayengine.operators.evaluate import metrics, tally
 from delayengine.operators.features import labelled, train_and_test, usable
 from delayengine.operators.model import counted, fit
 from delayengine.session import get_session
@@ -37,7 +37,7 @@ def run(
     }
     rows["test"] = rows["features"] - rows["train"]
     path = write_model(model, models, version)
-    row = metrics(model.transform(usable(test)))
+    row = metrics(model.transform(tally(usable(test))))
     write_metrics(row, models, version)
     found = json.loads(row.select(F.to_json(F.struct("*"))).first()[0])
     return {"model": path, "rows": rows, **found}

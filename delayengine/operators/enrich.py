@@ -11,7 +11,7 @@ def country_reference(airports: DataFrame, coherent: bool = False) -> DataFrame:
 
     By default the smallest code, name and timezone are taken independently and may
     stem from different airports; ``coherent`` takes all three from the airport with
-    the smallest code.
+    the smallest code (then name).
     """
     if not coherent:
         return airports.groupBy("country").agg(
@@ -19,7 +19,7 @@ def country_reference(airports: DataFrame, coherent: bool = False) -> DataFrame:
             F.min("name").alias("name"),
             F.min("timezone").alias("timezone"),
         )
-    first = F.min_by(F.struct("code", "name", "timezone"), "code")
+    first = F.min(F.struct("code", "name", "timezone"))
     return airports.groupBy("country").agg(first.alias("a")).select("country", "a.*")
 
 

@@ -1,4 +1,9 @@
-"""Model quality on held-out flights."""
+"""Model quality on held-out flights.
+
+Predictions may be one row per flight, or one row per distinct (features, label) with
+the number of flights in ``flights``, as ``tally`` makes them before the model runs.
+Both give the same figures; the second runs the model on a bounded number of rows.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +12,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayengine.functions.rounding import nearest
-from delayengine.schema import LABEL
+from delayengine.schema import FEATURES, LABEL
 
 # (label, prediction) pairs in report order.
 CELLS = ((0, 0), (0, 1), (1, 0), (1, 1))
 
 
+def tally(rows: DataFrame) -> DataFrame:
+    """Count identical rows, in one map-side-combined pass."""
+    return rows.groupBy(*FEATURES, LABEL).agg(F.count(F.lit(1)).alias("flights"))
+
+
+def _flights(predictions: DataFrame) -> Column:
+    return F.col("flights") if "flights" in predictions.columns else F.lit(1).cast("bigint")
+
+
 def _cell(label: int, prediction: int) -> str:
     return f"label_{label}_pred_{prediction}"
 
@@ -23,7 +37,9 @@ def confusion(predictions: DataFrame) -> DataFrame:
         F.lit("label_"), F.col(LABEL).cast("int").cast("string"),
         F.lit("_pred_"), F.col("prediction").cast("int").cast("string"),
     )
-    return predictions.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("flights"))
+    return predictions.groupBy(cell.alias("cell")).agg(
+        F.sum(_flights(predictions)).alias("flights")
+    )
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -51,7 +67,10 @@ def quality(predictions: DataFrame) -> DataFrame:
     """
     counts = predictions.agg(
         *[
-            F.count_if((F.col(LABEL) == l) & (F.col("prediction") == p)).alias(_cell(l, p))
+            F.coalesce(
+                F.sum(F.when((F.col(LABEL) == l) & (F.col("prediction") == p), _flights(predictions))),
+                F.lit(0).cast("bigint"),
+            ).alias(_cell(l, p))
             for l, p in CELLS
         ]
     )
@@ -88,9 +107,12 @@ def quality(predictions: DataFrame) -> DataFrame:
 
 
 def area_under_roc(predictions: DataFrame) -> float:
-    return BinaryClassificationEvaluator(
+    evaluator = BinaryClassificationEvaluator(
         labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
-    ).evaluate(predictions)
+    )
+    if "flights" in predictions.columns:
+        evaluator.setWeightCol("flights")
+    return evaluator.evaluate(predictions)
 
 
 def metrics(predictions: DataFrame) -> DataFrame:
@@ -98,7 +120,8 @@ def metrics(predictions: DataFrame) -> DataFrame:
 
     Only the predicted columns are kept while the two passes run.
     """
-    kept = predictions.select(LABEL, "prediction", "rawPrediction").persist()
+    weight = ["flights"] if "flights" in predictions.columns else []
+    kept = predictions.select(LABEL, "prediction", "rawPrediction", *weight).persist()
     try:
         auc = round(area_under_roc(kept), 4)
         row = quality(kept).first()

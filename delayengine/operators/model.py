@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from delayengine.functions.risk import (
@@ -18,6 +20,7 @@ from delayengine.functions.risk import (
 )
 from delayengine.operators.features import usable
 from delayengine.schema import FEATURES, LABEL, WEIGHT
+from delayengine.session import stage
 
 # Inclusive input ranges of the scoring contract (fixed values).
 FEATURE_RANGES = {"hour_of_day": (0, 23), "day_of_week": (1, 7), "month": (1, 12)}
@@ -62,18 +65,28 @@ def fit(train: DataFrame, collapsed: bool = False, **params) -> PipelineModel:
 
     By default every flight is a training row, bagged one by one. With ``collapsed``
     the forest is grown on summed weights without bagging: at very large row counts
-    bagged weights hardly differ from the sums, and the fit no longer grows with the data.
+    bagged weights hardly differ from the sums, the fit no longer grows with the data,
+    and the model no longer depends on how the rows are partitioned.
     """
-    rows = usable(train)
-    if collapsed:
-        return classifier(bootstrap=False, **params).fit(collapse(rows))
+    rows = collapse(usable(train)) if collapsed else _spread(usable(train))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return classifier(**params).fit(rows)
+        # The copy leaves the training summary behind: that would ship the session and
+        # the training plan with every scoring task.
+        return classifier(bootstrap=not collapsed, **params).fit(rows).copy()
     finally:
         rows.unpersist()
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for the many passes of a fit when the input comes in fewer pieces.
+
+    Large inputs have more splits than cores and are not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as they pass through whatever action comes next, without another scan."""
     seen = Observation(name)
@@ -93,54 +106,78 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.filter(~scorable())
 
 
-def _apply(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    scored = model.transform(rows)
-    probability = vector_to_array("probability")[1]
-    return scored.withColumn("delay_probability", probability).drop(
-        "carrier_idx", "features", "rawPrediction", "probability", "prediction"
+@dataclass(frozen=True)
+class ScoreTable:
+    """A model's answer to every input of the scoring contract.
+
+    The forest knows its carriers and one slot for all others, and the numbers have
+    fixed ranges: at most max_bins x 24 x 7 x 12 rows. Scoring is then a join with a
+    table of bounded size instead of a walk through all trees for every flight.
+    """
+
+    answers: DataFrame
+    known: tuple[str, ...]
+    other: str
+
+    def look_up(self, rows: DataFrame, how: str) -> DataFrame:
+        """Join ``delay_probability``; rows outside the contract find no partner."""
+        carrier = F.col("carrier")
+        key = F.when(carrier.isin(*self.known), carrier).when(
+            carrier.isNotNull(), F.lit(self.other)
+        )
+        keys = ["known_carrier", *FEATURE_RANGES]
+        keyed = rows.withColumn("known_carrier", key)
+        return keyed.join(self.answers, keys, how).select(*rows.columns, "delay_probability")
+
+
+def tabulate(spark: SparkSession, model: PipelineModel) -> ScoreTable:
+    """Run the model once over its whole input space and store the answers."""
+    known = tuple(model.stages[0].labels)
+    other = "?" * (1 + max(map(len, known), default=0))
+    grid = spark.createDataFrame([(c,) for c in (*known, other)], "carrier string")
+    for name, (low, high) in FEATURE_RANGES.items():
+        grid = grid.withColumn(name, F.explode(F.sequence(F.lit(low), F.lit(high))))
+    answers = model.transform(grid).select(
+        F.col("carrier").alias("known_carrier"),
+        *FEATURE_RANGES,
+        vector_to_array("probability")[1].alias("delay_probability"),
     )
+    return ScoreTable(stage(answers, "scores"), known, other)
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score(table: ScoreTable, rows: DataFrame) -> DataFrame:
     """Delay probability and risk label of every row within the scoring contract."""
-    scored = _apply(model, rows.filter(scorable()))
+    scored = table.look_up(rows, "inner")
     return scored.withColumn("risk_label", label_from_probability(F.col("delay_probability")))
 
 
-def fill_predictions(model: PipelineModel, flights: DataFrame) -> DataFrame:
+def fill_predictions(table: ScoreTable, flights: DataFrame) -> DataFrame:
     """Predict where ``predicted_delay_minutes`` or ``risk_label`` is absent.
 
     Rows that bring both keep them; rows outside the scoring contract get label and
-    score from their delay, as do complete rows lacking a score. All rows pass the
-    model in one scan with harmless stand-in features, so the input is not computed
-    twice. There is no cap on the number of predictions.
+    score from their delay, as do complete rows lacking a score. There is no cap on the
+    number of predictions.
     """
-    present = set(flights.columns)
-    minutes = F.col("predicted_delay_minutes") if "predicted_delay_minutes" in present else F.lit(None)
-    label = F.nullif(F.col("risk_label"), F.lit("")) if "risk_label" in present else F.lit(None)
-    risk = F.col("delay_risk") if "delay_risk" in present else F.lit(None)
-    own = {
-        "own_minutes": minutes.cast("double"),
-        "own_label": label.cast("string"),
-        "own_risk": risk.cast("double"),
-        "asked": (minutes.isNull() | label.isNull()) & scorable(),
-    }
-    stand_ins = {name: F.coalesce(name, F.lit(low)) for name, (low, _) in FEATURE_RANGES.items()}
-    originals = {f"own_{name}": F.col(name) for name in FEATURE_RANGES}
-    prepared = flights.withColumns({**own, **originals}).withColumns(stand_ins)
-    scored = _apply(model, prepared)
-
-    guess = minutes_from_probability(F.col("delay_probability"))
-    known = F.coalesce("own_minutes", F.lit(0.0))
-    filled = {
-        "delay_probability": F.when(F.col("asked"), F.col("delay_probability")),
-        "predicted_delay_minutes": F.when(F.col("asked"), guess).otherwise(F.col("own_minutes")),
-        "risk_label": F.when(
-            F.col("asked"), label_from_probability(F.col("delay_probability"))
-        ).otherwise(F.coalesce("own_label", label_from_minutes(known))),
-        "delay_risk": F.when(F.col("asked"), score_from_minutes(guess)).otherwise(
-            F.coalesce("own_risk", score_from_minutes(known))
-        ),
-        **{name: F.col(f"own_{name}") for name in FEATURE_RANGES},
-    }
-    return scored.withColumns(filled).drop(*own, *originals)
+
+    def own(name: str, kind: str) -> Column:
+        return (F.col(name) if name in flights.columns else F.lit(None)).cast(kind)
+
+    minutes, risk = own("predicted_delay_minutes", "double"), own("delay_risk", "double")
+    label = F.nullif(own("risk_label", "string"), F.lit(""))
+    wanted = minutes.isNull() | label.isNull()
+    # NULL unless a prediction is wanted and the row is within the contract.
+    probability = F.when(wanted, F.col("delay_probability"))
+    guess = minutes_from_probability(probability)
+    known = F.coalesce(minutes, F.lit(0.0))
+    return table.look_up(flights, "left").withColumns(
+        {
+            "delay_probability": probability,
+            "predicted_delay_minutes": F.coalesce(guess, minutes),
+            "risk_label": F.coalesce(
+                label_from_probability(probability), label, label_from_minutes(known)
+            ),
+            "delay_risk": F.when(probability.isNotNull(), score_from_minutes(guess)).otherwise(
+                F.coalesce(risk, score_from_minutes(known))
+            ),
+        }
+    )

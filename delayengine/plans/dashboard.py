@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 
 from delayengine.operators.features import state_features
-from delayengine.operators.model import fill_predictions
+from delayengine.operators.model import ScoreTable, fill_predictions
 from delayengine.operators.normalize import normalized, positioned
 from delayengine.operators.summary import congestion, delay_histogram, density, kpis
 from delayengine.operators.views import congestion_bars, delays, map_points, risk_table
 
 
 def normalized_live(
-    records: DataFrame, as_of: Column, model: PipelineModel | None = None
+    records: DataFrame, as_of: Column, scores: ScoreTable | None = None
 ) -> DataFrame:
-    """Positioned, normalised flights; with a model, missing predictions are made first."""
-    if model is not None:
+    """Positioned, normalised flights; given scores, missing predictions are made first."""
+    if scores is not None:
         features = state_features(records, as_of, mode="fallback")
-        records = fill_predictions(model, features).drop("month")
+        records = fill_predictions(scores, features).drop("month")
     return positioned(normalized(records, as_of))
 
 

@@ -25,7 +25,8 @@ flights_v AS (
     CAST(CASE WHEN l_linenumber % 2 = 1 AND arr > 15 THEN arr END AS FLOAT) AS WEATHER_DELAY
   FROM (
     SELECT *, dep + l_partkey % 21 - 10 AS arr
-    FROM (SELECT *, CASE WHEN l_linenumber <> 7 THEN l_quantity * 2 - 20 END AS dep FROM lineitem)
+    FROM (SELECT *, CASE WHEN l_linenumber <> 7 THEN l_quantity - 55 + l_suppkey % 8 * 3
+        + CASE WHEN l_orderkey % 25 = 24 THEN 0 ELSE l_orderkey % 25 END * 2 END AS dep FROM lineitem)
   ) l
   JOIN nation o ON o.n_nationkey = l_suppkey % 25
   JOIN nation d ON d.n_nationkey = l_partkey % 25
@@ -346,10 +347,9 @@ ORACLES: dict[str, str] = {
         {_round("count(*) FILTER (WHERE is_delayed = 1) / count(*)", 4)} AS delayed_pct,
         {_round("count(*) FILTER (WHERE is_delayed = 0) / count(*)", 4)} AS on_time_pct FROM rows_v""",
     "country_reference": f"WITH {AIRPORT_TEXTS} SELECT * FROM countries_v",
-    "country_reference_coherent": f"""WITH {AIRPORT_TEXTS}, f AS (
-        SELECT country, min(code) AS code FROM airports_v GROUP BY country)
-        SELECT DISTINCT a.country, a.code, a.name, a.timezone FROM airports_v a
-        JOIN f ON f.country = a.country AND f.code = a.code""",
+    "country_reference_coherent": f"""WITH {AIRPORT_TEXTS}
+        SELECT country, code, name, timezone FROM (SELECT *, row_number() OVER
+          (PARTITION BY country ORDER BY code, name, timezone) AS rn FROM airports_v) WHERE rn = 1""",
     "airports_filtered": f"WITH {AIRPORT_TEXTS} SELECT * FROM airports_v",
     "airports_rejected": f"""WITH {AIRPORT_TEXTS} SELECT * FROM served_v
         WHERE TRY_CAST(latitude_deg AS DOUBLE) IS NULL""",

@@ -185,15 +185,20 @@ def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return features.train_and_test(features.labelled(_flights(spark, sf)), tables.ROW_ID)
 
 
-def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+def _scores(spark: SparkSession, sf: str) -> model.ScoreTable:
+    """A model to score with, grown on collapsed rows."""
+    return model.tabulate(spark, model.fit(_split(spark, sf)[0], collapsed=True))
+
+
+def _predictions(spark: SparkSession, sf: str, collapsed: bool = False) -> DataFrame:
     train, test = _split(spark, sf)
-    return model.fit(train).transform(features.usable(test))
+    fitted = model.fit(train, collapsed)
+    return fitted.transform(evaluate.tally(features.usable(test)))
 
 
 def scored_flights(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = _split(spark, sf)
     rows = features.with_calendar(_flights(spark, sf)).withColumnRenamed("OP_CARRIER", "carrier")
-    scored = model.score(model.fit(train), rows)
+    scored = model.score(_scores(spark, sf), rows)
     return scored.select(
         *tables.ROW_ID, "carrier", "hour_of_day", "day_of_week", "month",
         "delay_probability", "risk_label",
@@ -208,11 +213,15 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.metrics(_predictions(spark, sf))
 
 
+def collapsed_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.metrics(_predictions(spark, sf, collapsed=True))
+
+
 def predictions_filled(spark: SparkSession, sf: str) -> DataFrame:
     """Live flights whose missing predictions come from the model, then normalised."""
-    train, _ = _split(spark, sf)
-    live = tables.live(spark, sf)
-    return normalized_live(live, tables.newest(spark, sf), model.fit(train))
+    return normalized_live(
+        tables.live(spark, sf), tables.newest(spark, sf), _scores(spark, sf)
+    )
 
 
 # --- Live: states --------------------------------------------------------------------
@@ -459,9 +468,8 @@ def stream_density(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = _split(spark, sf)
     base = new_folder(spark, "scored")
-    sink = pipeline.scored_sink(model.fit(train), f"{base}/rows")
+    sink = pipeline.scored_sink(_scores(spark, sf), f"{base}/rows")
     stream = _event_stream(spark, sf)
     pipeline.run(stream, sink, f"{base}/checkpoint", availableNow=True).awaitTermination()
     return spark.read.parquet(f"{base}/rows").select(
@@ -478,7 +486,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hour_of_day, by_route, by_carrier, by_hour, stats_grouping_sets, route_features,
         quality_report, quality_summary, enriched_quality, live_quality,
         temporal_features, labelled, training_rows, training_cells, class_balance,
-        scored_flights, confusion_matrix, model_metrics, predictions_filled,
+        scored_flights, confusion_matrix, model_metrics,
+        collapsed_model_metrics, predictions_filled,
         country_reference, country_reference_coherent, airports_filtered, airports_rejected,
         airports_upsert, state_enriched, latest_state, live_expired, live_limit,
         carrier_strict, carrier_fallback, state_features, states_json_parsed, state_vectors,

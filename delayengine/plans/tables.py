@@ -7,8 +7,11 @@ into the operator under test.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delayengine.functions.clock import iso_utc
 from delayengine.schema import CSV_NAMES, FLIGHT_TYPES, HUB_POSITIONS
@@ -19,10 +22,16 @@ HUBS = tuple(HUB_POSITIONS)
 ROW_ID = ("l_orderkey", "l_linenumber")
 
 
+@cache
+def _layout(sf_dir: str, name: str) -> T.StructType:
+    return SparkSession.active().read.parquet(f"{sf_dir}/{name}.parquet").schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table; its footer is read for the schema once per process."""
     # Epoch seconds and the calendar fields derived from them are UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_layout(sf_dir, name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _one_of(values: tuple[str, ...], index: Column) -> Column:
@@ -38,7 +47,9 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as canonical flights, with the line's key as row id."""
     order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     cancelled = F.col("l_linenumber") == F.lit(7)
-    dep = F.when(~cancelled, F.col("l_quantity") * F.lit(2.0) - F.lit(20.0))
+    hour = F.when(order % 25 == 24, F.lit(0)).otherwise(order % 25)
+    # Later hours and some carriers run later, so that there is something to learn.
+    dep = F.when(~cancelled, F.col("l_quantity") - F.lit(55.0) + hour * 2 + supplier % 8 * 3)
     arr = dep + (part % 21) - F.lit(10.0)
     cause = F.when(arr > F.lit(15.0), arr)
     odd = F.col("l_linenumber") % 2 == F.lit(1)

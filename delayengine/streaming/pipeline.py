@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from delayengine.operators.enrich import with_airport
 from delayengine.operators.features import state_features
 from delayengine.operators.latest import current, union_all
-from delayengine.operators.model import score
+from delayengine.operators.model import ScoreTable, score
 from delayengine.streaming.messages import flat_states, parse_states, without_key
 from delayengine.streaming.snapshots import SnapshotTable
 
@@ -135,12 +134,12 @@ def newest_counts(changes: DataFrame) -> DataFrame:
 
 
 def scored_sink(
-    model: PipelineModel, output: str, mode: str = "strict"
+    scores: ScoreTable, output: str, mode: str = "strict"
 ) -> Callable[[DataFrame, int], None]:
     """Score each micro-batch of flat states; unknown airlines get no prediction."""
 
     def handle(states: DataFrame, batch_id: int) -> None:
         features = state_features(states, F.col("event_ts"), mode)
-        write_batch(score(model, features), output, batch_id)
+        write_batch(score(scores, features), output, batch_id)
 
     return handle

@@ -4,6 +4,7 @@ import json
 import math
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -34,33 +35,38 @@ def fitted(train):
     return model.fit(train)
 
 
+@pytest.fixture(scope="module")
+def scores(spark, fitted):
+    return model.tabulate(spark, fitted)
+
+
 def frame(spark, *rows):
     return spark.createDataFrame(list(rows), DDL)
 
 
-def test_probabilities(spark, fitted):
+def test_probabilities(spark, fitted, scores):
     row = fitted.transform(frame(spark, ("AA", 14, 4, 7))).first()
     assert all(0.0 <= p <= 1.0 for p in row.probability) and math.isclose(sum(row.probability), 1.0, abs_tol=1e-6)
-    assert model.score(fitted, frame(spark, ("AA", 14, 4, 7))).first().delay_probability == row.probability[1]
+    assert model.score(scores, frame(spark, ("AA", 14, 4, 7))).first().delay_probability == row.probability[1]
 
 
-def test_unseen_carrier_gives_numbers(spark, fitted):
-    rows = model.score(fitted, frame(spark, ("AA", 6, 1, 3), ("DL", 22, 7, 12), ("UNKNOWN", 14, 4, 6))).collect()
+def test_unseen_carrier_gives_numbers(spark, fitted, scores):
+    rows = model.score(scores, frame(spark, ("AA", 6, 1, 3), ("DL", 22, 7, 12), ("UNKNOWN", 14, 4, 6))).collect()
     assert len(rows) == 3 and not any(math.isnan(r.delay_probability) for r in rows)
     assert {r.risk_label for r in rows} <= {"low", "medium", "high"}
     predictions = fitted.transform(frame(spark, ("UNKNOWN", 14, 4, 6), (None, 14, 4, 6))).collect()
     assert all(r.prediction in (0.0, 1.0) for r in predictions)
 
 
-def test_scoring_repeats(spark, fitted):
+def test_scoring_repeats(spark, fitted, scores):
     row = frame(spark, ("UA", 10, 3, 5))
-    first, second = (model.score(fitted, row).first().delay_probability for _ in range(2))
+    first, second = (model.score(scores, row).first().delay_probability for _ in range(2))
     assert first == second
 
 
-def test_rows_outside_the_contract_are_set_aside(spark, fitted):
+def test_rows_outside_the_contract_are_set_aside(spark, fitted, scores):
     rows = frame(spark, ("AA", 24, 1, 1), ("AA", 0, 0, 1), ("AA", 0, 1, 13), (None, 0, 1, 1), ("AA", None, 1, 1), ("AA", 23, 7, 12))
-    assert model.score(fitted, rows).count() == 1 and model.rejected(rows).count() == 5
+    assert model.score(scores, rows).count() == 1 and model.rejected(rows).count() == 5
 
 
 def test_training_ignores_null_numbers_and_takes_many_carriers(spark, train):
@@ -78,22 +84,22 @@ def test_collapsed_cells_keep_all_weight(train):
     assert cells.count() == 10 and cells.agg(F.sum("class_weight")).first()[0] == 30.0
 
 
-def test_saved_model_scores_the_same(spark, fitted, tmp_path):
+def test_saved_model_scores_the_same(spark, fitted, scores, tmp_path):
     path = write_model(fitted, str(tmp_path), "v1")
     again = fitted_model(path)
     rows = frame(spark, ("UA", 10, 3, 5))
-    assert model.score(again, rows).first() == model.score(fitted, rows).first()
+    assert model.score(model.tabulate(spark, again), rows).first() == model.score(scores, rows).first()
 
 
-def test_missing_predictions_are_filled(spark, fitted):
+def test_missing_predictions_are_filled(spark, fitted, scores):
     rows = spark.createDataFrame(
         [("a", "AA", 14, 4, 7, None, None, None), ("b", "AA", 14, 4, 7, 12.0, "high", 0.9),
          ("c", "AA", 14, 4, 7, 12.0, "", None), ("d", None, 14, 4, 7, 12.0, None, None), ("e", "AA", None, 4, 7, None, None, None),
          ("f", "AA", 99, 4, 7, 7.0, "low", None)],
         f"icao24 string, {DDL}, predicted_delay_minutes double, risk_label string, delay_risk double",
     )
-    probability = model.score(fitted, frame(spark, ("AA", 14, 4, 7))).first().delay_probability
-    filled = model.fill_predictions(fitted, rows)
+    probability = model.score(scores, frame(spark, ("AA", 14, 4, 7))).first().delay_probability
+    filled = model.fill_predictions(scores, rows)
     got = {r.icao24: r for r in filled.collect()}
     assert set(rows.columns) | {"delay_probability"} == set(filled.columns)
     minutes = round(probability * 60, 1)
@@ -106,6 +112,26 @@ def test_missing_predictions_are_filled(spark, fitted):
     assert (got["f"].delay_risk, got["f"].hour_of_day) == (0.12, 99)
 
 
+def test_score_table_is_the_model(spark, fitted, scores):
+    assert scores.answers.count() == 6 * 24 * 7 * 12
+    rows = spark.range(3000).select(
+        F.element_at(F.array(*map(F.lit, ("AA", "DL", "UA", "WN", "B6", "??", "other"))), (F.col("id") % 7 + 1).cast("int")).alias("carrier"),
+        (F.col("id") % 24).cast("int").alias("hour_of_day"), (F.col("id") % 7 + 1).cast("int").alias("day_of_week"),
+        (F.col("id") % 12 + 1).cast("int").alias("month"),
+    )
+    direct = fitted.transform(rows).select(*FEATURES, vector_to_array("probability")[1].alias("delay_probability"))
+    looked_up = model.score(scores, rows).drop("risk_label")
+    assert direct.exceptAll(looked_up).count() == 0 == looked_up.exceptAll(direct).count()
+    assert "BroadcastHashJoin" in looked_up._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tallied_metrics_are_the_same(spark, fitted, train):
+    rows = train.unionByName(train.filter("month > 5")).unionByName(train.limit(3).withColumn("is_delayed", F.lit(1)))
+    plain = evaluate.metrics(fitted.transform(rows)).first()
+    tallied = evaluate.metrics(fitted.transform(evaluate.tally(rows))).first()
+    assert plain == tallied and plain.class_balance.total == rows.count()
+
+
 def predictions(spark):
     pairs = [(0, 0.0)] * 50 + [(0, 1.0)] * 7 + [(1, 0.0)] * 12 + [(1, 1.0)] * 9
     return spark.createDataFrame(pairs, "is_delayed int, prediction double")
