@@ -313,14 +313,20 @@ def states_json_parsed(spark: SparkSession, sf: str) -> DataFrame:
 def state_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as a polled document: one full vector and one cut short after its callsign."""
     states = tables.states(spark, sf)
-    fields = [
-        F.coalesce(F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2), F.lit("null"))
+    texts = [
+        F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in ("icao24", "callsign", "origin_country")
+    ]
+    others = [
+        F.coalesce(F.col(c).cast("string"), F.lit("null"))
         for c in (
-            "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
-            "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate",
+            "time_position", "last_contact", "longitude", "latitude", "baro_altitude",
+            "on_ground", "velocity", "true_track", "vertical_rate",
         )
     ]
-    vector = F.concat_ws(",", *fields, F.lit("null"), F.col("geo_altitude").cast("string"), F.lit("null,false,0"))
+    fields = [*texts, *others]
+    vector = F.concat_ws(
+        ",", *fields, F.lit("null"), F.col("geo_altitude").cast("string"), F.lit("null,false,0")
+    )
     short = F.concat_ws(",", *fields[:2])
     document = F.concat(
         F.lit('{"time":'), F.col("time_position").cast("string"), F.lit(',"states":[['), vector,
