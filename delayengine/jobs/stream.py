@@ -13,27 +13,37 @@ from pyspark.sql.streaming import StreamingQuery
 from delayengine.operators.enrich import country_reference
 from delayengine.operators.model import tabulate
 from delayengine.session import get_session, stage
+from delayengine.sinks.topics import publish_kafka
 from delayengine.sources.live import kafka_stream, text_stream
 from delayengine.sources.stored import airport_table, fitted_model
 from delayengine.streaming import pipeline
 from delayengine.streaming.messages import flat_states, parse_states, without_key
 from delayengine.streaming.snapshots import SnapshotTable
 
+# Keeps the counts' state on local disk instead of the executors' heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def start(
     spark: SparkSession, raw: DataFrame, airports: DataFrame, output: str,
-    ttl_seconds: int = pipeline.DEFAULT_TTL_SECONDS, model: str | None = None, **trigger,
+    ttl_seconds: int = pipeline.DEFAULT_TTL_SECONDS, model: str | None = None,
+    enriched_topic: tuple[str, str] | None = None, **trigger,
 ) -> list[StreamingQuery]:
-    """State and history (and scores) in one query, per-minute counts in another."""
+    """State and history (and scores, and the enriched topic) in one query, counts in another.
+
+    ``enriched_topic`` is (servers, topic); a replayed batch is published again.
+    """
     root = output.rstrip("/")
-    more = None
+    extras = []
     if model:
-        more = pipeline.scored_sink(tabulate(spark, fitted_model(model)), f"{root}/scored")
+        extras.append(pipeline.scored_sink(tabulate(spark, fitted_model(model)), f"{root}/scored"))
+    if enriched_topic:
+        extras.append(lambda states, _: publish_kafka(states, *enriched_topic))
     # The reference is reduced and stored once, not once per micro-batch.
     reference = stage(country_reference(airports), "countries")
     live = pipeline.live_sink(
         reference, SnapshotTable(spark, f"{root}/state"), f"{root}/history", f"{root}/rejects",
-        ttl_seconds, more,
+        ttl_seconds, extras,
     )
     states = flat_states(parse_states(raw).filter(~without_key()))
     counts = pipeline.minute_density(states, "origin_country")
@@ -52,10 +62,11 @@ def main() -> None:
     args.add_argument("--airports", required=True)
     args.add_argument("--output", required=True)
     args.add_argument("--model")
+    args.add_argument("--enriched-topic", help="also publish enriched states, to the same servers")
     args.add_argument("--ttl-seconds", type=int, default=pipeline.DEFAULT_TTL_SECONDS)
     args.add_argument("--once", action="store_true", help="process what is there and end")
     given = args.parse_args()
-    spark = get_session("live-states")
+    spark = get_session("live-states", spark__sql__streaming__stateStore__providerClass=ROCKSDB)
     if given.folder:
         raw = text_stream(spark, given.folder)
     else:
@@ -63,7 +74,8 @@ def main() -> None:
     trigger = {"availableNow": True} if given.once else {}
     queries = start(
         spark, raw, airport_table(spark, given.airports), given.output, given.ttl_seconds,
-        given.model, **trigger,
+        given.model, (given.servers, given.enriched_topic) if given.enriched_topic else None,
+        **trigger,
     )
     for query in queries:
         query.awaitTermination()

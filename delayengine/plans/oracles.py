@@ -420,6 +420,9 @@ ORACLES: dict[str, str] = {
     "congestion_risk": f"""{CURRENT},{HUB_SCORES} SELECT *,
         CASE WHEN score < 50 THEN 'green' WHEN score < 75 THEN 'orange' ELSE 'red' END AS band
         FROM scores_v ORDER BY score DESC, hub""",
+    "congestion_chart": f"""{ALL_FLIGHTS_LIVE},{HUB_SCORES} SELECT hub, score,
+        CASE WHEN score < 50 THEN 'green' WHEN score < 75 THEN 'orange' ELSE 'red' END AS band
+        FROM scores_v ORDER BY score, hub""",
     "api_density": f"""{CURRENT_RECORDS} SELECT nearest_airport AS region, count(*) AS count,
         count(*) FILTER (WHERE on_ground) AS ground_delay_count,
         strftime(now, '%Y-%m-%dT%H:%M:00+00:00') AS timestamp

@@ -408,6 +408,10 @@ def congestion_risk(spark: SparkSession, sf: str) -> DataFrame:
     return scores.withColumn("band", congestion_band(F.col("score")))
 
 
+def congestion_chart(spark: SparkSession, sf: str) -> DataFrame:
+    return views.congestion_bars(summary.congestion(_normalized(spark, sf)))
+
+
 def _service_records(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.api_records(_latest_live(spark, sf), tables.newest(spark, sf))
 
@@ -499,7 +503,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         carrier_strict, carrier_fallback, state_features, states_json_parsed, state_vectors,
         state_topic_json, normalized_flights, api_live_records, risk_from_delay,
         risk_from_probability, delays_top, risk_table, map_points, density, congestion_risk,
-        api_density, congestion_load, kpis, activity_trend, delay_histogram,
+        congestion_chart, api_density, congestion_load, kpis, activity_trend, delay_histogram,
         stream_latest_state, stream_density, stream_scored,
     )
 }

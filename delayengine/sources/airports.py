@@ -53,6 +53,15 @@ def rejected_airports(text: DataFrame) -> DataFrame:
     return text.filter(_served() & (lat.isNull() | lon.isNull()))
 
 
+def reference_scan(spark: SparkSession, source: str, **options: str) -> DataFrame:
+    """The stored reference from any Spark data source, such as a document store's.
+
+    Only the columns the enrichment needs are asked of it.
+    """
+    stored = spark.read.format(source).options(**options).load()
+    return stored.select("code", "name", "timezone", "country")
+
+
 def with_country_names(airports: DataFrame, names: DataFrame) -> DataFrame:
     """Replace a country code by its name, from ``names(code, country_name)``.
 

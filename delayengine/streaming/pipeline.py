@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +55,7 @@ def live_sink(
     history: str,
     rejects: str,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
-    more: Callable[[DataFrame, int], None] | None = None,
+    extras: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> Callable[[DataFrame, int], None]:
     """What to do with a raw micro-batch: append the history, refresh the state table.
 
@@ -76,8 +76,8 @@ def live_sink(
         reader = raw.sparkSession.read.schema(enriched.schema)
         stored = reader.parquet(batch_folder(history, batch_id))
         state.write(merge_state(state.read(before=batch_id), stored, ttl_seconds), batch_id)
-        if more:
-            more(stored, batch_id)
+        for extra in extras:
+            extra(stored, batch_id)
 
     return handle
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from delayengine.jobs import quality as quality_job
 from delayengine.jobs import stream as stream_job
 from delayengine.operators import model
-from delayengine.session import get_session, new_folder, shared_folder
+from delayengine.operators.enrich import country_reference
+from delayengine.session import get_session, new_folder, shared_folder, stage
+from delayengine.sources.airports import reference_scan
 from delayengine.sources.live import kafka_stream, text_stream
 from delayengine.streaming import pipeline
 from delayengine.streaming.snapshots import SnapshotTable
@@ -68,6 +70,26 @@ def test_state_history_and_rejects(spark, airports, tmp_path):
     assert not all(r.passed for r in quality_job.report(spark, "live", None, None, f"{out}/none").collect())
 
 
+def test_stream_joins_the_reference_directly(spark, airports, tmp_path):
+    """The enrichment is a stream-static left join in its own right."""
+    drop(f"{tmp_path}/in", "1.json", message("a", "10:00:00", origin_country="X"), message("b", "10:00:00"))
+    reference = stage(country_reference(airports), "countries")
+    enriched = pipeline.enriched_states(text_stream(spark, f"{tmp_path}/in"), reference)
+    assert enriched.isStreaming
+    out = f"{tmp_path}/out"
+    query = enriched.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/c")
+    query.trigger(availableNow=True).start().awaitTermination()
+    rows = {r.icao24: r.origin_airport_icao_code for r in spark.read.parquet(out).collect()}
+    assert rows == {"a": "KAA", "b": None}
+
+
+def test_reference_from_any_source(spark, airports, tmp_path):
+    path = str(tmp_path / "airports")
+    airports.withColumn("extra", F.lit(1)).write.json(path)
+    read = reference_scan(spark, "json", path=path)
+    assert read.columns == ["code", "name", "timezone", "country"] and read.count() == 2
+
+
 def test_replayed_batch_changes_nothing(spark, airports, tmp_path):
     root = str(tmp_path)
     table = SnapshotTable(spark, f"{root}/state")
