@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from delayengine.operators.latest import unexpired
 from delayengine.operators.normalize import api_records, first_records
 from delayengine.streaming.snapshots import SnapshotTable
 
@@ -22,11 +23,19 @@ def airport_table(spark: SparkSession, root: str) -> DataFrame:
     return airports
 
 
-def live_records(spark: SparkSession, root: str, as_of: Column, limit: int = 500) -> DataFrame:
-    """Positioned records of the current state in the service layout, first by aircraft."""
+def live_records(
+    spark: SparkSession, root: str, as_of: Column, limit: int = 500, ttl_seconds: int | None = None
+) -> DataFrame:
+    """Positioned records of the current state in the service layout, first by aircraft.
+
+    With ``ttl_seconds``, states that have grown too old since the last batch are left
+    out as well, measured from ``as_of``.
+    """
     state = SnapshotTable(spark, root).read()
     if state is None:
         raise FileNotFoundError(f"no live state at {root}")
+    if ttl_seconds is not None:
+        state = unexpired(state, ttl_seconds, horizon=as_of)
     return first_records(api_records(state, as_of), limit)
 
 

@@ -312,5 +312,16 @@ def test_live_records_come_ordered_and_limited(spark, tmp_path):
         live_records(spark, str(tmp_path / "none"), now())
 
 
+def test_live_records_can_expire_on_reading(spark, tmp_path):
+    state = SnapshotTable(spark, str(tmp_path / "state"))
+    times = spark.createDataFrame(
+        [("old", 1.0, 1.0, "2024-05-01 10:10:12"), ("new", 1.0, 1.0, "2024-05-01 10:10:13")],
+        "icao24 string, latitude double, longitude double, t string",
+    )
+    state.write(times.withColumn("event_ts", F.col("t").cast("timestamp")).drop("t"), 0)
+    assert [r.icao24 for r in live_records(spark, state.root, now(), ttl_seconds=60).collect()] == ["new"]
+    assert live_records(spark, state.root, now()).count() == 2
+
+
 def test_iso_of_as_of(spark):
     assert spark.range(1).select(iso_utc(now())).first()[0] == "2024-05-01T10:11:12+00:00"
