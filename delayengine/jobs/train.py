@@ -13,9 +13,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from delayengine.operators.evaluate import metrics, tally
-from delayengine.operators.features import labelled, train_and_test, usable
+from delayengine.operators.features import labelled, split_rows, train_and_test, usable
 from delayengine.operators.model import counted, fit
-from delayengine.session import get_session
+from delayengine.session import get_session, stage
 from delayengine.sinks.tables import write_metrics, write_model
 from delayengine.sources.flights import scan_years
 
@@ -24,23 +24,26 @@ def run(
     spark: SparkSession, source: str, models: str, version: str, years: Sequence[int],
     seed: int = 42, collapsed: bool = False, extra_identity: Sequence[str] = (), **params,
 ) -> dict:
-    """Returns the metrics, with the row counts seen on the way."""
+    """Returns the metrics, with the row counts seen on the way.
+
+    Collapsed, the flights are read once altogether: training and evaluation both work
+    on the tallied rows.
+    """
     raw, raw_seen = counted(scan_years(spark, source, years), "raw")
-    flights, feature_seen = counted(labelled(raw), "features")
-    train, test = train_and_test(flights, extra_identity, seed)
-    train, train_seen = counted(train, "train")
+    rows, seen = counted(split_rows(labelled(raw), extra_identity, seed), "features")
+    if collapsed:
+        rows = stage(tally(usable(rows), "held_out"), "tally")
+    train, test = train_and_test(rows)
     model = fit(train, collapsed, seed=seed, **params)
-    rows = {
-        "raw": raw_seen.get["rows"],
-        "features": feature_seen.get["rows"],
-        "train": train_seen.get["rows"],
-    }
-    rows["test"] = rows["features"] - rows["train"]
     path = write_model(model, models, version)
-    row = metrics(model.transform(tally(usable(test))))
+    tested = test if collapsed else tally(usable(test))
+    row = metrics(model.transform(tested))
     write_metrics(row, models, version)
     found = json.loads(row.select(F.to_json(F.struct("*"))).first()[0])
-    return {"model": path, "rows": rows, **found}
+    counts = {"raw": raw_seen.get["rows"], "features": seen.get["rows"]}
+    counts["test"] = found["class_balance"]["total"]
+    counts["train"] = counts["features"] - counts["test"]
+    return {"model": path, "rows": counts, **found}
 
 
 def main() -> None:

@@ -18,9 +18,9 @@ from delayengine.schema import FEATURES, LABEL
 CELLS = ((0, 0), (0, 1), (1, 0), (1, 1))
 
 
-def tally(rows: DataFrame) -> DataFrame:
-    """Count identical rows, in one map-side-combined pass."""
-    return rows.groupBy(*FEATURES, LABEL).agg(F.count(F.lit(1)).alias("flights"))
+def tally(rows: DataFrame, *more: str) -> DataFrame:
+    """Count identical rows (also by ``more`` columns), in one map-side-combined pass."""
+    return rows.groupBy(*FEATURES, LABEL, *more).agg(F.count(F.lit(1)).alias("flights"))
 
 
 def _flights(predictions: DataFrame) -> Column:

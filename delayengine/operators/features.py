@@ -57,15 +57,28 @@ def holdout_flag(identity: Sequence[str] = FLIGHT_IDENTITY, seed: int = 42) -> C
     return F.pmod(F.xxhash64(F.lit(seed), *identity), F.lit(10)) >= F.lit(8)
 
 
-def train_and_test(
+def split_rows(
     flights: DataFrame, extra_identity: Sequence[str] = (), seed: int = 42
-) -> tuple[DataFrame, DataFrame]:
-    """Weighted training rows and unweighted test rows from labelled flights."""
+) -> DataFrame:
+    """Feature rows of labelled flights with ``held_out`` telling test from training.
+
+    The flag is set before the features are cut out: equal features must not all land
+    on one side.
+    """
     flag = holdout_flag((*FLIGHT_IDENTITY, *extra_identity), seed)
-    rows = feature_rows(with_calendar(flights.withColumn("held_out", flag)), ["held_out"])
-    train = rows.filter(~F.col("held_out")).drop("held_out")
-    test = rows.filter(F.col("held_out")).drop("held_out")
-    return weighted(train), weighted(test, 1.0)
+    return feature_rows(with_calendar(flights.withColumn("held_out", flag)), ["held_out"])
+
+
+def train_and_test(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Weighted training rows and unweighted test rows out of ``split_rows``.
+
+    Rows tallied into ``flights`` weigh that many times as much.
+    """
+    train = weighted(rows.filter(~F.col("held_out")).drop("held_out"))
+    test = weighted(rows.filter(F.col("held_out")).drop("held_out"), 1.0)
+    if "flights" in rows.columns:
+        train = train.withColumn(WEIGHT, F.col(WEIGHT) * F.col("flights")).drop("flights")
+    return train, test
 
 
 def weighted(rows: DataFrame, delayed_weight: float = DELAYED_WEIGHT) -> DataFrame:

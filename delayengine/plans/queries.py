@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayengine.functions.clock import scheduled_hour
@@ -132,7 +132,7 @@ def route_features(spark: SparkSession, sf: str) -> DataFrame:
 # --- Batch: quality ------------------------------------------------------------------
 
 
-def _today() -> F.Column:
+def _today() -> Column:
     return F.lit("2001-12-31").cast("date")
 
 
@@ -181,19 +181,29 @@ def class_balance(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.class_balance(_feature_rows(spark, sf))
 
 
-def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return features.train_and_test(features.labelled(_flights(spark, sf)), tables.ROW_ID)
+def _rows(spark: SparkSession, sf: str) -> DataFrame:
+    return features.usable(
+        features.split_rows(features.labelled(_flights(spark, sf)), tables.ROW_ID)
+    )
+
+
+def holdout_tally(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.tally(_rows(spark, sf), "held_out")
+
+
+def _tallied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows from a single scan of the flights."""
+    return features.train_and_test(stage(holdout_tally(spark, sf), "tally"))
 
 
 def _scores(spark: SparkSession, sf: str) -> model.ScoreTable:
     """A model to score with, grown on collapsed rows."""
-    return model.tabulate(spark, model.fit(_split(spark, sf)[0], collapsed=True))
+    return model.tabulate(spark, model.fit(_tallied(spark, sf)[0], collapsed=True))
 
 
-def _predictions(spark: SparkSession, sf: str, collapsed: bool = False) -> DataFrame:
-    train, test = _split(spark, sf)
-    fitted = model.fit(train, collapsed)
-    return fitted.transform(evaluate.tally(features.usable(test)))
+def _predictions(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = features.train_and_test(_rows(spark, sf))
+    return model.fit(train).transform(evaluate.tally(test))
 
 
 def scored_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,7 +224,8 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collapsed_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.metrics(_predictions(spark, sf, collapsed=True))
+    train, test = _tallied(spark, sf)
+    return evaluate.metrics(model.fit(train, collapsed=True).transform(test))
 
 
 def predictions_filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -496,7 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hour_of_day, by_route, by_carrier, by_hour, stats_grouping_sets, route_features,
         quality_report, quality_summary, enriched_quality, live_quality,
         temporal_features, labelled, training_rows, training_cells, class_balance,
-        scored_flights, confusion_matrix, model_metrics,
+        holdout_tally, scored_flights, confusion_matrix, model_metrics,
         collapsed_model_metrics, predictions_filled,
         country_reference, country_reference_coherent, airports_filtered, airports_rejected,
         airports_upsert, state_enriched, latest_state, live_expired, live_limit,

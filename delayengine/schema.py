@@ -68,8 +68,6 @@ LIVE_STATE_DDL = (
     "time_position bigint, last_contact bigint, geo_altitude float, vertical_rate float"
 )
 
-AIRPORT_COLUMNS = ("code", "name", "latitude", "longitude", "timezone", "country")
-
 FEATURES = ("carrier", "hour_of_day", "day_of_week", "month")
 LABEL = "is_delayed"
 WEIGHT = "class_weight"

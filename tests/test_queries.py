@@ -19,7 +19,7 @@ def test_entry_gives_rows(spark):
 
 def test_only_model_queries_lack_sql():
     assert set(driver.queries()) - set(driver.oracle_sql()) == {
-        "scored_flights", "confusion_matrix", "model_metrics", "collapsed_model_metrics",
+        "holdout_tally", "scored_flights", "confusion_matrix", "model_metrics", "collapsed_model_metrics",
         "predictions_filled", "stream_scored",
     }
 
