@@ -22,11 +22,15 @@ def parse_states(raw: DataFrame) -> DataFrame:
 
 
 def flat_states(parsed: DataFrame) -> DataFrame:
-    """The flight's fields with ``event_ts``: the poll time, else the time of arrival."""
+    """The flight's fields with ``event_ts``: the poll time, at most the time of arrival.
+
+    A message without a readable poll time takes the time of arrival. One from the
+    future does too: left alone it would expire every other aircraft.
+    """
     arrived = F.col("arrived_at") if "arrived_at" in parsed.columns else F.lit(None)
     polled = F.col("flight.polled_at").try_cast("timestamp")
     return parsed.withColumn(
-        "event_ts", F.coalesce(polled, arrived.cast("timestamp"))
+        "event_ts", F.least(polled, arrived.cast("timestamp"))
     ).select("flight.*", "event_ts").drop(CORRUPT)
 
 

@@ -267,14 +267,15 @@ def test_one_airport_per_country(spark):
 def test_messages_survive_bad_json(spark):
     raw = spark.createDataFrame(
         [('{"icao24":"a","longitude":1.5,"extra":1,"polled_at":"2024-05-01T10:11:12.5+00:00"}',),
-         ('{"icao24":"b","longitude":"oops"}',), ("{broken",), (None,), ('{"callsign":"X"}',)],
+         ('{"icao24":"b","longitude":"oops"}',), ('{"icao24":"f","polled_at":"2999-01-01T00:00:00+00:00"}',), ("{broken",), (None,), ('{"callsign":"X"}',)],
         "value string",
-    ).withColumn("arrived_at", F.lit("2024-05-01 00:00:00").cast("timestamp"))
+    ).withColumn("arrived_at", F.lit("2024-05-02 00:00:00").cast("timestamp"))
     parsed = messages.parse_states(raw)
     good = {r.icao24: r for r in messages.flat_states(parsed.filter(~messages.without_key())).collect()}
-    assert set(good) == {"a", "b"}
+    assert set(good) == {"a", "b", "f"}
+    assert str(good["f"].event_ts) == "2024-05-02 00:00:00"
     assert str(good["a"].event_ts) == "2024-05-01 10:11:12.500000" and good["a"].longitude == 1.5
-    assert good["b"].longitude is None and str(good["b"].event_ts) == "2024-05-01 00:00:00"
+    assert good["b"].longitude is None and str(good["b"].event_ts) == "2024-05-02 00:00:00"
     assert parsed.filter(messages.without_key()).count() == 3
 
 
