@@ -264,6 +264,35 @@ def test_one_airport_per_country(spark):
     assert rows == {"a": "A", "b": None, "c": None}
 
 
+def test_hot_country_is_split_when_the_reference_is_too_large_to_broadcast(spark):
+    states = spark.range(0, 300_000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("icao24"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string"))).alias("origin_country"),
+    )
+    reference = spark.range(501).select(
+        F.when(F.col("id") == 500, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("country"),
+        F.lit("K").alias("code"), F.lit("N").alias("name"), F.lit("T").alias("timezone"),
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = enrich.with_airport(states, reference)
+        assert joined.filter("origin_airport_icao_code is not null").count() == 300_000
+        done = joined.select(F.count("icao24"), F.count("origin_airport_icao_code"))
+        assert tuple(done.collect()[0]) == (300_000, 300_000)
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
 def test_messages_survive_bad_json(spark):
     raw = spark.createDataFrame(
         [('{"icao24":"a","longitude":1.5,"extra":1,"polled_at":"2024-05-01T10:11:12.5+00:00"}',),
