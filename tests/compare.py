@@ -27,9 +27,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
-    return value
+    return "nan" if isinstance(value, float) and math.isnan(value) else value
 
 
 def _bag(rows, order) -> Counter:

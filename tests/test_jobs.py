@@ -36,7 +36,7 @@ def test_all_jobs(spark, raw, monkeypatch, capsys):
     assert spark.read.parquet(f"{d}/rej").count() > 0 and "CRS_DEP_TIME" in capsys.readouterr().out
     run(monkeypatch, "stats", "--input", d / "flights", "--output", d / "stats", "--year", 1997)
     assert spark.read.parquet(f"{d}/stats/by_hour").count() == 24 + 1  # and the unreadable times
-    run(monkeypatch, "train", "--input", d / "flights", "--models", d / "models", "--years", "1996,1997", "--trees", 3, "--depth", 3, "--collapsed")
+    run(monkeypatch, "train", "--input", d / "flights", "--models", d / "models", "--years", "1996,1997", "--trees", 3, "--depth", 3, "--mode", "collapsed")
     trained = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert trained["auc"] > 0.6 and trained["model"].endswith("models/v1")
     run(monkeypatch, "airports", "--input", d / "airports_csv", "--table", d / "airports")

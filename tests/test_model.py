@@ -158,20 +158,24 @@ def test_metrics_of_nothing_and_of_one_class(spark):
     assert one.recall == round(50 / 57, 4)
 
 
-def test_training_job(spark, tmp_path):
+def test_training_job(spark, tmp_path, monkeypatch):
     flights, models = str(tmp_path / "flights"), str(tmp_path / "models")
     write_months(clean.with_month_keys(tables.flights(spark, SF)), flights)
     years = list(range(1995, 2002))
     found = train_job.run(spark, flights, models, "v1", years, extra_identity=tables.ROW_ID, trees=5, depth=4)
     rows = found["rows"]
+    assert found["mode"] == "rows"  # too few flights per cell to collapse
     assert rows["raw"] == 6000 and 0 < rows["test"] < rows["train"] < rows["features"] < 6000
     assert rows["train"] + rows["test"] == rows["features"]
     assert found["class_balance"]["total"] == rows["test"] and 0.4 < found["auc"] < 1.0
     written = json.loads(spark.read.text(f"{models}/v1_metrics.json").first()[0])
     assert written["confusion_matrix"] == found["confusion_matrix"] and written["auc"] == found["auc"]
-    collapsed = train_job.run(spark, flights, models, "v2", years, collapsed=True, extra_identity=tables.ROW_ID, trees=5, depth=4)
+    collapsed = train_job.run(spark, flights, models, "v2", years, mode="collapsed", extra_identity=tables.ROW_ID, trees=5, depth=4)
     assert abs(collapsed["auc"] - found["auc"]) < 0.1 and collapsed["rows"] == rows
     assert collapsed["class_balance"] == found["class_balance"]
+    monkeypatch.setattr(train_job, "FLIGHTS_PER_CELL", 1)
+    auto = train_job.run(spark, flights, models, "v3", years, extra_identity=tables.ROW_ID, trees=5, depth=4)
+    assert auto["mode"] == "collapsed" and auto["auc"] == collapsed["auc"]
     out, rejects = str(tmp_path / "scored"), str(tmp_path / "rejects")
     tables.states(spark, SF).write.parquet(str(tmp_path / "states"))
     score_job.run(spark, found["model"], str(tmp_path / "states"), out, rejects)
