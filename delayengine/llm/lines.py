@@ -8,14 +8,16 @@ the first of each kind of line stays, and nothing depends on how the rows are de
    order all tasks share gives an exact join; a word that is alone in its counter can match nothing.
 2. Lines of equal sets are merged: by task first, then by the set's hash. What is left are distinct sets with their first place.
 3. Each set sends its rarest words (the prefix: two sets alike have one in common) to the word's shard. There the
-   size, position and bitmap filters leave candidates; each later set keeps its nearest, and how many it had.
-4. The candidates' sets are made anew from the texts and intersected. A later set whose nearest candidate
-   fails, though it had others, is compared with all of them in a second round, so no match is lost.
+   size, position and bitmap filters leave candidates; each later set keeps the nearest few, and how many it had.
+   Bitmaps stand in sorted arrays below the shared folder: two sets differ in at least as many words as bits.
+4. The candidates' sets are made anew from the texts and intersected. A later set whose listed candidates
+   all fail, though it had others, is compared with all of them in a second round, so no match is lost.
 5. Sets to remove and first places of repeated sets are stored as sorted hash arrays; a last pass over the texts
    looks its lines up there. Texts are never shuffled.
 
 Lines without words stay and match nothing. Null texts stay null, empty ones empty. Rows equal in doc_id and
-text count as one document and get equal results. Null ids come last. Sets are told apart by 128 bits.
+text count as one document and get equal results. Null ids come last. Words are
+compared by 43 bits of their hash, sets by 128.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ from delayengine.llm.words import Texts, find, mix, mixed, pieces, runs, texts_o
 from delayengine.session import new_folder, stage
 
 THRESHOLD = 0.8
+_BITS = 43  # of a word's hash; the other bits of a number take the line
 _COUNTERS = 1 << 22
+_MAP, LISTED = 8, 4
 _PARTS = 64  # rows in which a task hands its counters on
 _LATE = np.int64(2**63 - 1)  # stands for a null id
 
@@ -55,13 +59,18 @@ def lines_of(texts: Texts) -> Lines:
     ends = np.flatnonzero(data == 10) + 1
     cuts = np.unique(np.concatenate([offsets, ends])) if len(data) else offsets[:1]
     found = words_of(Texts(data, cuts))
-    order = np.lexsort((found.hashes, found.rows))
-    words, row = found.hashes[order], found.rows[order]
+    words, row = found.hashes >> np.uint64(64 - _BITS), found.rows
+    if len(cuts) < 1 << (64 - _BITS):  # line and word in one number: one plain sort
+        both = np.unique(row.astype(np.uint64) << np.uint64(_BITS) | words)
+        words, row = both & np.uint64((1 << _BITS) - 1), (both >> np.uint64(_BITS)).astype(np.int64)
+    else:
+        order = np.lexsort((words, row))
+        words, row = words[order], row[order]
+        keep = np.concatenate(([True], (words[1:] != words[:-1]) | (row[1:] != row[:-1])))
+        words, row = words[keep], row[keep]
     if not len(words):
         none = np.zeros(0, np.int64)
         return Lines(words, words, none, none, none, words)
-    keep = np.concatenate(([True], (words[1:] != words[:-1]) | (row[1:] != row[:-1])))
-    words, row = words[keep], row[keep]
     first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
     used = row[first]
     text = np.searchsorted(offsets, cuts[used], side="right") - 1
@@ -73,14 +82,15 @@ def lines_of(texts: Texts) -> Lines:
 
 
 def _counter(words: np.ndarray) -> np.ndarray:
-    return (words >> np.uint64(42)).astype(np.int64)
+    return (words >> np.uint64(_BITS - 22)).astype(np.int64)
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(_COUNTERS, np.uint32)
     for batch in batches:
         for piece in pieces(batch):
-            counts += np.bincount(_counter(lines_of(texts_of(piece.column("text"))).words), minlength=_COUNTERS).astype(np.uint32)
+            words = words_of(texts_of(piece.column("text"))).hashes >> np.uint64(64 - _BITS)
+            counts += np.bincount(_counter(words), minlength=_COUNTERS).astype(np.uint32)
     if counts.any():
         width = _COUNTERS // _PARTS
         yield pa.RecordBatch.from_arrays([
@@ -121,7 +131,9 @@ def _prefixes(lines: Lines, levels: np.ndarray, threshold: float) -> tuple[np.nd
     """Line, place in the order by rarity, and word, of each prefix word that may be in another line."""
     owner = np.repeat(np.arange(len(lines.size)), lines.size)
     level = levels[_counter(lines.words)]
-    order = np.lexsort((lines.words, level, owner))
+    # by line, level, and word: words are in order within a line, so their index tells them apart
+    numbers = owner.astype(np.uint64) << np.uint64(36) | level.astype(np.uint64) << np.uint64(28) | np.arange(len(owner), dtype=np.uint64)
+    order = (np.sort(numbers) & np.uint64((1 << 28) - 1)).astype(np.int64) if len(owner) < 1 << 28 else np.lexsort((lines.words, level, owner))
     place = runs(lines.size)
     least = np.ceil(lines.size * threshold - 1e-9).astype(np.int64)
     length = np.where(least < lines.size, lines.size - least + 1, 0)  # where all words must agree, equal sets are merged already
@@ -130,18 +142,20 @@ def _prefixes(lines: Lines, levels: np.ndarray, threshold: float) -> tuple[np.nd
 
 
 def _bitmaps(lines: Lines) -> np.ndarray:
-    bits = np.uint64(1) << (mix(lines.words ^ np.uint64(77)) & np.uint64(63))
-    return np.bitwise_or.reduceat(bits, np.cumsum(lines.size) - lines.size) if len(bits) else bits
-
-
-_TYPES = ("key", "key2", "doc", "line", "text", "size", "bits", "times", "prefix")
+    """_MAP x 64 bits for each set, one set by each word."""
+    if not len(lines.words):
+        return np.zeros((0, _MAP), np.uint64)
+    spread = mix(lines.words ^ np.uint64(77))
+    out, bit = np.zeros((len(lines.words), _MAP), np.uint64), np.uint64(1) << (spread & np.uint64(63))
+    out[np.arange(len(bit)), (spread >> np.uint64(6)) % np.uint64(_MAP)] = bit
+    return np.bitwise_or.reduceat(out, np.cumsum(lines.size) - lines.size)
 
 
 def _merged(parts: list[list[np.ndarray]], words: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Sets by key, each with its first place and number of lines; and their prefix words."""
     columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
     flat = np.concatenate(words)
-    key, key2, doc, line, text, size, bits, times, prefix = columns
+    key, key2, doc, line, text, size, times, prefix, *bits = columns
     order = np.lexsort((text, line, doc, key2, key))
     new = np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (key2[order][1:] != key2[order][:-1])))
     first = np.flatnonzero(new)
@@ -149,7 +163,7 @@ def _merged(parts: list[list[np.ndarray]], words: list[np.ndarray]) -> tuple[lis
     chosen = order[first]
     starts = (np.cumsum(prefix) - prefix)[chosen]
     at = np.repeat(starts, prefix[chosen]) + runs(prefix[chosen])
-    return [key[chosen], key2[chosen], doc[chosen], line[chosen], text[chosen], size[chosen], bits[chosen], total, prefix[chosen]], flat[at]
+    return [key[chosen], key2[chosen], doc[chosen], line[chosen], text[chosen], size[chosen], total, prefix[chosen], *(m[chosen] for m in bits)], flat[at]
 
 
 def _lines_out(levels, threshold: float, shards: int) -> Callable:
@@ -162,7 +176,7 @@ def _lines_out(levels, threshold: float, shards: int) -> Callable:
             columns, flat = _merged(parts, words)
             shard = shard_of(columns[0], shards)
             edges = np.searchsorted(shard, np.arange(shards + 1))
-            ends = np.concatenate(([0], np.cumsum(columns[8])))
+            ends = np.concatenate(([0], np.cumsum(columns[7])))
             used, packed = np.flatnonzero(np.diff(edges)), []
             for s in used:
                 low, high = edges[s], edges[s + 1]
@@ -182,7 +196,7 @@ def _lines_out(levels, threshold: float, shards: int) -> Callable:
                 flat = np.empty(len(word), [("word", "u8"), ("place", "u2")])
                 flat["word"], flat["place"] = word, np.minimum(place, 65535)
                 count = np.bincount(owner, minlength=len(lines.key))
-                parts.append([lines.key, lines.key2, doc, line, text, lines.size, _bitmaps(lines), np.ones(len(doc), np.int64), count])
+                parts.append([lines.key, lines.key2, doc, line, text, lines.size, np.ones(len(doc), np.int64), count, *_bitmaps(lines).T])
                 words.append(flat)
                 size += len(lines.words)
                 if size > 8_000_000:
@@ -207,16 +221,20 @@ def _sets_merged(folder: str, shards: int) -> Callable:
             parts.append(unpack(block[4:cut]))
             words.append(flat)
         columns, flat = _merged(parts, words)
-        keys, key2, doc, line, text, size, bits, times, prefix = columns
+        keys, key2, doc, line, text, size, times, prefix, *bits = columns
         many = times > 1
         put(folder, f"repeated-{key[0].as_py()}-keys", keys[many])
         put(folder, f"repeated-{key[0].as_py()}-values", np.stack([key2[many], _place_hash(doc[many], line[many], text[many])], 1))
+        with_prefix = prefix > 0
+        put(folder, f"maps-{key[0].as_py()}-keys", keys[with_prefix])
+        put(folder, f"maps-{key[0].as_py()}-values", np.stack([m[with_prefix] for m in bits], 1))
+        folded = np.bitwise_or.reduce(bits)
         owner = np.repeat(np.arange(len(keys)), prefix)
         shard = shard_of(flat["word"], shards)
         order = np.lexsort((flat["word"], shard))
         owner, flat, shard = owner[order], flat[order], shard[order]
         return pa.Table.from_batches([blocks(0, shard, shards, [
-            flat["word"], keys[owner], doc[owner], line[owner].astype(np.uint32), size[owner].astype(np.uint32), flat["place"].copy(), bits[owner],
+            flat["word"], keys[owner], doc[owner], line[owner].astype(np.uint32), size[owner].astype(np.uint32), flat["place"].copy(), folded[owner],
         ])])
 
     return run
@@ -229,9 +247,9 @@ def _entries(table: pa.Table) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def _candidates(entries: list[np.ndarray], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _candidates(entries: list[np.ndarray], folder: str, shards: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Indices of later and earlier sets that share a word and pass the filters, and how far their bitmaps differ."""
-    word, _, _, _, size, place, bits = entries
+    word, keys, _, _, size, place, bits = entries
     size, place = size.astype(np.int64), place.astype(np.int64)
     part = threshold / (1 + threshold)
     active, step = np.arange(len(word)), 0
@@ -245,38 +263,50 @@ def _candidates(entries: list[np.ndarray], threshold: float) -> Iterator[tuple[n
         low, high = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
         need = np.ceil(part * (low + high) - 1e-9).astype(np.int64)
         rest = np.minimum(size[a] - place[a], size[b] - place[b])  # with the word itself
-        far = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
-        good = (low >= threshold * high - 1e-9) & (rest >= need) & (far <= low + high - 2 * need)
-        yield b[good], a[good], far[good]
+        differ = low + high - 2 * need
+        good = (low >= threshold * high - 1e-9) & (rest >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= differ)
+        a, b, differ = a[good], b[good], differ[good]
+        if len(a):
+            kinds, where = np.unique(keys[np.concatenate([a, b])], return_inverse=True)
+            maps = _maps(folder, kinds, shards)
+            far = np.bitwise_count(maps[where[:len(a)]] ^ maps[where[len(a):]]).sum(1).astype(np.int64)
+            yield b[far <= differ], a[far <= differ], far[far <= differ]
+
+
+def _maps(folder: str, keys: np.ndarray, shards: int) -> np.ndarray:
+    """The long bitmaps of sets whose keys are given in order."""
+    out = np.zeros((len(keys), _MAP), np.uint64)
+    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(edges)):
+        own = slice(edges[s], edges[s + 1])
+        at, _ = find(mapped(folder, f"maps-{s}-keys", "u8"), keys[own])
+        out[own] = mapped(folder, f"maps-{s}-values", "u8").reshape(-1, _MAP)[at]
+    return out
 
 
-def _nearest(threshold: float) -> Callable:
-    """For each later set of a shard of words its nearest earlier candidate, and how many it has."""
+def _nearest(folder: str, shards: int, threshold: float, listed: int) -> Callable:
+    """For each later set of a shard of words its nearest earlier candidates, as many as are listed, and how many it has."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         entries = _entries(table)
         keys = entries[1]
-        n = len(keys)
-        best, other, count = np.full(n, 1 << 30), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for b, a, far in _candidates(entries, threshold):
-            better = far < best[b]
-            best[b[better]], other[b[better]] = far[better], a[better]
+        count = np.zeros(len(keys), np.int64)
+        best = np.full((len(keys), listed), 1 << 40, np.int64)  # far << 32 | index, ascending
+        for b, a, far in _candidates(entries, folder, shards, threshold):  # each later set at most once at a time
             count[b] += 1
+            best[b] = np.sort(np.column_stack([best[b], far << 32 | a]), 1)[:, :listed]
         has = np.flatnonzero(count)
-        order = has[np.lexsort((best[has], keys[has]))]
-        first = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1]))) if len(order) else np.zeros(0, np.int64)
-        total = np.add.reduceat(count[order], first) if len(order) else first
-        chosen = order[first]
+        rows = [[{"far": x >> 32, "earlier": int(keys[x & 0xFFFFFFFF].view(np.int64))} for x in line if x < 1 << 40] for line in best[has].tolist()]
         return pa.table(
-            [pa.array(keys[chosen].view(np.int64)), pa.array(keys[other[chosen]].view(np.int64)), pa.array(best[chosen], pa.int64()), pa.array(total, pa.int64())],
-            ["later", "earlier", "far", "n"],
+            [pa.array(keys[has].view(np.int64)), pa.array(rows, pa.list_(pa.struct([("far", pa.int64()), ("earlier", pa.int64())]))), pa.array(count[has])],
+            ["later", "best", "n"],
         )
 
     return run
 
 
 def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
-    """All candidates of the sets whose keys are stored in ``folder``, one row for each pair in the shard."""
+    """All candidates of the sets whose keys are stored as open, one row for each pair in the shard."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         entries = _entries(table)
@@ -284,7 +314,7 @@ def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
         keep = np.isin(entries[0], np.unique(entries[0][wanted]))
         entries, wanted = [e[keep] for e in entries], wanted[keep]
         later, earlier = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for b, a, _ in _candidates(entries, threshold):
+        for b, a, _ in _candidates(entries, folder, shards, threshold):
             later.append(entries[1][b[wanted[b]]])
             earlier.append(entries[1][a[wanted[b]]])
         pairs = np.unique(np.stack([np.concatenate(later), np.concatenate(earlier)], 1), axis=0)
@@ -389,23 +419,31 @@ def _removing(folder: str, shards: int, columns: list[str]) -> Callable:
     return run
 
 
-def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` (doc_id, text, and what else there is) with later lines removed from the texts, and their number in ``removed``."""
+def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LISTED) -> DataFrame:
+    """``docs`` (doc_id, text, and what else there is) with later lines removed from the texts, and their number in ``removed``.
+
+    ``listed`` candidates of each line are compared first; it changes no result.
+    """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, "line-keys")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
     levels = spark.sparkContext.broadcast(rarity(texts))
     merged = texts.mapInArrow(_lines_out(levels, threshold, shards), BLOCKS).groupBy("shard").applyInArrow(_sets_merged(folder, shards), BLOCKS)
-    entries = stage(merged, "line-prefixes")
-    nearest = entries.groupBy("shard").applyInArrow(_nearest(threshold), "later bigint, earlier bigint, far bigint, n bigint")
-    nearest = stage(nearest.groupBy("later").agg(F.min(F.struct("far", "earlier")).alias("best"), F.sum("n").alias("n")), "line-candidates")
-    first = stage(_verified(nearest.select("later", "best.earlier"), texts, folder, "first", shards, threshold), "line-matches")
-    open_ = nearest.where("n > 1").join(first.select("later"), "later", "left_anti").select("later")
-    _store(open_, folder, "open", shards)
-    pairs = entries.groupBy("shard").applyInArrow(_all_candidates(folder, shards, threshold), "later bigint, earlier bigint").distinct()
-    second = _verified(stage(pairs, "line-pairs"), texts, folder, "second", shards, threshold)
-    _store(first.select("later").unionByName(second.select("later")), folder, "near", shards)
+    columns = "later bigint, best array<struct<far:bigint,earlier:bigint>>, n bigint"
+    # the words of a set may be in several shards: the sum of n is at least its number of candidates
+    nearest = merged.groupBy("shard").applyInArrow(_nearest(folder, shards, threshold, listed), columns)
+    best = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, listed)
+    nearest = stage(nearest.groupBy("later").agg(best.alias("best"), F.sum("n").alias("n")), "line-candidates")
+    pairs = nearest.select("later", F.explode("best.earlier").alias("earlier")).distinct()
+    first = stage(_verified(pairs, texts, folder, "first", shards, threshold).select("later").distinct(), "line-matches")
+    near = first
+    open_ = stage(nearest.where(F.col("n") > F.size("best")).join(first, "later", "left_anti").select("later"), "line-open")
+    if not open_.isEmpty():
+        _store(open_, folder, "open", shards)
+        pairs = merged.groupBy("shard").applyInArrow(_all_candidates(folder, shards, threshold), "later bigint, earlier bigint").distinct()
+        near = near.unionByName(_verified(stage(pairs, "line-pairs"), texts, folder, "second", shards, threshold).select("later"))
+    _store(near, folder, "near", shards)
     fields = [f.name for f in docs.schema.fields]
     extra = [F.col(c) for c in fields if c not in ("doc_id", "text", "text_hash")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"), *extra)

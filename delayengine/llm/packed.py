@@ -7,6 +7,7 @@ import pyarrow as pa
 import zstandard
 
 BLOCKS = "shard int, kind int, block binary"
+_HEAD = 256
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -20,14 +21,14 @@ def narrow(counts: np.ndarray) -> np.ndarray:
 
 def pack(columns: list[np.ndarray]) -> bytes:
     """Arrays of one length, compressed, with their types in front."""
-    head = ",".join([str(len(columns[0])), *(c.dtype.str for c in columns)]).encode().ljust(64)
+    head = ",".join([str(len(columns[0])), *(c.dtype.str for c in columns)]).encode().ljust(_HEAD)
     return zstandard.compress(b"".join([head, *(c.tobytes() for c in columns)]), 1)
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
     raw = zstandard.decompress(block)
-    n, *kinds = raw[:64].decode().strip().split(",")
-    n, at, out = int(n), 64, []
+    n, *kinds = raw[:_HEAD].decode().strip().split(",")
+    n, at, out = int(n), _HEAD, []
     for kind in kinds:
         out.append(np.frombuffer(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
