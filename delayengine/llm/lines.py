@@ -61,7 +61,9 @@ def lines_of(texts: Texts) -> Lines:
     found = words_of(Texts(data, cuts))
     words, row = found.hashes >> np.uint64(64 - _BITS), found.rows
     if len(cuts) < 1 << (64 - _BITS):  # line and word in one number: one plain sort
-        both = np.unique(row.astype(np.uint64) << np.uint64(_BITS) | words)
+        both = row.astype(np.uint64) << np.uint64(_BITS) | words
+        both.sort()
+        both = both[np.concatenate(([True], both[1:] != both[:-1]))[:len(both)]]
         words, row = both & np.uint64((1 << _BITS) - 1), (both >> np.uint64(_BITS)).astype(np.int64)
     else:
         order = np.lexsort((words, row))
@@ -143,12 +145,10 @@ def _prefixes(lines: Lines, levels: np.ndarray, threshold: float) -> tuple[np.nd
 
 def _bitmaps(lines: Lines) -> np.ndarray:
     """_MAP x 64 bits for each set, one set by each word."""
-    if not len(lines.words):
-        return np.zeros((0, _MAP), np.uint64)
-    spread = mix(lines.words ^ np.uint64(77))
-    out, bit = np.zeros((len(lines.words), _MAP), np.uint64), np.uint64(1) << (spread & np.uint64(63))
-    out[np.arange(len(bit)), (spread >> np.uint64(6)) % np.uint64(_MAP)] = bit
-    return np.bitwise_or.reduceat(out, np.cumsum(lines.size) - lines.size)
+    n, bits = len(lines.size), 64 * _MAP
+    out = np.zeros(n * bits, bool)
+    out[np.repeat(np.arange(n) * bits, lines.size) + (mix(lines.words ^ np.uint64(77)) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out).view(np.uint64).reshape(n, _MAP)
 
 
 def _merged(parts: list[list[np.ndarray]], words: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from delayengine.llm import bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, pages, secrets, toxicity
 
+BATCH_BYTES = 8 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def reach(spark: SparkSession) -> None:
-    """Let the Python workers of a local session import this package from where the driver has it.
+    """Let the Python workers of a local session import this package from where the driver has it, and bound their batches.
 
-    On a cluster it must be shipped (``--py-files``) or installed.
+    On a cluster the package must be shipped (``--py-files``) or installed.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))

@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _SPACE = np.zeros(256, bool)
