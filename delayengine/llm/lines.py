@@ -230,7 +230,7 @@ def _sets_merged(folder: str, shards: int) -> Callable:
         put(folder, f"maps-{key[0].as_py()}-values", np.stack([m[with_prefix] for m in bits], 1))
         folded = np.bitwise_or.reduce(bits)
         owner = np.repeat(np.arange(len(keys)), prefix)
-        shard = shard_of(flat["word"], shards)
+        shard = shard_of(flat["word"] << np.uint64(64 - _BITS), shards)
         order = np.lexsort((flat["word"], shard))
         owner, flat, shard = owner[order], flat[order], shard[order]
         return pa.Table.from_batches([blocks(0, shard, shards, [
