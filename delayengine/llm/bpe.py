@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delayengine.llm.words import pieces
 
@@ -315,11 +316,10 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))
 
 
-def _added(df: DataFrame, name: str, kind: str) -> str:
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields]
+def _added(df: DataFrame, name: str, kind: str) -> StructType:
     if name in df.columns:
         raise ValueError(f"there already is a column {name}")
-    return ", ".join([*fields, f"`{name}` {kind}"])
+    return StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delayengine.llm.words import pieces, runs
 
@@ -134,7 +135,6 @@ def learn(docs: DataFrame, training: Column, rows_per_language: int = ROWS_PER_L
 
 def predict(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str = "text", size: int = SIZE) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``: 1 less the distance as a part of the largest possible one."""
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     langs = [lang for lang, _ in profiles]
     table = np.unique(np.concatenate([g for _, g in profiles])) if profiles else np.zeros(0, np.int64)
     places = np.full((len(table) + 1, len(langs)), -1, np.int64)  # the last row: in no profile
@@ -161,7 +161,7 @@ def predict(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str =
                     [*piece.columns, pa.array(names, pa.string()), pa.array(scores)], [*piece.schema.names, "lang_pred", "score"]
                 )
 
-    return docs.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL("lang_pred string, score double").fields]))
 
 
 def _training() -> Column:

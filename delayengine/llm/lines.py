@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delayengine.llm.packed import BLOCKS, blocks, pack, shard_of, unpack
 from delayengine.llm.scratch import mapped, put
@@ -252,6 +253,8 @@ def _candidates(entries: list[np.ndarray], folder: str, shards: int, threshold:
     word, keys, _, _, size, place, bits = entries
     size, place = size.astype(np.int64), place.astype(np.int64)
     part = threshold / (1 + threshold)
+    kinds, where = np.unique(keys, return_inverse=True)
+    maps = _maps(folder, kinds, shards)
     active, step = np.arange(len(word)), 0
     while True:
         step += 1
@@ -267,9 +270,7 @@ def _candidates(entries: list[np.ndarray], folder: str, shards: int, threshold:
         good = (low >= threshold * high - 1e-9) & (rest >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= differ)
         a, b, differ = a[good], b[good], differ[good]
         if len(a):
-            kinds, where = np.unique(keys[np.concatenate([a, b])], return_inverse=True)
-            maps = _maps(folder, kinds, shards)
-            far = np.bitwise_count(maps[where[:len(a)]] ^ maps[where[len(a):]]).sum(1).astype(np.int64)
+            far = np.bitwise_count(maps[where[a]] ^ maps[where[b]]).sum(1).astype(np.int64)
             yield b[far <= differ], a[far <= differ], far[far <= differ]
 
 
@@ -448,7 +449,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     extra = [F.col(c) for c in fields if c not in ("doc_id", "text", "text_hash")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"), *extra)
     names = ["doc_id", "text", *[c for c in fields if c not in ("doc_id", "text", "text_hash")]]
-    schema = ", ".join([*(f"`{c.replace('`', '``')}` {rows.schema[c].dataType.simpleString()}" for c in names), "removed bigint"])
+    schema = StructType([*(rows.schema[c] for c in names), *StructType.fromDDL("removed bigint").fields])
     return rows.mapInArrow(_removing(folder, shards, names), schema)
 
 
