@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 from pyarrow import fs
 
-_mapped: dict[tuple[str, str], np.ndarray] = {}
+_mapped: dict[tuple[str, str, str], np.ndarray] = {}
 MAX_MAPPED = 100_000
 
 
@@ -29,7 +29,7 @@ def put(folder: str, name: str, data: np.ndarray) -> None:
 
 def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
     """The array in a file, mapped read-only. A file that is not on a mounted folder is fetched once per worker."""
-    found = _mapped.get((folder, name))
+    found = _mapped.get((folder, name, dtype))
     if found is None:
         system, base = _place(folder)
         path = f"{base}/{name}"
@@ -44,7 +44,7 @@ def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
             found = _map(path, dtype)
         if len(_mapped) >= MAX_MAPPED:
             _mapped.clear()
-        _mapped[folder, name] = found
+        _mapped[folder, name, dtype] = found
     return found
 
 
