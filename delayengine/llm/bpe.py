@@ -23,6 +23,7 @@ import base64
 import gc
 import hashlib
 import itertools
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ from delayengine.llm.words import pieces
 
 MAX_VOCABULARY_BYTES = 64 << 20
 MAX_STATES = 200_000
-MAX_PIECES = 400_000
+MAX_PIECES = 800_000
 BLOCK = 65_536
 
 
@@ -165,25 +166,26 @@ class Transducer:
                 cut = sum(len(self.tokens[t]) for t in out)
                 before, tail = out[-1], tail[cut:]
                 live = [(at - cut, node, own[agreed:]) for at, node, own in live]
-        found = self.states.get((before, tail))
+        key = before, tail
+        found = self.states.get(key)
         if found is None:
+            if len(self.states) > 2 * self.max_states:  # within one very long piece
+                self._forget()
             live.append((len(tail), self.root, path))
-            found = self.states[before, tail] = _State(before, tail, live, path)
+            found = self.states[key] = _State(before, tail, live, path)
         state.next[byte] = pair = found, out
         return pair
 
-    def encode(self, data: bytes) -> tuple[int, ...]:
+    def encode(self, data: bytes) -> list[int]:
         if len(self.states) > self.max_states:
             self._forget()
-        state, out = self.start, []
+        state, out, step = self.start, [], self._step
         for byte in data:
-            state, done = state.next.get(byte) or self._step(state, byte)
+            found = state.next.get(byte)
+            state, done = found if found else step(state, byte)
             if done:
                 out += done
-            if len(self.states) > 2 * self.max_states:  # within one very long piece
-                self.states = {(-1, b""): self.start, (state.before, state.tail): state}
-                self.start.next, state.next = {}, {}
-        return (*out, *state.done)
+        return [*out, *state.done]
 
 
 class _Met(dict):
@@ -196,7 +198,7 @@ class _Met(dict):
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)  # a piece that is a token stays whole, whether or not merges make it
-        ids = np.array(self.transducer.encode(data) if whole is None else (whole,), np.int32).tobytes()
+        ids = array("i", self.transducer.encode(data) if whole is None else (whole,)).tobytes()
         if len(piece) <= 64:
             if len(self) >= MAX_PIECES:
                 self.clear()
