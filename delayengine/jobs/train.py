@@ -20,32 +20,26 @@ from delayengine.sinks.tables import write_metrics, write_model
 from delayengine.sources.flights import scan_years
 
 
-# Above this many flights per distinct (features, label) a bagged weight differs from
-# the plain sum by about 3 %, and bagging row by row buys nothing.
-FLIGHTS_PER_CELL = 1000
-
-
 def run(
     spark: SparkSession, source: str, models: str, version: str, years: Sequence[int],
-    seed: int = 42, mode: str = "auto", extra_identity: Sequence[str] = (), **params,
+    seed: int = 42, mode: str = "collapsed", extra_identity: Sequence[str] = (), **params,
 ) -> dict:
     """Returns the metrics, with the row counts seen on the way.
 
     One scan tallies the flights; evaluation works on the tallied test rows. Training
-    does the same in mode ``collapsed`` and bags row by row, from a second scan, in mode
-    ``rows``; ``auto`` collapses once the flights outnumber their cells far enough.
+    does the same, whatever the number of flights, and bags row by row, from a second
+    scan, only in mode ``rows``.
     """
+    if mode not in ("collapsed", "rows"):
+        raise ValueError(f"mode must be collapsed or rows, not {mode!r}")
     raw, raw_seen = counted(scan_years(spark, source, years), "raw")
     rows, seen = counted(split_rows(labelled(raw), extra_identity, seed), "features")
     cells = stage(tally(usable(rows), "held_out"), "tally")
     sizes = cells.agg(
-        F.count(F.lit(1)).alias("cells"),
         F.sum("flights").alias("all"),
         F.sum(F.when(~F.col("held_out"), F.col("flights"))).alias("train"),
     ).first()
-    collapsed = mode == "collapsed" or (
-        mode == "auto" and sizes["all"] >= FLIGHTS_PER_CELL * sizes["cells"]
-    )
+    collapsed = mode == "collapsed"
     train, test = train_and_test(cells)
     if not collapsed:
         train, _ = train_and_test(rows)
@@ -60,7 +54,7 @@ def run(
         "train": sizes["train"],
         "test": sizes["all"] - sizes["train"],
     }
-    return {"model": path, "mode": "collapsed" if collapsed else "rows", "rows": counts, **found}
+    return {"model": path, "mode": mode, "rows": counts, **found}
 
 
 def main() -> None:
@@ -73,7 +67,7 @@ def main() -> None:
     args.add_argument("--depth", type=int, default=5)
     args.add_argument("--max-bins", type=int, default=64)
     args.add_argument("--seed", type=int, default=42)
-    args.add_argument("--mode", choices=["auto", "rows", "collapsed"], default="auto", help="see README")
+    args.add_argument("--mode", choices=["collapsed", "rows"], default="collapsed", help="see README")
     given = args.parse_args()
     found = run(
         get_session("delay-train"), given.input, given.models, given.version,

@@ -60,15 +60,15 @@ def collapse(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*FEATURES, LABEL).agg(F.sum(WEIGHT).alias(WEIGHT))
 
 
-def fit(train: DataFrame, collapsed: bool = False, **params) -> PipelineModel:
+def fit(train: DataFrame, collapsed: bool = True, **params) -> PipelineModel:
     """Fit the classifier, reading ``train`` once.
 
-    By default every flight is a training row, bagged one by one. With ``collapsed``
-    the forest is grown on summed weights without bagging: at very large row counts
-    bagged weights hardly differ from the sums, the fit no longer grows with the data,
-    and the model no longer depends on how the rows are partitioned.
+    The forest is grown on the summed weights of equal rows, without bagging: the fit
+    does not grow with the data, and the model does not depend on how the rows are
+    partitioned. With ``collapsed=False`` every flight is a training row, bagged one by
+    one; Spark seeds the bags by partition, so that model depends on the partitioning.
     """
-    rows = collapse(usable(train)) if collapsed else _spread(usable(train))
+    rows = collapse(usable(train)) if collapsed else usable(train)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # The copy leaves the training summary behind: that would ship the session and
@@ -78,15 +78,6 @@ def fit(train: DataFrame, collapsed: bool = False, **params) -> PipelineModel:
         rows.unpersist()
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for the many passes of a fit when the input comes in fewer pieces.
-
-    Large inputs have more splits than cores and are not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows as they pass through whatever action comes next, without another scan."""
     seen = Observation(name)

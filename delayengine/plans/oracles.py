@@ -13,7 +13,7 @@ FLIGHTS = """
 flights_v AS (
   SELECT l_orderkey, l_linenumber,
     strftime(l_shipdate, '%Y-%m-%d') AS FL_DATE,
-    (['AA','DL','UA','WN','B6','AS','NK','F9'])[l_suppkey % 8 + 1] AS OP_CARRIER,
+    (['AA','DL','UA','WN','B6','AS','OO','F9'])[l_suppkey % 8 + 1] AS OP_CARRIER,
     o.n_name AS ORIGIN, d.n_name AS DEST,
     CAST(CASE WHEN l_orderkey % 25 = 24 THEN 2400
               ELSE (l_orderkey % 25) * 100 + l_partkey % 60 END AS INTEGER) AS CRS_DEP_TIME,
@@ -67,7 +67,7 @@ def _iso(ts: str) -> str:
 STATES = f"""
 states_v AS (
   SELECT printf('%06x', user_id) AS icao24,
-    (['AAL','DAL','UAL','SWA','JBU','ASA','NKS','FFT','ZZZ'])[user_id % 9 + 1]
+    (['AAL','DAL','UAL','SWA','JBU','ASA','SKW','FFT','ZZZ'])[user_id % 9 + 1]
       || (user_id % 900 + 100) AS callsign,
     'NATION_' || (user_id % 30) AS origin_country,
     CAST(CASE WHEN event_id % 50 <> 49 THEN (event_id % 3600) / 10.0 - 180 END AS FLOAT) AS longitude,
@@ -370,7 +370,7 @@ ORACLES: dict[str, str] = {
     "state_enriched": ENRICHED,
     "latest_state": f"WITH {LATEST} SELECT * FROM latest_v",
     "live_expired": f"WITH {LATEST} SELECT latest_v.* FROM latest_v, now_v WHERE {DAY_OLD}",
-    "live_limit": f"{CURRENT_RECORDS} SELECT * FROM api_v ORDER BY icao24 LIMIT 500",
+    "live_limit": f"{CURRENT_RECORDS} SELECT * FROM api_v ORDER BY icao24 LIMIT 60",
     "carrier_strict": _carrier("strict"),
     "carrier_fallback": _carrier("fallback"),
     "state_features": f"""WITH {STATES} SELECT event_id, iata AS carrier,
@@ -390,8 +390,9 @@ ORACLES: dict[str, str] = {
     "api_live_records": f"{ALL_RECORDS} SELECT * FROM api_v",
     "risk_from_delay": f"""WITH {STATES},{_trip('states_v')} SELECT event_id,
         {_label("predicted_delay_minutes")} AS risk_label,
-        {_round("greatest(0.02::DOUBLE, least(predicted_delay_minutes / 60, 1.0::DOUBLE))", 2)} AS delay_risk
-        FROM live_v WHERE predicted_delay_minutes IS NOT NULL""",
+        CASE WHEN predicted_delay_minutes IS NOT NULL THEN
+          {_round("greatest(0.02::DOUBLE, least(predicted_delay_minutes / 60, 1.0::DOUBLE))", 2)} END AS delay_risk
+        FROM live_v""",
     "risk_from_probability": f"""SELECT event_id,
         CASE WHEN p < 0.3 THEN 'low' WHEN p < 0.6 THEN 'medium' ELSE 'high' END AS risk_label,
         {_round("p * 60", 1)} AS delay_minutes

@@ -197,13 +197,13 @@ def _tallied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _scores(spark: SparkSession, sf: str) -> model.ScoreTable:
-    """A model to score with, grown on collapsed rows."""
-    return model.tabulate(spark, model.fit(_tallied(spark, sf)[0], collapsed=True))
+    return model.tabulate(spark, model.fit(_tallied(spark, sf)[0]))
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = features.train_and_test(_rows(spark, sf))
-    return model.fit(train).transform(evaluate.tally(test))
+    """The tallied test rows with the predictions of a model of the tallied training rows."""
+    train, test = _tallied(spark, sf)
+    return model.fit(train).transform(test)
 
 
 def scored_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,8 +224,7 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collapsed_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _tallied(spark, sf)
-    return evaluate.metrics(model.fit(train, collapsed=True).transform(test))
+    return evaluate.metrics(_predictions(spark, sf))
 
 
 def predictions_filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +292,7 @@ def live_expired(spark: SparkSession, sf: str) -> DataFrame:
 
 def live_limit(spark: SparkSession, sf: str) -> DataFrame:
     records = normalize.api_records(_latest_live(spark, sf), tables.newest(spark, sf))
-    return normalize.first_records(records, 500)
+    return normalize.first_records(records, 60)
 
 
 def carrier_strict(spark: SparkSession, sf: str) -> DataFrame:
@@ -381,7 +380,7 @@ def api_live_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def risk_from_delay(spark: SparkSession, sf: str) -> DataFrame:
     minutes = F.col("predicted_delay_minutes")
-    return tables.live(spark, sf).filter(minutes.isNotNull()).select(
+    return tables.live(spark, sf).select(
         "event_id",
         label_from_minutes(minutes).alias("risk_label"),
         score_from_minutes(minutes).alias("delay_risk"),
@@ -442,10 +441,14 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
 def activity_trend(spark: SparkSession, sf: str) -> DataFrame:
     minutes = F.coalesce("predicted_delay_minutes", F.lit(0.0))
     live = tables.live(spark, sf).dropna(subset=["latitude", "longitude"])
+    last = live.agg(F.max("event_ts")).first()[0]  # one column, one value
+    newest = F.lit(last and last.replace(second=0, microsecond=0)).cast("timestamp_ntz")
+    # before the series is built, so that the bound reaches the scan
+    live = live.filter(F.col("event_ts") >= newest - F.make_dt_interval(mins=F.lit(90)))
     series = summary.density_series(
         live.withColumn("risk_label", label_from_minutes(minutes)), "event_ts"
     )
-    return summary.activity_trend(series, minutes=90)
+    return summary.activity_trend(series, minutes=90, newest=newest)
 
 
 def delay_histogram(spark: SparkSession, sf: str) -> DataFrame:

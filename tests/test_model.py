@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from delayengine.jobs import score as score_job
 from delayengine.jobs import train as train_job
 from delayengine.operators import clean, evaluate, model
+from delayengine.operators.features import labelled, split_rows, train_and_test, usable
 from delayengine.plans import tables
 from delayengine.schema import FEATURES
 from delayengine.sinks.tables import write_model, write_months
@@ -18,8 +19,8 @@ from delayengine.sources.stored import fitted_model
 
 SF = "/root/testdata/sf0.001"
 ROWS = [
-    ("AA", 8, 2, 1, 0), ("AA", 17, 6, 7, 1), ("DL", 6, 1, 3, 0), ("DL", 22, 5, 12, 1), ("UA", 14, 4, 7, 0),
-    ("UA", 19, 7, 11, 1), ("WN", 7, 3, 4, 0), ("WN", 21, 2, 8, 1), ("B6", 10, 6, 2, 0), ("B6", 23, 1, 9, 1),
+    ("NK", 5, 3, 2, 0), ("NK", 20, 5, 6, 1), ("AS", 9, 2, 4, 0), ("AS", 18, 7, 8, 1), ("HA", 11, 4, 10, 0),
+    ("HA", 16, 1, 12, 1), ("F9", 4, 6, 1, 0), ("F9", 23, 3, 5, 1), ("OO", 13, 2, 3, 0), ("OO", 15, 7, 9, 1),
 ]
 DDL = "carrier string, hour_of_day int, day_of_week int, month int"
 
@@ -45,27 +46,27 @@ def frame(spark, *rows):
 
 
 def test_probabilities(spark, fitted, scores):
-    row = fitted.transform(frame(spark, ("AA", 14, 4, 7))).first()
+    row = fitted.transform(frame(spark, ("NK", 13, 5, 8))).first()
     assert all(0.0 <= p <= 1.0 for p in row.probability) and math.isclose(sum(row.probability), 1.0, abs_tol=1e-6)
-    assert model.score(scores, frame(spark, ("AA", 14, 4, 7))).first().delay_probability == row.probability[1]
+    assert model.score(scores, frame(spark, ("NK", 13, 5, 8))).first().delay_probability == row.probability[1]
 
 
 def test_unseen_carrier_gives_numbers(spark, fitted, scores):
-    rows = model.score(scores, frame(spark, ("AA", 6, 1, 3), ("DL", 22, 7, 12), ("UNKNOWN", 14, 4, 6))).collect()
+    rows = model.score(scores, frame(spark, ("NK", 6, 1, 3), ("AS", 22, 7, 12), ("UNKNOWN", 13, 5, 9))).collect()
     assert len(rows) == 3 and not any(math.isnan(r.delay_probability) for r in rows)
     assert {r.risk_label for r in rows} <= {"low", "medium", "high"}
-    predictions = fitted.transform(frame(spark, ("UNKNOWN", 14, 4, 6), (None, 14, 4, 6))).collect()
+    predictions = fitted.transform(frame(spark, ("UNKNOWN", 13, 5, 9), (None, 13, 5, 9))).collect()
     assert all(r.prediction in (0.0, 1.0) for r in predictions)
 
 
 def test_scoring_repeats(spark, fitted, scores):
-    row = frame(spark, ("UA", 10, 3, 5))
+    row = frame(spark, ("HA", 9, 2, 11))
     first, second = (model.score(scores, row).first().delay_probability for _ in range(2))
     assert first == second
 
 
 def test_rows_outside_the_contract_are_set_aside(spark, fitted, scores):
-    rows = frame(spark, ("AA", 24, 1, 1), ("AA", 0, 0, 1), ("AA", 0, 1, 13), (None, 0, 1, 1), ("AA", None, 1, 1), ("AA", 23, 7, 12))
+    rows = frame(spark, ("NK", 24, 1, 1), ("NK", 0, 0, 1), ("NK", 0, 1, 13), (None, 0, 1, 1), ("NK", None, 1, 1), ("NK", 23, 7, 12))
     assert model.score(scores, rows).count() == 1 and model.rejected(rows).count() == 5
 
 
@@ -84,21 +85,31 @@ def test_collapsed_cells_keep_all_weight(train):
     assert cells.count() == 10 and cells.agg(F.sum("class_weight")).first()[0] == 30.0
 
 
+def test_model_does_not_depend_on_partitions(spark):
+    flights = tables.flights(spark, SF)
+    found = set()
+    for pieces in (1, 7, 40):
+        rows = split_rows(labelled(flights.repartition(pieces)), tables.ROW_ID)
+        train, test = train_and_test(evaluate.tally(usable(rows), "held_out"))
+        found.add(str(evaluate.metrics(model.fit(train, trees=5).transform(test)).first()))
+    assert len(found) == 1
+
+
 def test_saved_model_scores_the_same(spark, fitted, scores, tmp_path):
     path = write_model(fitted, str(tmp_path), "v1")
     again = fitted_model(path)
-    rows = frame(spark, ("UA", 10, 3, 5))
+    rows = frame(spark, ("HA", 9, 2, 11))
     assert model.score(model.tabulate(spark, again), rows).first() == model.score(scores, rows).first()
 
 
 def test_missing_predictions_are_filled(spark, fitted, scores):
     rows = spark.createDataFrame(
-        [("a", "AA", 14, 4, 7, None, None, None), ("b", "AA", 14, 4, 7, 12.0, "high", 0.9),
-         ("c", "AA", 14, 4, 7, 12.0, "", None), ("d", None, 14, 4, 7, 12.0, None, None), ("e", "AA", None, 4, 7, None, None, None),
-         ("f", "AA", 99, 4, 7, 7.0, "low", None)],
+        [("a", "NK", 13, 5, 8, None, None, None), ("b", "NK", 13, 5, 8, 12.0, "high", 0.9),
+         ("c", "NK", 13, 5, 8, 12.0, "", None), ("d", None, 13, 5, 8, 12.0, None, None), ("e", "NK", None, 4, 7, None, None, None),
+         ("f", "NK", 99, 4, 7, 7.0, "low", None)],
         f"icao24 string, {DDL}, predicted_delay_minutes double, risk_label string, delay_risk double",
     )
-    probability = model.score(scores, frame(spark, ("AA", 14, 4, 7))).first().delay_probability
+    probability = model.score(scores, frame(spark, ("NK", 13, 5, 8))).first().delay_probability
     filled = model.fill_predictions(scores, rows)
     got = {r.icao24: r for r in filled.collect()}
     assert set(rows.columns) | {"delay_probability"} == set(filled.columns)
@@ -115,7 +126,7 @@ def test_missing_predictions_are_filled(spark, fitted, scores):
 def test_score_table_is_the_model(spark, fitted, scores):
     assert scores.answers.count() == 6 * 24 * 7 * 12
     rows = spark.range(3000).select(
-        F.element_at(F.array(*map(F.lit, ("AA", "DL", "UA", "WN", "B6", "??", "other"))), (F.col("id") % 7 + 1).cast("int")).alias("carrier"),
+        F.element_at(F.array(*map(F.lit, ("NK", "AS", "HA", "F9", "OO", "??", "other"))), (F.col("id") % 7 + 1).cast("int")).alias("carrier"),
         (F.col("id") % 24).cast("int").alias("hour_of_day"), (F.col("id") % 7 + 1).cast("int").alias("day_of_week"),
         (F.col("id") % 12 + 1).cast("int").alias("month"),
     )
@@ -164,18 +175,17 @@ def test_training_job(spark, tmp_path, monkeypatch):
     years = list(range(1995, 2002))
     found = train_job.run(spark, flights, models, "v1", years, extra_identity=tables.ROW_ID, trees=5, depth=4)
     rows = found["rows"]
-    assert found["mode"] == "rows"  # too few flights per cell to collapse
+    assert found["mode"] == "collapsed"
     assert rows["raw"] == 6000 and 0 < rows["test"] < rows["train"] < rows["features"] < 6000
     assert rows["train"] + rows["test"] == rows["features"]
     assert found["class_balance"]["total"] == rows["test"] and 0.4 < found["auc"] < 1.0
     written = json.loads(spark.read.text(f"{models}/v1_metrics.json").first()[0])
     assert written["confusion_matrix"] == found["confusion_matrix"] and written["auc"] == found["auc"]
-    collapsed = train_job.run(spark, flights, models, "v2", years, mode="collapsed", extra_identity=tables.ROW_ID, trees=5, depth=4)
-    assert abs(collapsed["auc"] - found["auc"]) < 0.1 and collapsed["rows"] == rows
-    assert collapsed["class_balance"] == found["class_balance"]
-    monkeypatch.setattr(train_job, "FLIGHTS_PER_CELL", 1)
-    auto = train_job.run(spark, flights, models, "v3", years, extra_identity=tables.ROW_ID, trees=5, depth=4)
-    assert auto["mode"] == "collapsed" and auto["auc"] == collapsed["auc"]
+    bagged = train_job.run(spark, flights, models, "v2", years, mode="rows", extra_identity=tables.ROW_ID, trees=5, depth=4)
+    assert abs(bagged["auc"] - found["auc"]) < 0.1 and bagged["rows"] == rows
+    assert bagged["class_balance"] == found["class_balance"]
+    with pytest.raises(ValueError, match="mode"):
+        train_job.run(spark, flights, models, "v3", years, mode="auto")
     out, rejects = str(tmp_path / "scored"), str(tmp_path / "rejects")
     tables.states(spark, SF).write.parquet(str(tmp_path / "states"))
     score_job.run(spark, found["model"], str(tmp_path / "states"), out, rejects)
