@@ -5,9 +5,8 @@ sequence of tokens is an encoding exactly when each two neighbours are the encod
 joined bytes. So one left-to-right pass suffices: after each byte, the last token is the one
 that ends there and may follow the last token of where it starts. Only starts from which some
 longer token may still grow stay alive; tokens on which all live starts agree can't change any
-more. They are emitted when one start is left, or when the bytes held back outgrow the longest
-token. What is left, the token before and the bytes since, is the state of a deterministic
-transducer. States and transitions are made when first met and thrown away beyond a fixed number,
+more and are emitted at once. What is left, the token before and the bytes since, is the state of
+a deterministic transducer. States and transitions are made when first met and thrown away beyond a fixed number,
 so memory is bounded whatever the text; lookahead is bounded by the longest token.
 
 Decoding. Blocks of ids become bytes by one numpy gather; a UTF-8 state machine
@@ -43,17 +42,26 @@ BLOCK = 65_536
 
 
 class _State:
-    """``live``: for each start that may still matter, where it is in the tail, the trie node of the
-    bytes since, and the encoding up to it; ``done`` is the encoding of the whole tail."""
+    """``live``: for each start that may still matter, the trie node of the bytes since, and the
+    encoding up to it; ``done`` is the encoding of the whole tail."""
 
     __slots__ = ("before", "done", "live", "next", "tail")
 
-    def __init__(self, before: int, tail: bytes, live: list[tuple[int, dict, tuple[int, ...]]], done: tuple[int, ...]):
+    def __init__(self, before: int, tail: bytes, live: list[tuple[tuple, tuple[int, ...]]], done: tuple[int, ...]):
         self.before, self.tail, self.live, self.done = before, tail, live, done
         self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
 
 
-_TOKEN = -1  # the key of a trie node's token; other keys are bytes
+_BYTES = [bytes((b,)) for b in range(256)]
+
+
+def _trie(words: list[bytes], ranks: dict[bytes, int], depth: int = 0) -> tuple[dict | None, int | None]:
+    """The node of the words' first ``depth`` bytes, which they share: its children by byte, and the token that ends there."""
+    own = None
+    if len(words[0]) == depth:  # in order, the shortest comes first
+        own, words = ranks[words[0]], words[1:]
+    children = {b: _trie(list(group), ranks, depth + 1) for b, group in itertools.groupby(words, lambda w: w[depth])}
+    return children or None, own
 
 
 class Transducer:
@@ -62,13 +70,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {v: k for k, v in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
-        self.root: dict = {}
-        for word, token in ranks.items():
-            node = self.root
-            for byte in word:
-                node = node.setdefault(byte, {})
-            node[_TOKEN] = token
+        children, _ = _trie(sorted(ranks), ranks) if ranks else (None, None)
+        self.root = children or {}, None
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.follows: dict[int, bool] = {}
         self.states: dict[tuple[int, bytes], _State] = {}
@@ -77,7 +80,7 @@ class Transducer:
     def _forget(self) -> None:
         for state in self.states.values():
             state.next.clear()  # no cycles are left for the garbage collector
-        self.start = _State(-1, b"", [(0, self.root, ())], ())
+        self.start = _State(-1, b"", [(self.root, ())], ())
         self.states = {(-1, b""): self.start}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -136,42 +139,38 @@ class Transducer:
         return len(self.tokens[token]) == 1 or self._halves(token) is not None
 
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        before, live, path = state.before, [], None
-        for x in state.live:  # from the longest token to the shortest
-            node = x[1].get(byte)
+        before, follows, live, path = state.before, self.follows, [], None
+        for node, own in state.live:  # from the longest token to the shortest
+            node = node[0].get(byte)
             if node is None:
                 continue
-            token = node.get(_TOKEN)
-            if token is None:
-                live.append((x[0], node, x[2]))
-                continue
-            if len(node) > 1:
-                live.append((x[0], node, x[2]))
-            if path is None:
-                left = x[2][-1] if x[2] else before
-                known = self.follows.get(left << 32 | token)
+            children, token = node
+            if children:
+                live.append((node, own))
+            if path is None and token is not None:
+                left = own[-1] if own else before
+                known = follows.get(left << 32 | token)
                 if known or known is None and self._may_follow(left, token):
-                    path = (*x[2], token)
+                    path = (*own, token)
         if path is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        tail, out = state.tail + bytes((byte,)), ()
+        tail, out = state.tail + _BYTES[byte], ()
         if not live:
             before, tail, out, path = path[-1], b"", path, ()
-        elif len(tail) > self.longest:
-            agreed = 0
-            while all(x[2][agreed:agreed + 1] == path[agreed:agreed + 1] != () for x in live):
+        elif live[0][1]:  # no token that begins with the tail can grow any more
+            agreed, most = 0, min(len(path), *(len(own) for _, own in live))
+            while agreed < most and all(own[agreed] == path[agreed] for _, own in live):
                 agreed += 1
             if agreed:
                 out, path = path[:agreed], path[agreed:]
-                cut = sum(len(self.tokens[t]) for t in out)
-                before, tail = out[-1], tail[cut:]
-                live = [(at - cut, node, own[agreed:]) for at, node, own in live]
+                before, tail = out[-1], tail[sum(len(self.tokens[t]) for t in out):]
+                live = [(node, own[agreed:]) for node, own in live]
         key = before, tail
         found = self.states.get(key)
         if found is None:
             if len(self.states) > 2 * self.max_states:  # within one very long piece
                 self._forget()
-            live.append((len(tail), self.root, path))
+            live.append((self.root, path))
             found = self.states[key] = _State(before, tail, live, path)
         state.next[byte] = pair = found, out
         return pair
@@ -332,7 +331,10 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", i
         own = codec()
         for batch in batches:
             for piece in pieces(batch, text):
+                gc.disable()  # the transducer makes many objects, and cuts its cycles itself
                 found = _lists([own.encode(t or "") for t in piece.column(text).to_pylist()])
+                gc.freeze()
+                gc.enable()
                 yield pa.RecordBatch.from_arrays([*piece.columns, found], [*piece.schema.names, ids])
 
     return docs.mapInArrow(run, _added(docs, ids, "array<int>"))
