@@ -9,6 +9,7 @@ the first of each kind of line stays, and nothing depends on how the rows are de
 2. Lines of equal sets are merged: by task first, then by the set's hash. What is left are distinct sets with their first place.
 3. Each set sends its rarest words (the prefix: two sets alike have one in common) to the word's shard. There the
    size, position and bitmap filters leave candidates; each later set keeps the nearest few, and how many it had.
+   A word of many sets is cut into chunks, and each two of them are compared in a task of their own.
    Bitmaps stand in sorted arrays below the shared folder: two sets differ in at least as many words as bits.
 4. The candidates' sets are made anew from the texts and intersected. A later set whose listed candidates
    all fail, though it had others, is compared with all of them in a second round, so no match is lost.
@@ -39,7 +40,7 @@ from delayengine.session import new_folder, stage
 THRESHOLD = 0.8
 _BITS = 43  # of a word's hash; the other bits of a number take the line
 _COUNTERS = 1 << 22
-_MAP, LISTED = 8, 4
+_MAP, LISTED, GROUP = 8, 4, 2048
 _PARTS = 64  # rows in which a task hands its counters on
 _LATE = np.int64(2**63 - 1)  # stands for a null id
 
@@ -248,21 +249,31 @@ def _entries(table: pa.Table) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def _candidates(entries: list[np.ndarray], folder: str, shards: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _steps(word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indices of each two entries of a word, by how far apart they stand."""
+    active, step = np.arange(len(word)), 0
+    while len(active):
+        step += 1
+        active = active[active + step < len(word)]
+        active = active[word[active] == word[active + step]]
+        yield active, active + step
+
+
+def _across(cut: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for each entry before ``cut`` with each from there on."""
+    for step in range(1, n):
+        first = np.arange(max(0, cut - step), min(cut, n - step))
+        yield first, first + step
+
+
+def _candidates(entries: list[np.ndarray], cut: int | None, folder: str, shards: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Indices of later and earlier sets that share a word and pass the filters, and how far their bitmaps differ."""
     word, keys, _, _, size, place, bits = entries
     size, place = size.astype(np.int64), place.astype(np.int64)
     part = threshold / (1 + threshold)
     kinds, where = np.unique(keys, return_inverse=True)
     maps = _maps(folder, kinds, shards)
-    active, step = np.arange(len(word)), 0
-    while True:
-        step += 1
-        active = active[active + step < len(word)]
-        active = active[word[active] == word[active + step]]
-        if not len(active):
-            return
-        a, b = active, active + step
+    for a, b in _steps(word) if cut is None else _across(cut, len(word)):
         low, high = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
         need = np.ceil(part * (low + high) - 1e-9).astype(np.int64)
         rest = np.minimum(size[a] - place[a], size[b] - place[b])  # with the word itself
@@ -288,12 +299,11 @@ def _maps(folder: str, keys: np.ndarray, shards: int) -> np.ndarray:
 def _nearest(folder: str, shards: int, threshold: float, listed: int) -> Callable:
     """For each later set of a shard of words its nearest earlier candidates, as many as are listed, and how many it has."""
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        entries = _entries(table)
+    def run(entries: list[np.ndarray], cut: int | None) -> pa.Table:
         keys = entries[1]
         count = np.zeros(len(keys), np.int64)
         best = np.full((len(keys), listed), 1 << 40, np.int64)  # far << 32 | index, ascending
-        for b, a, far in _candidates(entries, folder, shards, threshold):  # each later set at most once at a time
+        for b, a, far in _candidates(entries, cut, folder, shards, threshold):  # each later set at most once at a time
             count[b] += 1
             best[b] = np.sort(np.column_stack([best[b], far << 32 | a]), 1)[:, :listed]
         has = np.flatnonzero(count)
@@ -307,15 +317,15 @@ def _nearest(folder: str, shards: int, threshold: float, listed: int) -> Callabl
 
 
 def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
-    """All candidates of the sets whose keys are stored as open, one row for each pair in the shard."""
+    """All candidates of the sets whose keys are stored as open, one row for each pair at hand."""
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        entries = _entries(table)
+    def run(entries: list[np.ndarray], cut: int | None) -> pa.Table:
         wanted = _stored(folder, "open", entries[1], shards)
         keep = np.isin(entries[0], np.unique(entries[0][wanted]))
+        cut = cut if cut is None else int(keep[:cut].sum())
         entries, wanted = [e[keep] for e in entries], wanted[keep]
         later, earlier = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for b, a, _ in _candidates(entries, folder, shards, threshold):
+        for b, a, _ in _candidates(entries, cut, folder, shards, threshold):
             later.append(entries[1][b[wanted[b]]])
             earlier.append(entries[1][a[wanted[b]]])
         pairs = np.unique(np.stack([np.concatenate(later), np.concatenate(earlier)], 1), axis=0)
@@ -324,6 +334,42 @@ def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
     return run
 
 
+def _chunked(entries: list[np.ndarray], group: int) -> tuple[list[np.ndarray], pa.Table]:
+    """The entries of words with at most ``group``, and those of the others in chunks of that size, in order."""
+    word = entries[0]
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))[:len(word)])
+    count = np.diff(first, append=len(word))
+    rows = []
+    for start, n in zip(first[count > group].tolist(), count[count > group].tolist(), strict=True):
+        for at in range(0, n, group):
+            block = pack([e[start + at:start + min(at + group, n)] for e in entries])
+            rows.append((int(word[start]), at // group, -(-n // group), block))
+    kinds = [("word", pa.int64()), ("chunk", pa.int32()), ("chunks", pa.int32()), ("block", pa.binary())]
+    table = pa.table([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [name for name, _ in kinds])
+    small = np.repeat(count <= group, count)
+    return [e[small] for e in entries], table
+
+
+def _compared(merged: DataFrame, find: Callable, columns: str, group: int, label: str) -> DataFrame:
+    """The rows that ``find`` gives for the entries of each shard of words, or of each two chunks of a word."""
+
+    def words(key: tuple, table: pa.Table) -> pa.Table:
+        entries, chunks = _chunked(_entries(table), group)
+        return pa.concat_tables([find(entries, None), chunks], promote_options="default")
+
+    def chunks(key: tuple, table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("chunk").to_numpy())
+        parts = [unpack(b) for b in table.column("block").take(pa.array(order)).to_pylist()]
+        cut = len(parts[0][0]) if len(parts) == 2 else None
+        return find([np.concatenate(c) for c in zip(*parts, strict=True)], cut)
+
+    rows = stage(merged.groupBy("shard").applyInArrow(words, f"{columns}, word bigint, chunk int, chunks int, block binary"), label)
+    twice = rows.where(F.col("block").isNotNull()).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    twice = twice.select("word", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "block")
+    small = rows.where(F.col("block").isNull()).drop("word", "chunk", "chunks", "block")
+    return small.unionByName(twice.groupBy("word", "low", "high").applyInArrow(chunks, columns))
+
+
 def _store(rows: DataFrame, folder: str, name: str, shards: int) -> None:
     """Write the distinct values of the only column as sorted arrays, one file for each shard of them."""
 
@@ -420,10 +466,10 @@ def _removing(folder: str, shards: int, columns: list[str]) -> Callable:
     return run
 
 
-def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LISTED) -> DataFrame:
+def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LISTED, group: int = GROUP) -> DataFrame:
     """``docs`` (doc_id, text, and what else there is) with later lines removed from the texts, and their number in ``removed``.
 
-    ``listed`` candidates of each line are compared first; it changes no result.
+    ``listed`` candidates of each line are compared first, and a word of over ``group`` sets is split; neither changes a result.
     """
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -433,7 +479,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     merged = texts.mapInArrow(_lines_out(levels, threshold, shards), BLOCKS).groupBy("shard").applyInArrow(_sets_merged(folder, shards), BLOCKS)
     columns = "later bigint, best array<struct<far:bigint,earlier:bigint>>, n bigint"
     # the words of a set may be in several shards: the sum of n is at least its number of candidates
-    nearest = merged.groupBy("shard").applyInArrow(_nearest(folder, shards, threshold, listed), columns)
+    nearest = _compared(merged, _nearest(folder, shards, threshold, listed), columns, group, "line-nearest")
     best = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, listed)
     nearest = stage(nearest.groupBy("later").agg(best.alias("best"), F.sum("n").alias("n")), "line-candidates")
     pairs = nearest.select("later", F.explode("best.earlier").alias("earlier")).distinct()
@@ -442,7 +488,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     open_ = stage(nearest.where(F.col("n") > F.size("best")).join(first, "later", "left_anti").select("later"), "line-open")
     if not open_.isEmpty():
         _store(open_, folder, "open", shards)
-        pairs = merged.groupBy("shard").applyInArrow(_all_candidates(folder, shards, threshold), "later bigint, earlier bigint").distinct()
+        pairs = _compared(merged, _all_candidates(folder, shards, threshold), "later bigint, earlier bigint", group, "line-all").distinct()
         near = near.unionByName(_verified(stage(pairs, "line-pairs"), texts, folder, "second", shards, threshold).select("later"))
     _store(near, folder, "near", shards)
     fields = [f.name for f in docs.schema.fields]

@@ -102,11 +102,12 @@ def kept_lines(rows, least=0.8):
     return out
 
 
-@pytest.mark.parametrize("listed", [4, 0])  # without a list all lines go to the second round
-def test_lines_equal_a_walk_over_all(documents, listed):
+# without a list all lines go to the second round; with a small group most words are split
+@pytest.mark.parametrize(("listed", "group"), [(4, 2048), (0, 2048), (4, 3), (0, 3)])
+def test_lines_equal_a_walk_over_all(documents, listed, group):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     want = {k[0]: v for k, v in kept_lines(rows).items()}
-    got = {r.doc_id: (r.text, r.removed) for r in lines.deduplicate(documents, listed=listed).collect()}
+    got = {r.doc_id: (r.text, r.removed) for r in lines.deduplicate(documents, listed=listed, group=group).collect()}
     assert {k: v[0] for k, v in got.items()} == want
     assert all((got[d][1] == 0) == (got[d][0] == t) for d, t in rows)
 
