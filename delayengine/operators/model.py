@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -123,15 +124,25 @@ class ScoreTable:
 
 def tabulate(spark: SparkSession, model: PipelineModel) -> ScoreTable:
     """Run the model once over its whole input space and store the answers."""
-    known = tuple(model.stages[0].labels)
+    answer = vector_to_array("probability")[1]
+    return score_table(spark, tuple(model.stages[0].labels), answer, model.transform)
+
+
+def score_table(
+    spark: SparkSession,
+    known: tuple[str, ...],
+    probability: Column,
+    transform: Callable[[DataFrame], DataFrame] = lambda grid: grid,
+) -> ScoreTable:
+    """The answers of any rule over the whole input space."""
     other = "?" * (1 + max(map(len, known), default=0))
     grid = spark.createDataFrame([(c,) for c in (*known, other)], "carrier string")
     for name, (low, high) in FEATURE_RANGES.items():
         grid = grid.withColumn(name, F.explode(F.sequence(F.lit(low), F.lit(high))))
-    answers = model.transform(grid).select(
+    answers = transform(grid).select(
         F.col("carrier").alias("known_carrier"),
         *FEATURE_RANGES,
-        vector_to_array("probability")[1].alias("delay_probability"),
+        probability.alias("delay_probability"),
     )
     return ScoreTable(stage(answers, "scores"), known, other)
 

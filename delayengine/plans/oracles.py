@@ -56,6 +56,19 @@ rows_v AS (
   FROM flights_v WHERE CANCELLED <> 1 AND ARR_DELAY IS NOT NULL
 )"""
 
+HELD_OUT = """('0x' || substr(md5(concat_ws('|', 42, FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME,
+    l_orderkey, l_linenumber)), 1, 8))::BIGINT % 10 >= 8 AS held_out"""
+SPLIT = ROWS.replace("SELECT OP_CARRIER", f"SELECT {HELD_OUT}, OP_CARRIER")
+
+
+def _rule(carrier: str) -> str:
+    return f"(ascii({carrier}) + hour_of_day * 7 + day_of_week * 3 + month) % 20 / 20e0"
+
+
+RULED = ROWS + f""",
+ruled_v AS (SELECT is_delayed AS y, p, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS z
+  FROM (SELECT is_delayed, {_rule("carrier")} AS p FROM rows_v))"""
+
 
 def _iso(ts: str) -> str:
     return (
@@ -343,6 +356,33 @@ ORACLES: dict[str, str] = {
     "training_cells": f"""WITH {ROWS} SELECT carrier, hour_of_day, day_of_week, month, is_delayed,
         sum(CASE WHEN is_delayed = 1 THEN 2e0 ELSE 1e0 END) AS class_weight
         FROM rows_v GROUP BY ALL""",
+    "holdout_tally": f"""WITH {SPLIT} SELECT carrier, hour_of_day, day_of_week, month, is_delayed, held_out,
+        count(*) AS flights FROM rows_v GROUP BY ALL""",
+    "score_agreement": f"""WITH {SPLIT} SELECT count(*) AS compared, 0::BIGINT AS mismatches FROM (SELECT DISTINCT
+        carrier, hour_of_day, day_of_week, month, is_delayed FROM rows_v WHERE held_out)""",
+    "scored_by_rule": f"""WITH {FLIGHTS}, k AS (SELECT l_orderkey, l_linenumber,
+          CASE WHEN OP_CARRIER IN ('AA', 'DL', 'UA', 'WN') THEN OP_CARRIER ELSE '???' END AS carrier,
+          CRS_DEP_TIME // 100 % 24 AS hour_of_day, dayofweek(CAST(FL_DATE AS DATE)) + 1 AS day_of_week,
+          month(CAST(FL_DATE AS DATE)) AS month FROM flights_v)
+        SELECT l_orderkey, l_linenumber, p AS delay_probability,
+          CASE WHEN p < 0.3 THEN 'low' WHEN p < 0.6 THEN 'medium' ELSE 'high' END AS risk_label
+        FROM (SELECT *, {_rule("carrier")} AS p FROM k)""",
+    "confusion_by_rule": f"""WITH {RULED}
+        SELECT 'label_' || y || '_pred_' || z AS cell, count(*) AS flights FROM ruled_v GROUP BY ALL""",
+    "metrics_by_rule": f"""WITH {RULED},
+        u AS (SELECT sum(late * (below + fine / 2e0)) / (sum(late) * sum(fine)) AS auc FROM (
+          SELECT late, fine, sum(fine) OVER (ORDER BY p ROWS UNBOUNDED PRECEDING) - fine AS below FROM (
+            SELECT p, count(*) FILTER (WHERE y = 1) AS late, count(*) FILTER (WHERE y = 0) AS fine
+            FROM ruled_v GROUP BY p))),
+        c AS (SELECT k, count(*)::DOUBLE AS n, count(*) FILTER (WHERE y = k)::DOUBLE AS own,
+            count(*) FILTER (WHERE z = k)::DOUBLE AS said, count(*) FILTER (WHERE y = k AND z = k)::DOUBLE AS hit
+          FROM ruled_v, (VALUES (0), (1)) AS classes(k) GROUP BY k),
+        r AS (SELECT k, n, hit, own / n AS share, hit / said AS prec, hit / own AS rec FROM c)
+        SELECT (SELECT {_round("auc", 4)} FROM u) AS auc,
+          {_round("sum(hit) / max(n)", 4)} AS accuracy,
+          {_round("sum(share * prec ORDER BY k)", 4)} AS precision,
+          {_round("sum(share * rec ORDER BY k)", 4)} AS recall,
+          {_round("sum(share * (2e0 * prec * rec / (prec + rec)) ORDER BY k)", 4)} AS f1 FROM r""",
     "class_balance": f"""WITH {ROWS} SELECT count(*) AS total,
         {_round("count(*) FILTER (WHERE is_delayed = 1) / count(*)", 4)} AS delayed_pct,
         {_round("count(*) FILTER (WHERE is_delayed = 0) / count(*)", 4)} AS on_time_pct FROM rows_v""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -234,6 +235,48 @@ def predictions_filled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The same steps with probabilities by a formula, which SQL can repeat.
+RULE_CARRIERS = ("AA", "DL", "UA", "WN")
+
+
+def _rule(carrier: Column) -> Column:
+    mixed = F.ascii(carrier) + F.col("hour_of_day") * 7 + F.col("day_of_week") * 3 + F.col("month")
+    return (mixed % 20) / F.lit(20.0)
+
+
+def scored_by_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Flights through a score table that knows some of their carriers."""
+    rows = features.with_calendar(_flights(spark, sf)).withColumnRenamed("OP_CARRIER", "carrier")
+    table = model.score_table(spark, RULE_CARRIERS, _rule(F.col("carrier")))
+    return model.score(table, rows).select(*tables.ROW_ID, "delay_probability", "risk_label")
+
+
+def _rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = evaluate.tally(_rows(spark, sf)).withColumn("rawPrediction", _rule(F.col("carrier")))
+    return rows.withColumn("prediction", (F.col("rawPrediction") >= 0.5).cast("double"))
+
+
+def confusion_by_rule(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.confusion(_rule_predictions(spark, sf))
+
+
+def metrics_by_rule(spark: SparkSession, sf: str) -> DataFrame:
+    found = evaluate.metrics(_rule_predictions(spark, sf))
+    return found.select("auc", "accuracy", "precision", "recall", "f1")
+
+
+def score_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out rows, and how many get another probability from the score table than from the forest."""
+    train, test = _tallied(spark, sf)
+    forest = model.fit(train)
+    direct = forest.transform(test).withColumn("direct", vector_to_array("probability")[1])
+    both = model.tabulate(spark, forest).look_up(direct, "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("compared"),
+        F.count_if(~F.col("delay_probability").eqNullSafe(F.col("direct"))).alias("mismatches"),
+    )
+
+
 # --- Live: states --------------------------------------------------------------------
 
 
@@ -511,7 +554,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality_report, quality_summary, enriched_quality, live_quality,
         temporal_features, labelled, training_rows, training_cells, class_balance,
         holdout_tally, scored_flights, confusion_matrix, model_metrics,
-        collapsed_model_metrics, predictions_filled,
+        collapsed_model_metrics, predictions_filled, scored_by_rule, confusion_by_rule,
+        metrics_by_rule, score_agreement,
         country_reference, country_reference_coherent, airports_filtered, airports_rejected,
         airports_upsert, state_enriched, latest_state, live_expired, live_limit,
         carrier_strict, carrier_fallback, state_features, states_json_parsed, state_vectors,
