@@ -6,8 +6,9 @@ joined bytes. So one left-to-right pass suffices: after each byte, the last toke
 that ends there and may follow the last token of where it starts. Only starts from which some
 longer token may still grow stay alive; tokens on which all live starts agree can't change any
 more and are emitted at once. What is left, the token before and the bytes since, is the state of
-a deterministic transducer. States and transitions are made when first met and thrown away beyond a fixed number,
-so memory is bounded whatever the text; lookahead is bounded by the longest token.
+a deterministic transducer. States and transitions are made when first met. Beyond a fixed number they
+are used once and not kept, and after many such all are thrown away, so memory is bounded whatever the
+text; lookahead is bounded by the longest token.
 
 Decoding. Blocks of ids become bytes by one numpy gather; a UTF-8 state machine
 carries an unfinished character from block to block.
@@ -36,8 +37,8 @@ from pyspark.sql.types import StructType
 from delayengine.llm.words import pieces
 
 MAX_VOCABULARY_BYTES = 64 << 20
-MAX_STATES = 200_000
-MAX_PIECES = 800_000
+MAX_STATES = 80_000
+MAX_PIECES = 300_000
 BLOCK = 65_536
 
 
@@ -80,6 +81,7 @@ class Transducer:
     def _forget(self) -> None:
         for state in self.states.values():
             state.next.clear()  # no cycles are left for the garbage collector
+        self.missed = 0
         self.start = _State(-1, b"", [(self.root, ())], ())
         self.states = {(-1, b""): self.start}
 
@@ -168,15 +170,17 @@ class Transducer:
         key = before, tail
         found = self.states.get(key)
         if found is None:
-            if len(self.states) > 2 * self.max_states:  # within one very long piece
-                self._forget()
             live.append((self.root, path))
-            found = self.states[key] = _State(before, tail, live, path)
+            found = _State(before, tail, live, path)
+            if len(self.states) >= self.max_states:  # full: the state is used once, those met first stay
+                self.missed += 1
+                return found, out
+            self.states[key] = found
         state.next[byte] = pair = found, out
         return pair
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.states) > self.max_states:
+        if self.missed > 8 * self.max_states:  # the texts may have changed
             self._forget()
         state, out, step = self.start, [], self._step
         for byte in data:
@@ -188,18 +192,25 @@ class Transducer:
 
 
 class _Met(dict):
-    """Pieces met lately with their ids as int32 bytes; it encodes what it lacks."""
+    """Pieces met lately with their ids as int32 bytes; it encodes what it lacks.
+
+    At half of ``MAX_PIECES`` the pieces become the old ones; of those, what is met again is kept.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks, self.transducer = ranks, Transducer(ranks)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.ranks.get(data)  # a piece that is a token stays whole, whether or not merges make it
-        ids = array("i", self.transducer.encode(data) if whole is None else (whole,)).tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            data = piece.encode()
+            whole = self.ranks.get(data)  # a piece that is a token stays whole, whether or not merges make it
+            ids = array("i", self.transducer.encode(data) if whole is None else (whole,)).tobytes()
         if len(piece) <= 64:
-            if len(self) >= MAX_PIECES:
+            if len(self) >= MAX_PIECES // 2:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
