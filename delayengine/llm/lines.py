@@ -140,7 +140,8 @@ def _prefixes(lines: Lines, levels: np.ndarray, threshold: float) -> tuple[np.nd
     order = (np.sort(numbers) & np.uint64((1 << 28) - 1)).astype(np.int64) if len(owner) < 1 << 28 else np.lexsort((lines.words, level, owner))
     place = runs(lines.size)
     least = np.ceil(lines.size * threshold - 1e-9).astype(np.int64)
-    length = np.where(least < lines.size, lines.size - least + 1, 0)  # where all words must agree, equal sets are merged already
+    larger = np.floor(lines.size / threshold + 1e-9) > lines.size  # else all words must agree, and equal sets are merged already
+    length = np.where(larger, lines.size - least + 1, 0)
     keep = (place < length[owner]) & (level[order] > 1)
     return owner[keep], place[keep], lines.words[order][keep]
 

@@ -122,3 +122,15 @@ def test_lines_of_odd_rows(odd, nothing):
     assert kept.columns == odd.columns
     assert kept.where("doc_id is null and text = ''").count() == 0  # it lost its only line
     assert lines.clean_lines(nothing).count() == 0 and lines.remove_lines(nothing).collect() == []
+
+
+@pytest.mark.parametrize(("listed", "group"), [(4, 2048), (0, 3)])
+def test_short_lines_inside_longer_ones(spark, listed, group):
+    rows = [
+        (1, "Are is anwh reenen."), (2, "As are is anwh reenen."), (3, "red green blue white black"), (4, "white blue\ngreen red blue white"),
+        (5, "one two three"), (6, "one two three four"), (7, "w1 w2 w3 w4 w5\nw1 w2 w3 w4 w5 w6"), (8, "v1 v2 v3 v4\nv1 v2 v3 v5\nv0 v4 v3 v2 v1"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.deduplicate(table, listed=listed, group=group).collect()}
+    assert got == {k[0]: v for k, v in kept_lines(rows).items()}
+    assert (got[2], got[4], got[6]) == ("", "white blue", "one two three four")
