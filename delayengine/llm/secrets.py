@@ -3,11 +3,12 @@
 Patterns. A regular expression gives, for each match and for what follows the last one, the text before it and the
 match; running sums of their lengths are the spans, in code points. Only texts with a match get that far.
 
-Entropy. Candidates are runs of 20 and more key characters with digits and letters. A window of 20 characters slides over
-each; per class (hex digits, base-64 characters) the counts of the window are kept, and a step changes
+Entropy. Candidates are runs of 20 and more key characters with digits and letters that no span of a pattern covers; of
+a run that one covers in part, the rest. A window of 20 characters slides over
+each; per class (hex digits of either case, base-64 characters) the counts of the window are kept, and a step changes
 the sum of c log2 c by the character that comes and the one that goes. Where the class's entropy reaches
 its limit, the candidate is a span of kind ``entropy``, unless it is on the allow-list (UUIDs, plain words and
-numbers, paths, runs such as the alphabet) or overlaps a span of a pattern.
+numbers, paths, runs such as the alphabet).
 
 Null texts are empty texts, and these have no spans. Each row is handled alone, whole, so repeated rows give equal
 results; only doc_id and text are read. Positions don't depend on the bytes a character takes.
@@ -99,11 +100,20 @@ def _classes() -> dict[str, str]:
 
 def _suspicious(text: Column) -> Column:
     """Whether a candidate's entropy reaches the limit of a class and it isn't on the allow-list."""
-    classes = _classes()
-    checks = [window_entropy(text, letters) >= LIMITS[name] for name, letters in classes.items()]
+    checks = [window_entropy(F.lower(text) if name == "hex" else text, letters) >= LIMITS[name] for name, letters in _classes().items()]
     return (~text.rlike(_ALLOWED)) & text.rlike("[0-9]") & text.rlike("[A-Za-z]") & (checks[0] | checks[1])
 
 
+def _uncovered(run: Column, base: Column) -> Column:
+    """Array of (start, size): the parts of a run that no span covers, as long as a window."""
+    end = run["start"] + run["size"]
+    first = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,size:int>>").alias("out"))
+    part = lambda acc, to: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), (to - acc["at"]).alias("size"))))
+    add = lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), part(acc, b["start"]).alias("out"))
+    overlapping = F.filter(base, lambda b: (b["start"] < end) & (run["start"] < b["end"]))
+    return F.filter(F.aggregate(overlapping, first, add, lambda acc: part(acc, end)), lambda p: p["size"] >= WINDOW)
+
+
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (start, order, kind, end) by start, then kind; end is exclusive."""
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -115,8 +125,7 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     runs = F.when(whole.rlike(_CANDIDATE), _matches(whole, _CANDIDATE)).otherwise(none)
     out = docs.withColumns({"base": base, "__runs": runs})
     piece = lambda m: F.substring(whole, m["start"] + 1, m["size"])
-    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["start"] + m["size"]) & (m["start"] < b["end"]))
-    loose = F.filter("__runs", apart)
+    loose = F.flatten(F.transform("__runs", lambda m: _uncovered(m, F.col("base"))))
     extra = F.transform(
         F.filter(loose, lambda m: _suspicious(piece(m))),
         lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("order"), F.lit("entropy").alias("kind"), (m["start"] + m["size"]).alias("end")),

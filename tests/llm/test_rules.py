@@ -190,6 +190,20 @@ def test_secrets_equal_plain_expressions(spark, documents):
             assert [texts[r.doc_id][int(a):int(e)] for _, a, e in own] == (["Zm9vYmFyQmF6UXV4MTIzNDU2Nzg5"] if r.doc_id == 10_003 else [])
 
 
+def test_keys_of_upper_case_hex_and_beside_patterns(spark):
+    rng = random.Random(5)
+    keys = ["".join(rng.choice("0123456789ABCDEF") for _ in range(n)) for n in (20, 32, 40) for _ in range(20)] + ["9a3F" * 2 + "B0c7E1d58264fA9B"]
+    texts = [f"é🎉 key {k} end" for k in keys]
+    beside = [("deadbeef01234567", "/", keys[40]), (keys[41], "-", "deadbeef01234567"), (keys[42] + "/", "deadbeef01234567" * 2, "/" + keys[43])]
+    texts += ["".join(b) for b in beside] + ["AB" * 20, "A0" * 20, "123E4567-E89B-12D3-A456-426614174000"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][int(a):int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "entropy"]
+             for r in secrets.scan_corpus(table).collect()}
+    assert sum(found[i] == [k] for i, k in enumerate(keys)) >= 0.9 * len(keys)
+    assert [found[len(keys) + i] for i in range(3)] == [["/" + keys[40]], [keys[41] + "-"], [keys[42] + "/", "/" + keys[43]]]
+    assert [found[len(keys) + i] for i in range(3, 6)] == [[], [], []]
+
+
 def test_window_entropy(spark):
     import math
     from collections import Counter
