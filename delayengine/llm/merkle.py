@@ -1,9 +1,13 @@
 """Merkle fingerprints of documents, from built-in functions alone.
 
-Blank lines end a section, lines are paragraphs, and phrases of a few words are the leaves of a paragraph. A fingerprint is
-``root:section/section``; a section's paragraphs are joined by ``|``, each as ``digest=leaf,leaf``. A
-paragraph's digest is of its text, the root of all sections' digests, each of its paragraphs' digests. So
-equal roots mean equal texts, unequal digests say which paragraphs differ, and the leaves how much.
+Blank lines end a section, lines are paragraphs, and phrases of a few words are the leaves of a paragraph. Digests are
+built from below: a leaf's is the SHA-256 of its phrase, a paragraph's that of its leaves' digests, each after the white space
+before its phrase, a section's that of its paragraphs', and the root that of its sections'. The blank lines before a section
+count to its first paragraph. So equal roots mean equal texts, and texts that differ differ in a paragraph.
+
+A fingerprint is ``root:section/section`` with the root in full; a section is ``digest>paragraph|paragraph``, a paragraph
+``digest=leaf,leaf``, with the first 16 digits of these digests and 8 of a leaf's. Two trees are compared from
+the root down: only below unequal digests at one place does the comparison go on.
 
 A null text is the empty text, which is one empty section, paragraph and leaf. Documents follow one another by doc_id;
 null ids come first, and rows of one id are ordered by a hash of their text, so equal rows are followed by each other. A
@@ -23,44 +27,80 @@ _SECTION, _PARAGRAPH = r"\n[ \t\r]*\n", r"\n"
 _PHRASE = r"(?<=[.!?;:,dn])\s+"
 
 
-def _digest(text: Column, digits: int) -> Column:
-    return F.substring(F.sha2(text.cast("binary"), 256), 1, digits)
+def _digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def _parts(text: Column, pattern: str) -> Column:
+    """Array of (text, before): what the pattern parts, each with the separator before it."""
+    before = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.arrays_zip(F.split(text, pattern).alias("text"), before.alias("before"))
+
 
+def _branch(children: Column, digits: int, mark: str, inner: str, between: Column) -> Column:
+    """(digest, print) of a node by its children's; ``between`` is hashed with their digests, which are printed at ``digits``."""
+    return F.struct(_digest(between).alias("digest"), F.array_join(F.transform(children, lambda c: F.concat(F.substring(c["digest"], 1, digits), F.lit(mark), c["print"])), inner).alias("print"))
 
-def _leaf(phrase: Column) -> Column:
-    return F.lower(F.lpad(F.hex(F.xxhash64(phrase).bitwiseAND(0xFFFFFFFF)), 8, "0"))
+
+def _leaves(paragraph: Column, before: Column) -> Column:
+    """Array of (digest, before, print) of a paragraph's phrases; ``before`` is what stands before the first."""
+    leaf = lambda p, i: F.struct(
+        _digest(p["text"]).alias("digest"), F.when(i == 0, before).otherwise(p["before"]).alias("before"), F.lit("").alias("print"),
+    )
+    return F.transform(_parts(paragraph, _PHRASE), leaf)
 
 
-def _paragraph(text: Column) -> Column:
-    return F.concat(_digest(text, 16), F.lit("="), F.array_join(F.transform(F.split(text, _PHRASE), _leaf), ","))
+def _paragraphs(section: Column) -> Column:
+    """Array of (digest, print) of a section's paragraphs."""
+    grown = F.transform(F.split(section["text"], _PARAGRAPH), lambda p, i: _leaves(p, F.when(i == 0, section["before"]).otherwise(F.lit(""))))
+    return F.transform(grown, lambda c: _branch(c, 8, "", ",", F.array_join(F.transform(c, lambda x: F.concat(x["before"], x["digest"])), "")))
 
 
 def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text; equal texts have equal ones."""
-    section = lambda s: F.array_join(F.transform(F.split(s, _PARAGRAPH), _paragraph), "|")
-    tree = F.array_join(F.transform(F.split(F.coalesce(text, F.lit("")), _SECTION), section), "/")
-    # splits drop which white space parted sections and phrases, so the root also covers the text itself
-    return F.concat(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), F.lit(":"), tree)
+    """The fingerprint of a text; equal texts have equal ones, and others others."""
+    joined = lambda c, by: F.array_join(F.transform(c, lambda x: x["digest"]), by)
+    sections = F.transform(F.transform(_parts(F.coalesce(text, F.lit("")), _SECTION), _paragraphs), lambda c: _branch(c, 16, "=", "|", joined(c, "|")))
+    top = F.transform(F.array(sections), lambda c: _branch(c, 16, ">", "/", joined(c, "/")))[0]
+    return F.concat_ws(":", top["digest"], top["print"])
 
 
 def root(print_: Column) -> Column:
     return F.substring_index(print_, ":", 1)
 
 
-def paragraphs(print_: Column) -> Column:
-    """Digests of all paragraphs, in order."""
-    return F.transform(F.split(F.substring_index(print_, ":", -1), "[/|]"), lambda p: F.substring_index(p, "=", 1))
+def _sections(print_: Column) -> Column:
+    return F.split(F.substring_index(print_, ":", -1), "/")
+
+
+def _digests(section: Column) -> Column:
+    """Digests of a section's paragraphs, in order; none where there is no section."""
+    found = F.transform(F.split(F.substring_index(section, ">", -1), r"\|"), lambda p: F.substring_index(p, "=", 1))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def leaves(print_: Column) -> Column:
-    return F.split(F.regexp_replace(F.substring_index(print_, ":", -1), "[0-9a-f]{16}=", ""), "[/|,]")
+    return F.split(F.regexp_replace(F.substring_index(print_, ":", -1), "[0-9a-f]{16}[=>]", ""), "[/|,]")
 
 
 def changed(old: Column, new: Column) -> Column:
-    """Places, from 0, of the paragraphs of ``new`` that ``old`` lacks: none below equal roots."""
-    own, other = paragraphs(new), paragraphs(old)
-    places = F.filter(F.sequence(F.lit(0), F.size(own) - 1), lambda i: ~F.array_contains(other, own[i]))
-    return F.when(root(old) == root(new), F.array().cast("array<int>")).otherwise(places)
+    """Places, from 0, of the paragraphs that differ: none below equal roots or sections.
+
+    Sections meet by position, and in unequal ones paragraphs do. A section has as many places as its longer form has
+    paragraphs, so one that only one of the texts has, or that moved, is reported at each place that it leaves or takes.
+    """
+    none = F.array().cast("array<int>")
+
+    def step(acc: Column, pair: Column) -> Column:
+        a, b = _digests(pair["a"]), _digests(pair["b"])
+        n = F.greatest(F.size(a), F.size(b))
+        unlike = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~F.get(a, i).eqNullSafe(F.get(b, i)))
+        same = F.substring_index(pair["a"], ">", 1).eqNullSafe(F.substring_index(pair["b"], ">", 1))
+        out = F.when(same, acc["out"]).otherwise(F.concat(acc["out"], F.transform(unlike, lambda i: acc["at"] + i)))
+        return F.struct((acc["at"] + n).alias("at"), out.alias("out"))
+
+    pairs = F.arrays_zip(_sections(old).alias("a"), _sections(new).alias("b"))
+    places = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return F.when(root(old) == root(new), none).otherwise(places)
 
 
 def likeness(left: Column, right: Column) -> Column:

@@ -46,6 +46,36 @@ def test_fingerprints_locate_edits(spark):
     assert 0 < pair.select(merkle.likeness(F.col("a"), F.col("b"))).first()[0] < 1
 
 
+def plain_tree(text):
+    """Root, section and paragraph digests of a text, built from below."""
+    sections = re.split(r"(\n[ \t\r]*\n)", text)
+    tree, before = [], ""
+    for at in range(0, len(sections), 2):
+        own = []
+        for i, paragraph in enumerate(sections[at].split("\n")):
+            parts = ["" if i or not at else sections[at - 1], *re.split(r"(?<=[.!?;:,dn])([ \t\n\x0B\f\r]+)", paragraph)]
+            own.append(sha("".join(parts[j] + sha(parts[j + 1]) for j in range(0, len(parts), 2))))
+        tree.append((sha("|".join(own)), own))
+    return sha("/".join(s for s, _ in tree)), tree
+
+
+def test_fingerprints_are_trees_whose_differences_are_found(spark):
+    texts = [
+        "a b.\nc d.\n\ne f.", "a b.\n\ne f.", "c d.\na b.\n\ne f.", "a b.\nc d.\na b.\n\ne f.", "a b.\nc d.", "e f.\n\na b.\nc d.",
+        "a b.\nc d.\n \ne f.", "a b.\nc d.\n\n\ne f.", "a b.\nc d.\r\n\r\ne f.\n", "", "\n\n", "one. two and three\tin  é 🎉, four",
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("p", merkle.fingerprint(F.col("t")))
+    prints = {r.i: r.p for r in frame.collect()}
+    for i, t in enumerate(texts):
+        top, tree = plain_tree(t)
+        assert prints[i].split(":")[0] == top
+        assert re.sub("=[0-9a-f,]*", "", prints[i].split(":")[1]) == "/".join(f"{s[:16]}>" + "|".join(p[:16] for p in own) for s, own in tree)
+    pairs = spark.createDataFrame([(i, j, prints[i], prints[j]) for i in prints for j in prints], "i int, j int, a string, b string")
+    got = {(r.i, r.j): r.c for r in pairs.select("i", "j", merkle.changed(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert [got[0, j] for j in range(7)] == [[], [1], [0, 1], [2], [2], [0, 1, 2, 3], [2]]
+    assert got[1, 0] == [1] and all(bool(c) == (i != j) for (i, j), c in got.items())
+
+
 def test_fingerprints_of_odd_rows(odd, nothing):
     got = merkle.edited_corpus(odd).collect()
     assert len(got) == odd.count() and all(0 <= r.near_edited <= 1 for r in got)
