@@ -123,6 +123,23 @@ def test_pages_without_an_article_lose_what_the_nearest_url_shares(spark, docume
         assert got[100] == "Top line\nOwn é 100 text\nAlso 100\nBottom"
 
 
+def test_copies_and_mixed_hosts_without_an_article(spark, documents):
+    rows = [(10 * i + j, f"http://copies.org/a/{i}/{j}", PAGE.format(i)) for i in range(4) for j in range(5)]
+    rows += [(1000 + j, f"http://only.org/{j}", PAGE.format(7)) for j in range(4)]
+    article = PAGE.replace("<p>Own", "<article><p>Own").replace("Also {0}</p>", "Also {0}</p></article>")
+    rows += [(2000 + i, f"http://mixed.org/{i}", (PAGE if i % 4 == 1 else article).format(i)) for i in range(12)]
+    rows += [(3000, "http://same.org/1", article.format(5)), (3001, "http://same.org/2", PAGE.format(5)), (3002, "http://same.org/3", PAGE.format(6))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = "Own é {0} text\nAlso {0}".format
+    for size in (2000, 2):
+        got = {r.page_id: r.text for r in pages.extract(table, size).collect()}
+        assert len(got) == len(rows)
+        assert all(got[10 * i + j] == text(i) for i in range(4) for j in range(5))
+        assert all(got[1000 + j] == f"Top line\n{text(7)}\nBottom" for j in range(4))
+        assert all(got[2000 + i] == text(i) for i in range(12))
+        assert (got[3000], got[3001], got[3002]) == (text(5), text(5), text(6))
+
+
 def test_markup(documents):
     page = """<!-- <p>no</p> --><script>if (a<b) "</p>"</script><header class=x>H</header><main><h1>T &lt;i</h1>
       <p>one<br>two&nbsp;  three<p>four <a href='x>y'>five</a></p><div id="comments"><p>c</p></div><aside>s</aside>
