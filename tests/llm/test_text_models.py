@@ -194,3 +194,18 @@ def test_toxicity_of_odd_rows(spark, odd, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score_corpus(odd, none).collect()} == {0.0}
     assert toxicity.score_corpus(nothing, labels).count() == 0
+
+
+def test_a_rare_class_keeps_its_rows_in_the_sample(spark, documents):
+    plain, bad = [f"word{i}" for i in range(60)], [f"slur{i}" for i in range(6)]
+    rng, rows = random.Random(6), []
+    for i in range(8000):
+        text = rng.choices(plain, k=12) + (rng.choices(bad, k=4) if i % 100 == 0 else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(i % 100 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    model = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.col("doc_id") % 400 != 0, sample_rows=400, max_entries=40)
+    got = {r.doc_id: r.score for r in toxicity.score(table.select("doc_id", "text"), model).collect()}
+    toxic, ordinary = [got[i] for i, _, t in rows if t], [got[i] for i, _, t in rows if not t]
+    assert min(toxic) > max(ordinary) and sum(x > 0.5 for x in toxic) > 0.9 * len(toxic)
+    assert 0.005 < sum(got.values()) / len(got) < 0.02  # the classes' shares of all labels, not of the sample
