@@ -7,7 +7,8 @@ none with a passage is lost. Each is then aligned in a band of that width; the e
 
 Texts and items are compared in lower case with each run of white space as one space, as UTF-8
 bytes: a changed accented letter may count as two edits. ``max_rate`` of an item's length is its edit budget, less
-where the lemma needs it. Items of fewer than ``MIN_CHARS`` bytes say too little and match nothing.
+where the lemma needs it. Items of fewer than ``MIN_CHARS`` bytes match without edits and between word boundaries only; those
+of fewer than Q bytes have no q-gram and are looked up whole where words begin.
 
 Items are read in blocks of at most ``BLOCK_BYTES``; each block's index is broadcast and meets all documents, so
 no item is dropped however many there are, and what is broadcast has a fixed bound. A block passes the
@@ -34,6 +35,7 @@ MAX_RATE = 0.1
 MIN_CHARS = 24
 BLOCK_BYTES = 4 << 20
 _SIEVE_BITS = 18
+_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])  # bytes of words
 MATCHES = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
 
 
@@ -56,15 +58,22 @@ def _sieve(grams: np.ndarray) -> np.ndarray:
     return (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SIEVE_BITS)
 
 
+def _apart(text: np.ndarray, start: int, end: int) -> bool:
+    """Whether no word goes on across either end."""
+    return not any(0 < at < len(text) and _WORD[text[at - 1]] and _WORD[text[at]] for at in (start, end))
+
+
 class Index:
     """Where each q-gram stands in a block of items."""
 
     def __init__(self, ids: list[int], items: list[bytes], max_rate: float = MAX_RATE):
-        long = [i for i, x in enumerate(items) if len(x) >= max(MIN_CHARS, Q)]
+        tiny = sorted((len(x), int.from_bytes(x, "little"), ids[i]) for i, x in enumerate(items) if 0 < len(x) < Q)
+        self.tiny = {n: [np.array(c) for c in zip(*[(np.uint64(x), i) for m, x, i in tiny if m == n], strict=True)] for n in {t[0] for t in tiny}}
+        long = [i for i, x in enumerate(items) if len(x) >= Q]
         self.ids, self.items = np.array([ids[i] for i in long], np.int64), [items[i] for i in long]
         self.sizes = np.array([len(x) for x in self.items], np.int64)
         # m - q + 1 - q*e must be 1 at least
-        self.edits = np.minimum((self.sizes * max_rate).astype(np.int64), (self.sizes - Q) // Q)
+        self.edits = np.where(self.sizes < MIN_CHARS, 0, np.minimum((self.sizes * max_rate).astype(np.int64), (self.sizes - Q) // Q))
         self.least = self.sizes - Q + 1 - Q * self.edits
         grams = [_grams(np.frombuffer(x, np.uint8)) for x in self.items]
         sizes = np.array([len(g) for g in grams], np.int64)
@@ -80,10 +89,35 @@ class Index:
         """For each text its matches: item id, start and end in the plain text, edits; the best place of each item."""
         found: list[list[tuple[int, int, int, int]]] = [[] for _ in range(len(column))]
         texts = texts_of(_plain(column))
+        self._whole(texts, found)
+        self._near(texts, found)
+        return [self._best(x) for x in found]
+
+    def _whole(self, texts, found) -> None:
+        """Items shorter than a q-gram, where words begin and end."""
+        if not self.tiny or not len(texts.data):
+            return
+        word, ends = _WORD[texts.data], np.append(texts.offsets[1:], texts.offsets[-1])
+        edge = np.ones(len(word) + 1, bool)  # before each byte: a text's end, or a side that is in no word
+        edge[1:-1] = ~word[1:] | ~word[:-1]
+        edge[texts.offsets] = True
+        at = np.flatnonzero(edge[:-1])
+        row = np.searchsorted(texts.offsets, at, side="right") - 1
+        grams = _grams(np.concatenate([texts.data, np.zeros(Q, np.uint8)]))[at]
+        for n, (keys, ids) in self.tiny.items():
+            cut = grams & np.uint64((1 << 8 * n) - 1)
+            low, high = np.searchsorted(keys, cut, "left"), np.searchsorted(keys, cut, "right")
+            good = (high > low) & (at + n <= ends[row])
+            good[good] = edge[at[good] + n]
+            for i in np.flatnonzero(good):
+                start = int(at[i] - texts.offsets[row[i]])
+                found[row[i]].extend((int(k), start, start + n, 0) for k in ids[low[i]:high[i]])
+
+    def _near(self, texts, found) -> None:
         grams = _grams(texts.data)
         at = np.flatnonzero(self.sieve[_sieve(grams)]) if len(grams) and len(self.keys) else np.zeros(0, np.int64)
         if not len(at):
-            return found
+            return
         key = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
         hit = self.keys[key] == grams[at]
         at, key = at[hit], key[hit]
@@ -91,7 +125,7 @@ class Index:
         inside = at + Q <= texts.offsets[row + 1]
         at, key, row = at[inside], key[inside], row[inside]
         if not len(at):
-            return found
+            return
         n = self.counts[key]
         which = np.repeat(self.firsts[key], n) + runs(n)
         item, place = self.owner[which], self.place[which]
@@ -100,13 +134,12 @@ class Index:
         enough = np.bincount(pair, minlength=len(texts) * len(self.items))[pair] >= self.least[item]
         row, at, item, place, pair = row[enough], at[enough], item[enough], place[enough], pair[enough]
         if not len(row):
-            return found
+            return
         diagonal = at - texts.offsets[row] - place + self.sizes[item]  # never negative
         width = self.edits[item] + 1
         for shift in (0, 1):  # bands of twice the width, each beginning in the middle of the last
             band = (diagonal // width + shift) // 2
             self._bands(texts, row, item, place, pair, band, shift, width, found)
-        return [self._best(x) for x in found]
 
     def _bands(self, texts, row, item, place, pair, band, shift, width, found) -> None:
         order = np.lexsort((place, band, pair))
@@ -127,7 +160,10 @@ class Index:
         """The fewest edits that make the item a part of the text on diagonals low..high, if within the budget."""
         word, budget = np.frombuffer(self.items[item], np.uint8), int(self.edits[item])
         start, end = max(low, 0), min(high + len(word), len(text))
-        exact = text[start:end].tobytes().find(self.items[item])
+        held = text[start:end].tobytes()
+        exact = held.find(self.items[item])
+        while exact >= 0 and len(word) < MIN_CHARS and not _apart(text, start + exact, start + exact + len(word)):
+            exact = held.find(self.items[item], exact + 1)
         if exact >= 0:
             return start + exact, start + exact + len(word), 0
         if not budget:

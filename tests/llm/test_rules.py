@@ -184,6 +184,23 @@ def test_search_equals_full_alignment():
         assert not got or edits(word, text[got[0][1]:got[0][2]]) == want
 
 
+def test_short_passages_match_word_for_word():
+    items = ["42", "é ja", "yes", "is it so", "twelve bytes", "a passage of 23 letters", "aa aa aa aa", "yes", "", "3 + 4", "?!"]
+    plain = [
+        "42", "142 421 4 2", "so: 42, yes.", "eyes yesé", "é ja", "né ja", "is it so?", "this it so is it some", "is it", "twelve bytes", "twelve byte",
+        "xtwelve bytes twelve bytes", "a passage of 23 letters", "a passage of 23 lettera", "aa aa aa aaa aa aa aa", "baa aa aa aa aa", "", "2+2 3 + 4", "what?!", "ye", "s yes",
+    ]
+    index = decontaminate.Index(list(range(len(items))), [x.encode() for x in items])
+    word = lambda c: c.isalnum()
+
+    def held(item, text):
+        return any(text.startswith(item, i) and not any(0 < p < len(text) and word(text[p - 1]) and word(text[p]) for p in (i, i + len(item))) for i in range(len(text)))
+
+    for text, got in zip(plain, index.search(pa.array(plain)), strict=True):
+        assert [m[0] for m in got] == [i for i, x in enumerate(items) if x and held(x, text)]
+        assert all(text.encode()[m[1]:m[2]].decode() == items[m[0]] and m[3] == 0 for m in got)
+
+
 def test_passages_in_any_block(documents, benchmark):
     items = {r.item_id: " ".join(r.text.lower().split()) for r in benchmark.collect()}
     want = {r.doc_id: sorted(i for i, x in items.items() if x in " ".join(r.text.lower().split())) for r in documents.collect()}
