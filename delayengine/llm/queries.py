@@ -9,7 +9,9 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from delayengine.llm import bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, pages, secrets, toxicity
+from delayengine.llm import (
+    bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, pages, secrets, toxicity, whitening,
+)
 
 BATCH_BYTES = 8 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -71,11 +73,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_corpus(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_table(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_lm_scoring, op4_byte_bpe, op5_fingerprints, op6_ngram_jaccard,
-        op7_language_id, op8_html_extraction, op9_decontamination, op10_secret_scans,
+        op7_language_id, op8_html_extraction, op9_decontamination, op10_secret_scans, op11_whitening,
     )
 }
 
