@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from delayengine.llm import (
-    bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, pages, secrets, toxicity, whitening,
+    bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, oracles, pages, phrases, secrets, toxicity, whitening,
 )
 
 BATCH_BYTES = 8 << 20
@@ -77,13 +77,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_table(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_lm_scoring, op4_byte_bpe, op5_fingerprints, op6_ngram_jaccard,
-        op7_language_id, op8_html_extraction, op9_decontamination, op10_secret_scans, op11_whitening,
+        op7_language_id, op8_html_extraction, op9_decontamination, op10_secret_scans, op11_whitening, op12_collocations,
     )
 }
 
-# None of these results can be expressed in SQL as a whole: tests/llm holds them against brute force.
-ORACLES: dict[str, str] = {}
+# The other results can't be expressed in SQL as a whole: tests/llm holds them against brute force.
+ORACLES: dict[str, str] = {"op12_collocations": oracles.COLLOCATIONS}
