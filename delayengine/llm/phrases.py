@@ -2,18 +2,20 @@
 
 A word (lower case, A-Z only) is a run of bytes other than space and tab inside a piece; pieces end at . , ; : ! ? and U+000A to U+000D.
 
-1. Each position gives the window of four words that begins there; where the piece ends sooner, the window ends in end marks. A
+1. Words are counted first; each travels once for each task's dictionary, with its text. Those below ``least`` can't stand in a
+   candidate: from here on a piece also ends before and after them, which changes no count of the others. The frequent words' hashes are sorted
+   arrays below the shared folder, which workers map into memory.
+2. Each position gives the window of four words that begins there; where the piece ends sooner, the window ends in end marks. A
    window is an edge from its first three words to its last three. Tasks sum windows in numpy over a dictionary of their own
-   and hand each shard, chosen by the three words an edge leaves from, one compressed block. Only these edges are counted.
-2. Shorter counts are flows: three words occur as often as the edges that leave them, two words as often as the
-   three-word nodes they begin, plus the pieces that end there (windows with end marks); so do single words. Two words are summed
-   from the shards' sums in a second, smaller exchange. Words travel once for each task's dictionary.
+   and hand each shard, chosen by the three words an edge leaves from, one compressed block. No shorter run of words is counted:
+   three words occur as often as the edges that leave them, two words as often as the three-word nodes they begin,
+   plus the pieces that end there (windows with end marks). Two words are summed from the shards' sums in a second, smaller exchange.
 3. Edges and nodes below ``least`` can neither be candidates nor parts of one. In what is left, a node whose flow is that of its only edge
    in and of its only edge out is passed through: such unary paths are compacted by pointer doubling into one row of
    words with one count. Longest grams and the counts inside a path are read off it; ends of paths take theirs from the node's flow.
 4. Candidates inside a longer one that is nearly as frequent go. Scores are integers (decimals, so products may pass 64 bits).
 
-Words are 64-bit hashes of word and language until the end; two words of one hash are found in step 2 and raise an error. Shards are as
+Words are 64-bit hashes of word and language until the end; two words of one hash are found in step 1 and raise an error. Shards are as
 many as the texts' bytes ask for (``SHARD_BYTES`` each), so no task grows with the corpus. A shard's node is never split: a node has at most
 one edge for each word.
 
@@ -23,26 +25,28 @@ without words and empty tables give no rows. Ties in score go to the larger coun
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delayengine.llm.packed import BLOCKS, blocks, narrow, pack, shard_of, unpack
-from delayengine.llm.words import _LOWER, mix, mixed, pieces, runs, texts_of, words_of
-from delayengine.session import stage
+from delayengine.llm.scratch import mapped, put
+from delayengine.llm.words import _LOWER, find, mix, mixed, pieces, runs, texts_of, words_of
+from delayengine.session import new_folder, stage
 
 LEAST = 30  # fixed value: occurrences of a candidate
 NEARLY = (4, 5)  # fixed value: a longer candidate of this part of the count drops a shorter one
 SCORED = 2_000_000  # fixed value
 BEST = 2000  # fixed value: phrases reported for each language
-SHARD_BYTES = 12 << 20
-UNIT = 1_500_000  # words that a task sums at once
+SHARD_BYTES = 8 << 20
+WORD_SHARD_BYTES = 64 << 20
+UNIT = 1_000_000  # words that a task sums at once
 _CODES = 65_535
-_GRAMS, _WORDS = 0, 1  # kinds of blocks
 _STOP = np.zeros(256, bool)
 _STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _BREAK = _STOP.copy()
@@ -101,9 +105,12 @@ def _windows(ids: np.ndarray, more: np.ndarray, start: int, stop: int) -> Iterat
     for k in (1, 2, 3):
         inside &= follows[k - 1:n + k - 1]
         keys |= np.where(inside, codes[k:n + k], 0).astype(np.uint64) << np.uint64(48 - 16 * k)
+    keys = keys[follows[:n]]  # the counts of single words are known
+    if not len(keys):
+        return
     keys.sort()
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    counts, keys = np.diff(first, append=n), keys[first]
+    counts, keys = np.diff(first, append=len(keys)), keys[first]
     kinds = np.concatenate([[_END], kinds])
     yield (*(kinds[(keys >> np.uint64(48 - 16 * k) & np.uint64(0xFFFF)).astype(np.int64)] for k in range(4)), counts)
 
@@ -121,7 +128,7 @@ def _gram_blocks(grams: tuple[np.ndarray, ...], shards: int) -> pa.RecordBatch:
         codes = codes.astype(np.uint16 if len(kinds) < 1 << 16 else np.uint32).reshape(4, -1)
         packed.append(_joined(pack([kinds]), pack([*codes, narrow(counts[own]) if counts[own].max() > 255 else counts[own].astype(np.uint8)])))
     return pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array(np.full(len(used), _GRAMS), pa.int32()), pa.array(packed, pa.binary())], ["shard", "kind", "block"]
+        [pa.array(used, pa.int32()), pa.array(np.zeros(len(used)), pa.int32()), pa.array(packed, pa.binary())], ["shard", "kind", "block"]
     )
 
 
@@ -144,43 +151,74 @@ def _word_blocks(ids, counts, lang, length, flat, langs: list[str], shards: int)
     shard = shard_of(ids, shards)
     edges = np.searchsorted(shard, np.arange(shards + 1))
     ends = np.concatenate(([0], np.cumsum(length.astype(np.int64))))
-    used, packed, names = np.flatnonzero(np.diff(edges)), [], "\0".join(langs).encode()
+    used, packed, names = np.flatnonzero(np.diff(edges)), [], json.dumps(langs).encode()
     for s in used:
         own = slice(edges[s], edges[s + 1])
         body = _joined(pack([ids[own], counts[own], lang[own], length[own]]), pack([flat[ends[edges[s]]:ends[edges[s + 1]]]]))
         packed.append(_joined(names, body))
     return pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array(np.full(len(used), _WORDS), pa.int32()), pa.array(packed, pa.binary())], ["shard", "kind", "block"]
+        [pa.array(used, pa.int32()), pa.array(np.zeros(len(used)), pa.int32()), pa.array(packed, pa.binary())], ["shard", "kind", "block"]
     )
 
 
-def _unit_blocks(parts: list[_Piece], shards: int) -> Iterator[pa.RecordBatch]:
+def _dictionary(parts: list[_Piece], shards: int) -> pa.RecordBatch:
+    """The words of some pieces, each once."""
     langs = sorted({x for p in parts for x in p.langs})
-    all_ids = np.concatenate([p.ids for p in parts])
-    kinds, first, inverse = np.unique(all_ids, return_index=True, return_inverse=True)
+    kinds, first, inverse = np.unique(np.concatenate([p.ids for p in parts]), return_index=True, return_inverse=True)
     counts = np.bincount(inverse, np.concatenate([np.bincount(p.at, minlength=len(p.ids)) for p in parts]), len(kinds)).astype(np.int64)
-    lang = np.concatenate([np.searchsorted(langs, p.langs)[p.lang] if len(p.ids) else p.lang for p in parts]).astype(np.uint16)
+    lang = np.concatenate([np.searchsorted(langs, p.langs)[p.lang] for p in parts]).astype(np.uint16)
     length, flat = np.concatenate([p.length for p in parts]), np.concatenate([p.text for p in parts])
-    yield _word_blocks(kinds, counts, lang[first], length[first], _taken(flat, length, first), langs, shards)
-    ids = np.concatenate([p.ids[p.at] for p in parts])
-    more = np.concatenate([p.more for p in parts])
-    for grams in _windows(ids, more, 0, len(ids)):
-        yield _gram_blocks(grams, shards)
+    return _word_blocks(kinds, counts, lang[first], length[first], _taken(flat, length, first), langs, shards)
+
+
+def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[list[_Piece]]:
+    parts: list[_Piece] = []
+    size = 0
+    for batch in batches:
+        for piece in pieces(batch):
+            part = _Piece(piece)
+            if part.size:
+                parts.append(part)
+                size += part.size
+            if size >= UNIT:
+                yield parts
+                parts, size = [], 0
+    if parts:
+        yield parts
+
+
+def _counted_words(shards: int) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _units(batches):
+            yield _dictionary(parts, shards)
+
+    return run
 
 
-def _summed(shards: int) -> Callable:
+def _frequent(folder: str, shards: int, ids: np.ndarray) -> np.ndarray:
+    """Which of the sorted ids are stored as frequent."""
+    out = np.zeros(len(ids), bool)
+    edges = np.searchsorted(shard_of(ids, shards), np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(edges)):
+        out[edges[s]:edges[s + 1]] = find(mapped(folder, f"frequent-{s}", "u8"), ids[edges[s]:edges[s + 1]])[1]
+    return out
+
+
+def _summed(folder: str, word_shards: int, shards: int) -> Callable:
+    """Windows of frequent words: a rare one ends a piece before and after it."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[_Piece] = []
-        for batch in batches:
-            for piece in pieces(batch):
-                part = _Piece(piece)
-                if part.size:
-                    parts.append(part)
-                if sum(p.size for p in parts) >= UNIT:
-                    yield from _unit_blocks(parts, shards)
-                    parts = []
-        if parts:
-            yield from _unit_blocks(parts, shards)
+        for parts in _units(batches):
+            ids, more = [], []
+            for p in parts:
+                known = _frequent(folder, word_shards, p.ids)[p.at]
+                follows = p.more & known
+                follows[:-1] &= known[1:]
+                ids.append(np.where(known, p.ids[p.at], _END))
+                more.append(follows)
+            flat = np.concatenate(ids)
+            for grams in _windows(flat, np.concatenate(more), 0, len(flat)):
+                yield _gram_blocks(grams, shards)
 
     return run
 
@@ -212,62 +250,62 @@ def _rows(what: int, n: np.ndarray, words: list[np.ndarray] = (), lang=None, tex
 _FOUND_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
 
 
-def _merged_grams(given: list[bytes], shards: int, least: int) -> pa.Table:
+def _merged_grams(shards: int, least: int) -> Callable:
     """Edges and nodes of at least ``least``, and the sums for two words as blocks."""
-    columns = [np.concatenate(c) for c in zip(*(_grams_in(b) for b in given), strict=True)]
-    edges, counts = _flows(columns[:4], columns[4])
-    nodes, flow = _flows(edges[:3], counts)
-    pairs, partial = _flows(nodes[:2], flow)
-    heavy, strong = (counts >= least) & (edges[3] != _END), (flow >= least) & (nodes[2] != _END)
-    real = pairs[1] != _END
-    pairs, partial = [p[real] for p in pairs], partial[real]
-    shard = shard_of(mixed(*pairs), shards)
-    order = np.lexsort((pairs[1], pairs[0], shard))
-    packed = blocks(_PAIRS, shard[order], shards, [pairs[0][order], pairs[1][order], narrow(partial[order])])
-    size = packed.num_rows
-    table = pa.table([
-        pa.array(np.full(size, _PAIRS), pa.int32()), packed.column("shard"), packed.column("block"),
-        *[pa.nulls(size, pa.int64())] * 5, *[pa.nulls(size, pa.string())] * 2,
-    ], _FOUND_NAMES)
-    return pa.concat_tables([
-        _rows(_EDGE, counts[heavy], [e[heavy] for e in edges]), _rows(_NODE, flow[strong], [x[strong] for x in nodes]), table,
-    ])
-
-
-def _merged_words(given: list[bytes], least: int) -> pa.Table:
-    """Words of at least ``least`` with their text, and how many words each language has here."""
-    names, parts, flats = [], [], []
-    for block in given:
-        head, body = _parted(block)
-        langs, (columns, flat) = head.decode().split("\0"), _parted(body)
-        ids, counts, lang, length = unpack(columns)
-        parts.append([ids, counts, lang.astype(np.int64) + len(names), length])
-        names += langs
-        flats.append(unpack(flat)[0])
-    ids, counts, lang, length = (np.concatenate(c) for c in zip(*parts, strict=True))
-    flat = np.concatenate(flats)
-    known = sorted(set(names))
-    lang = np.searchsorted(known, names)[lang]
-    order = np.argsort(ids, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1])))
-    chosen = np.repeat(order[first], np.diff(first, append=len(ids)))  # the word that stands for each entry
-    if (lang[chosen] != lang[order]).any() or (length[chosen] != length[order]).any() or (_taken(flat, length, chosen) != _taken(flat, length, order)).any():
-        raise ValueError("two words have one hash")
-    total = np.add.reduceat(counts[order], first)
-    of_lang = np.bincount(lang[order], counts[order], len(known)).astype(np.int64)
-    keep = total >= least
-    chosen = order[first][keep]
-    raw, ends = _taken(flat, length, chosen).tobytes(), np.cumsum(length[chosen].astype(np.int64)).tolist()
-    texts = [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
-    return pa.concat_tables([
-        _rows(_WORD, total[keep], [ids[chosen]], [known[x] for x in lang[chosen]], texts), _rows(_TOTAL, of_lang, lang=known),
-    ])
-
-
-def _merged(shards: int, least: int) -> Callable:
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        columns = [np.concatenate(c) for c in zip(*(_grams_in(b) for b in table.column("block").to_pylist()), strict=True)]
+        edges, counts = _flows(columns[:4], columns[4])
+        del columns
+        nodes, flow = _flows(edges[:3], counts)
+        pairs, partial = _flows(nodes[:2], flow)
+        heavy, strong = (counts >= least) & (edges[3] != _END), (flow >= least) & (nodes[2] != _END)
+        shard = shard_of(mixed(*pairs), shards)
+        order = np.lexsort((pairs[1], pairs[0], shard))
+        packed = blocks(_PAIRS, shard[order], shards, [pairs[0][order], pairs[1][order], narrow(partial[order])])
+        size = packed.num_rows
+        sums = pa.table([
+            pa.array(np.full(size, _PAIRS), pa.int32()), packed.column("shard"), packed.column("block"),
+            *[pa.nulls(size, pa.int64())] * 5, *[pa.nulls(size, pa.string())] * 2,
+        ], _FOUND_NAMES)
+        return pa.concat_tables([
+            _rows(_EDGE, counts[heavy], [e[heavy] for e in edges]), _rows(_NODE, flow[strong], [x[strong] for x in nodes]), sums,
+        ])
+
+    return run
+
+
+def _merged_words(folder: str, least: int) -> Callable:
+    """Words of at least ``least`` with their text, stored and returned; and how many words each language has here."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        given = table.column("block").to_pylist()
-        return _merged_words(given, least) if key[0].as_py() == _WORDS else _merged_grams(given, shards, least)
+        names, parts, flats = [], [], []
+        for block in table.column("block").to_pylist():
+            head, body = _parted(block)
+            langs, (columns, flat) = json.loads(head), _parted(body)
+            ids, counts, lang, length = unpack(columns)
+            parts.append([ids, counts, lang.astype(np.int64) + len(names), length])
+            names += langs
+            flats.append(unpack(flat)[0])
+        ids, counts, lang, length = (np.concatenate(c) for c in zip(*parts, strict=True))
+        flat = np.concatenate(flats)
+        known = sorted(set(names))
+        lang = np.searchsorted(known, names)[lang]
+        order = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1])))
+        chosen = np.repeat(order[first], np.diff(first, append=len(ids)))  # the word that stands for each entry
+        if (lang[chosen] != lang[order]).any() or (length[chosen] != length[order]).any() or (_taken(flat, length, chosen) != _taken(flat, length, order)).any():
+            raise ValueError("two words have one hash")
+        total = np.add.reduceat(counts[order], first)
+        of_lang = np.bincount(lang[order], counts[order], len(known)).astype(np.int64)
+        keep = total >= least
+        chosen = order[first][keep]
+        put(folder, f"frequent-{key[0].as_py()}", ids[chosen])
+        raw, ends = _taken(flat, length, chosen).tobytes(), np.cumsum(length[chosen].astype(np.int64)).tolist()
+        texts = [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+        return pa.concat_tables([
+            _rows(_WORD, total[keep], [ids[chosen]], [known[x] for x in lang[chosen]], texts), _rows(_TOTAL, of_lang, lang=known),
+        ])
 
     return run
 
@@ -288,14 +326,17 @@ class Graph:
     def __init__(self, docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES):
         rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
         size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        shards = size // shard_bytes + 1
-        counted = rows.mapInArrow(_summed(shards), BLOCKS)
-        found = stage(counted.groupBy("kind", "shard").applyInArrow(_merged(shards, least), _FOUND), "phrase-graph")
+        shards, word_shards = size // shard_bytes + 1, size // WORD_SHARD_BYTES + 1
+        folder = new_folder(docs.sparkSession, "phrase-words")
+        words = rows.mapInArrow(_counted_words(word_shards), BLOCKS).groupBy("shard").applyInArrow(_merged_words(folder, least), _FOUND)
+        words = stage(words, "phrase-words")
+        self.words = words.where(F.col("what") == _WORD).select("lang", F.col("w1").alias("id"), "word", "n")
+        self.totals = words.where(F.col("what") == _TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
+        counted = rows.mapInArrow(_summed(folder, word_shards, shards), BLOCKS)
+        found = stage(counted.groupBy("shard").applyInArrow(_merged_grams(shards, least), _FOUND), "phrase-graph")
         of = lambda what: found.where(F.col("what") == what)
         self.edges = of(_EDGE).select("w1", "w2", "w3", "w4", "n")
         self.nodes = of(_NODE).select("w1", "w2", "w3", "n")
-        self.words = of(_WORD).select("lang", F.col("w1").alias("id"), "word", "n")
-        self.totals = of(_TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
         pairs = of(_PAIRS).select("shard", "block").groupBy("shard").applyInArrow(_merged_pairs(least), "w1 long, w2 long, n long")
         self.pairs = stage(pairs, "phrase-pairs")
 
@@ -427,8 +468,6 @@ def scored(rows: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST) -> DataFrame:
     """The first ``best`` phrases of each language by score."""
-    from pyspark.sql import Window
-
     graph = Graph(docs, least)
     rows = scored(candidates(graph))
     langs = graph.words.select(F.col("id").alias("a1"), "lang")
