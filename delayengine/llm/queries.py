@@ -10,11 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from delayengine.llm import (
-    bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, oracles, pages, phrases, secrets, toxicity, whitening,
+    bpe, decontaminate, language, lines, merkle, near_dups, ngram_lm, oracles, packing, pages, phrases, secrets, toxicity,
+    whitening,
 )
 
 BATCH_BYTES = 8 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def reach(spark: SparkSession) -> None:
@@ -81,11 +83,16 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_lm_scoring, op4_byte_bpe, op5_fingerprints, op6_ngram_jaccard,
         op7_language_id, op8_html_extraction, op9_decontamination, op10_secret_scans, op11_whitening, op12_collocations,
+        op13_packing,
     )
 }
 

@@ -146,3 +146,14 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
     at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return at, table[at] == keys
+
+
+def spans_hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of given spans of bytes, as ``words_of`` has them for words."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    n = len(data)
+    values = _BYTE[_LOWER[data]] * _power(_BASE, n)
+    np.cumsum(values, out=values)
+    sums = values[ends - 1] - np.where(starts > 0, values[starts - 1], np.uint64(0))
+    return mix(sums * _power(pow(_BASE, -1, 1 << 64), n)[starts])
