@@ -4,10 +4,10 @@ A word (lower case, A-Z only) is a run of bytes other than space and tab inside
 
 1. Words are counted first; each travels once for each task's dictionary, with its text. Those below ``least`` can't stand in a
    candidate: from here on a piece also ends before and after them, which changes no count of the others. The frequent words' hashes are sorted
-   arrays below the shared folder, which workers map into memory.
+   arrays below the shared folder, which workers map into memory; a word's place in them is its number from here on, 0 is the end mark.
 2. Each position gives the window of four words that begins there; where the piece ends sooner, the window ends in end marks. A
-   window is an edge from its first three words to its last three. Tasks sum windows in numpy over a dictionary of their own
-   and hand each shard, chosen by the three words an edge leaves from, one compressed block. No shorter run of words is counted:
+   window is an edge from its first three words to its last three. Tasks sum windows in numpy and hand each shard,
+   chosen by the three words an edge leaves from, one compressed block. No shorter run of words is counted:
    three words occur as often as the edges that leave them, two words as often as the three-word nodes they begin,
    plus the pieces that end there (windows with end marks). Two words are summed from the shards' sums in a second, smaller exchange.
 3. Edges and nodes below ``least`` can neither be candidates nor parts of one. In what is left, a node whose flow is that of its only edge
@@ -15,7 +15,7 @@ A word (lower case, A-Z only) is a run of bytes other than space and tab inside
    words with one count. Longest grams and the counts inside a path are read off it; ends of paths take theirs from the node's flow.
 4. Candidates inside a longer one that is nearly as frequent go. Scores are integers (decimals, so products may pass 64 bits).
 
-Words are 64-bit hashes of word and language until the end; two words of one hash are found in step 1 and raise an error. Shards are as
+Words are told apart by 64-bit hashes of word and language; two words of one hash are found in step 1 and raise an error. Shards are as
 many as the texts' bytes ask for (``SHARD_BYTES`` each), so no task grows with the corpus. A shard's node is never split: a node has at most
 one edge for each word.
 
@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delayengine.llm.packed import BLOCKS, blocks, narrow, pack, shard_of, unpack
-from delayengine.llm.scratch import mapped, put
+from delayengine.llm.packed import BLOCKS, pack, shard_of, unpack
+from delayengine.llm.scratch import give_back, mapped, put
 from delayengine.llm.words import _LOWER, find, mix, mixed, pieces, runs, texts_of, words_of
 from delayengine.session import new_folder, stage
 
@@ -51,7 +51,7 @@ _STOP = np.zeros(256, bool)
 _STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _BREAK = _STOP.copy()
 _BREAK[[0x09, 0x20]] = True
-_END = np.uint64(0)
+_END = 0
 _FOUND = "what int, shard int, block binary, w1 long, w2 long, w3 long, w4 long, n long, lang string, word string"
 _EDGE, _NODE, _PAIRS, _WORD, _TOTAL = 4, 3, 2, 1, 0  # what a row of the merged shards is
 
@@ -79,7 +79,6 @@ class _Piece:
         of_row = np.searchsorted(self.langs, langs) if langs else np.zeros(0, np.int64)
         salt = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.langs], np.uint64)
         ids = mix(found.hashes ^ salt[of_row[found.rows]])
-        ids[ids == _END] = 1
         self.size = len(ids)
         self.ids, first, self.at = np.unique(ids, return_index=True, return_inverse=True)
         self.lang = of_row[found.rows[first]].astype(np.uint16)
@@ -91,7 +90,7 @@ class _Piece:
 
 
 def _windows(ids: np.ndarray, more: np.ndarray, start: int, stop: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Distinct windows that begin in [start, stop) as four arrays of ids, and how often; in parts of few enough words."""
+    """Distinct windows that begin in [start, stop), in order, as four arrays of words, and how often; in parts of few enough words."""
     kinds, codes = np.unique(ids[start:stop + 3], return_inverse=True)
     if len(kinds) > _CODES and stop - start > 1:
         middle = (start + stop) // 2
@@ -111,32 +110,43 @@ def _windows(ids: np.ndarray, more: np.ndarray, start: int, stop: int) -> Iterat
     keys.sort()
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts, keys = np.diff(first, append=len(keys)), keys[first]
-    kinds = np.concatenate([[_END], kinds])
+    kinds = np.concatenate([np.zeros(1, ids.dtype), kinds])
     yield (*(kinds[(keys >> np.uint64(48 - 16 * k) & np.uint64(0xFFFF)).astype(np.int64)] for k in range(4)), counts)
 
 
-def _gram_blocks(grams: tuple[np.ndarray, ...], shards: int) -> pa.RecordBatch:
-    """Each block holds its words once and four columns of numbers into them."""
-    shard = shard_of(mixed(*grams[:3]), shards)
-    order = np.argsort(shard, kind="stable")
-    *words, counts = (g[order] for g in grams)
+def _flat(column: np.ndarray) -> list[np.ndarray]:
+    """Numbers below 2^32 as four columns of bytes, which compress better."""
+    return list(np.ascontiguousarray(column.astype("<u4")).view(np.uint8).reshape(-1, 4).T)
+
+
+def _numbers(bytes_: list[np.ndarray]) -> np.ndarray:
+    return sum(b.astype(np.uint64) << np.uint64(8 * i) for i, b in enumerate(bytes_))
+
+
+def _sum_blocks(words: list[np.ndarray], counts: np.ndarray, shard: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A block for each shard: the columns of words, in order, and their counts."""
+    order = np.argsort(shard.astype(np.int16) if shards < 1 << 15 else shard, kind="stable")
     edges = np.searchsorted(shard[order], np.arange(shards + 1))
     used, packed = np.flatnonzero(np.diff(edges)), []
+    words, counts = [w[order] for w in words], counts[order].astype(np.uint64)
     for s in used:
         own = slice(edges[s], edges[s + 1])
-        kinds, codes = np.unique(np.concatenate([w[own] for w in words]), return_inverse=True)
-        codes = codes.astype(np.uint16 if len(kinds) < 1 << 16 else np.uint32).reshape(4, -1)
-        packed.append(_joined(pack([kinds]), pack([*codes, narrow(counts[own]) if counts[own].max() > 255 else counts[own].astype(np.uint8)])))
+        low, high = counts[own] & np.uint64(0xFFFFFFFF), counts[own] >> np.uint64(32)
+        packed.append(pack([x for c in (*(w[own] for w in words), low, high) for x in _flat(c)]))
     return pa.RecordBatch.from_arrays(
         [pa.array(used, pa.int32()), pa.array(np.zeros(len(used)), pa.int32()), pa.array(packed, pa.binary())], ["shard", "kind", "block"]
     )
 
 
-def _grams_in(block: bytes) -> tuple[np.ndarray, ...]:
-    head, tail = _parted(block)
-    kinds = unpack(head)[0]
-    *codes, counts = unpack(tail)
-    return (*(kinds[c] for c in codes), counts.astype(np.int64))
+def _sums_in(block: bytes) -> list[np.ndarray]:
+    """The columns of words as 32-bit numbers, the counts last."""
+    raw = unpack(block)
+    *words, low, high = (_numbers(raw[i:i + 4]) for i in range(0, len(raw), 4))
+    return [*(w.astype(np.uint32) for w in words), (low | high << np.uint64(32)).astype(np.int64)]
+
+
+def _shard_of(words: list[np.ndarray], shards: int) -> np.ndarray:
+    return shard_of(mixed(*(w.astype(np.uint64) for w in words)), shards)
 
 
 def _taken(flat: np.ndarray, length: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -191,34 +201,37 @@ def _counted_words(shards: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _units(batches):
             yield _dictionary(parts, shards)
+        give_back()
 
     return run
 
 
-def _frequent(folder: str, shards: int, ids: np.ndarray) -> np.ndarray:
-    """Which of the sorted ids are stored as frequent."""
-    out = np.zeros(len(ids), bool)
-    edges = np.searchsorted(shard_of(ids, shards), np.arange(shards + 1))
+def _numbered(folder: str, firsts: list[int], ids: np.ndarray) -> np.ndarray:
+    """The numbers of the sorted ids, 0 for those that aren't frequent. ``firsts`` is the first number of each shard."""
+    out = np.zeros(len(ids), np.uint32)
+    edges = np.searchsorted(shard_of(ids, len(firsts)), np.arange(len(firsts) + 1))
     for s in np.flatnonzero(np.diff(edges)):
-        out[edges[s]:edges[s + 1]] = find(mapped(folder, f"frequent-{s}", "u8"), ids[edges[s]:edges[s + 1]])[1]
+        at, known = find(mapped(folder, f"frequent-{s}", "u8"), ids[edges[s]:edges[s + 1]])
+        out[edges[s]:edges[s + 1]] = np.where(known, at + firsts[s], 0)
     return out
 
 
-def _summed(folder: str, word_shards: int, shards: int) -> Callable:
+def _summed(folder: str, firsts: list[int], shards: int) -> Callable:
     """Windows of frequent words: a rare one ends a piece before and after it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _units(batches):
-            ids, more = [], []
+            words, more = [], []
             for p in parts:
-                known = _frequent(folder, word_shards, p.ids)[p.at]
-                follows = p.more & known
-                follows[:-1] &= known[1:]
-                ids.append(np.where(known, p.ids[p.at], _END))
+                own = _numbered(folder, firsts, p.ids)[p.at]
+                follows = p.more & (own > 0)
+                follows[:-1] &= own[1:] > 0
+                words.append(own)
                 more.append(follows)
-            flat = np.concatenate(ids)
-            for grams in _windows(flat, np.concatenate(more), 0, len(flat)):
-                yield _gram_blocks(grams, shards)
+            flat = np.concatenate(words)
+            for *grams, counts in _windows(flat, np.concatenate(more), 0, len(flat)):
+                yield _sum_blocks(grams, counts, _shard_of(grams[:3], shards), shards)
+        give_back()
 
     return run
 
@@ -226,21 +239,25 @@ def _summed(folder: str, word_shards: int, shards: int) -> Callable:
 # --- Shards -------------------------------------------------------------------------
 
 
-def _flows(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of ``columns`` with the sum of their counts. Rows that only share a hash are told apart."""
-    keys = mixed(*columns)
-    order = np.argsort(keys)
-    same = lambda at: np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in at])
-    if (same([keys]) & ~same(columns)).any():
-        order = np.lexsort(columns[::-1])
-    first = np.flatnonzero(np.concatenate(([True], ~same(columns))))
-    return [c[order][first] for c in columns], np.add.reduceat(counts[order], first)
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where rows in order differ from the one before."""
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])))[:len(columns[0])])
+
+
+def _merged_sums(blocks: list[bytes]) -> list[np.ndarray]:
+    """Distinct rows of words, in order, with the sum of their counts."""
+    *words, counts = (np.concatenate(c) for c in zip(*(_sums_in(b) for b in blocks), strict=True))
+    pairs = [words[i].astype(np.uint64) << np.uint64(32) | words[i + 1] for i in range(0, len(words), 2)]
+    order = np.lexsort(pairs[::-1])
+    pairs = [p[order] for p in pairs]
+    first = _firsts(*pairs)
+    return [*(w[order[first]] for w in words), np.add.reduceat(counts[order], first)]
 
 
 def _rows(what: int, n: np.ndarray, words: list[np.ndarray] = (), lang=None, text=None) -> pa.Table:
     size = len(n)
     blank = lambda kind: pa.nulls(size, kind)
-    four = [pa.array(words[i].view(np.int64)) if i < len(words) else blank(pa.int64()) for i in range(4)]
+    four = [pa.array(words[i].astype(np.int64)) if i < len(words) else blank(pa.int64()) for i in range(4)]
     return pa.table([
         pa.array(np.full(size, what), pa.int32()), blank(pa.int32()), blank(pa.binary()), *four, pa.array(n, pa.int64()),
         blank(pa.string()) if lang is None else pa.array(lang, pa.string()), blank(pa.string()) if text is None else pa.array(text, pa.string()),
@@ -254,29 +271,31 @@ def _merged_grams(shards: int, least: int) -> Callable:
     """Edges and nodes of at least ``least``, and the sums for two words as blocks."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        columns = [np.concatenate(c) for c in zip(*(_grams_in(b) for b in table.column("block").to_pylist()), strict=True)]
-        edges, counts = _flows(columns[:4], columns[4])
-        del columns
-        nodes, flow = _flows(edges[:3], counts)
-        pairs, partial = _flows(nodes[:2], flow)
-        heavy, strong = (counts >= least) & (edges[3] != _END), (flow >= least) & (nodes[2] != _END)
-        shard = shard_of(mixed(*pairs), shards)
-        order = np.lexsort((pairs[1], pairs[0], shard))
-        packed = blocks(_PAIRS, shard[order], shards, [pairs[0][order], pairs[1][order], narrow(partial[order])])
+        *edges, counts = _merged_sums(table.column("block").to_pylist())
+        heavy = (counts >= least) & (edges[3] != _END)
+        first = _firsts(*edges[:3])
+        nodes, flow = [e[first] for e in edges[:3]], np.add.reduceat(counts, first)
+        strong = (flow >= least) & (nodes[2] != _END)
+        first = _firsts(*nodes[:2])
+        pairs, partial = [x[first] for x in nodes[:2]], np.add.reduceat(flow, first)
+        packed = _sum_blocks(pairs, partial, _shard_of(pairs, shards), shards)
         size = packed.num_rows
         sums = pa.table([
             pa.array(np.full(size, _PAIRS), pa.int32()), packed.column("shard"), packed.column("block"),
             *[pa.nulls(size, pa.int64())] * 5, *[pa.nulls(size, pa.string())] * 2,
         ], _FOUND_NAMES)
-        return pa.concat_tables([
+        out = pa.concat_tables([
             _rows(_EDGE, counts[heavy], [e[heavy] for e in edges]), _rows(_NODE, flow[strong], [x[strong] for x in nodes]), sums,
         ])
+        del edges, counts, nodes, flow
+        give_back()
+        return out
 
     return run
 
 
 def _merged_words(folder: str, least: int) -> Callable:
-    """Words of at least ``least`` with their text, stored and returned; and how many words each language has here."""
+    """Words of at least ``least``, stored in order and returned with place and text; and how many words each language has here."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         names, parts, flats = [], [], []
@@ -303,19 +322,20 @@ def _merged_words(folder: str, least: int) -> Callable:
         put(folder, f"frequent-{key[0].as_py()}", ids[chosen])
         raw, ends = _taken(flat, length, chosen).tobytes(), np.cumsum(length[chosen].astype(np.int64)).tolist()
         texts = [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
-        return pa.concat_tables([
-            _rows(_WORD, total[keep], [ids[chosen]], [known[x] for x in lang[chosen]], texts), _rows(_TOTAL, of_lang, lang=known),
-        ])
+        found = _rows(_WORD, total[keep], [np.arange(len(chosen))], [known[x] for x in lang[chosen]], texts)
+        found = found.set_column(1, "shard", pa.array(np.full(len(chosen), key[0].as_py()), pa.int32()))
+        give_back()
+        return pa.concat_tables([found, _rows(_TOTAL, of_lang, lang=known)])
 
     return run
 
 
 def _merged_pairs(least: int) -> Callable:
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        columns = [np.concatenate(c) for c in zip(*(unpack(b) for b in table.column("block").to_pylist()), strict=True)]
-        pairs, n = _flows(columns[:2], columns[2].astype(np.int64))
+        *pairs, n = _merged_sums(table.column("block").to_pylist())
         keep = n >= least
-        return pa.table([*(pa.array(p[keep].view(np.int64)) for p in pairs), pa.array(n[keep])], ["w1", "w2", "n"])
+        give_back()
+        return pa.table([*(pa.array(p[keep].astype(np.int64)) for p in pairs), pa.array(n[keep])], ["w1", "w2", "n"])
 
     return run
 
@@ -330,9 +350,15 @@ class Graph:
         folder = new_folder(docs.sparkSession, "phrase-words")
         words = rows.mapInArrow(_counted_words(word_shards), BLOCKS).groupBy("shard").applyInArrow(_merged_words(folder, least), _FOUND)
         words = stage(words, "phrase-words")
-        self.words = words.where(F.col("what") == _WORD).select("lang", F.col("w1").alias("id"), "word", "n")
+        listed = words.where(F.col("what") == _WORD)
+        many = {r.shard: r["count"] for r in listed.groupBy("shard").count().collect()}  # a number for each shard
+        firsts = [1]
+        for s in range(word_shards):
+            firsts.append(firsts[-1] + many.get(s, 0))
+        first = F.element_at(F.lit(firsts[:-1]).cast("array<long>"), F.col("shard") + 1)
+        self.words = listed.select("lang", (first + F.col("w1")).alias("id"), "word", "n")
         self.totals = words.where(F.col("what") == _TOTAL).groupBy("lang").agg(F.sum("n").alias("n"))
-        counted = rows.mapInArrow(_summed(folder, word_shards, shards), BLOCKS)
+        counted = rows.mapInArrow(_summed(folder, firsts[:-1], shards), BLOCKS)
         found = stage(counted.groupBy("shard").applyInArrow(_merged_grams(shards, least), _FOUND), "phrase-graph")
         of = lambda what: found.where(F.col("what") == what)
         self.edges = of(_EDGE).select("w1", "w2", "w3", "w4", "n")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyarrow import fs
 
 _mapped: dict[tuple[str, str, str], np.ndarray] = {}
@@ -50,3 +53,10 @@ def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
 
 def _map(path: str, dtype: str) -> np.ndarray:
     return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+
+
+def give_back() -> None:
+    """Return memory that Arrow and malloc keep for later to the system: a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
