@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from delayengine.llm.scratch import give_back
 from delayengine.llm.words import pieces, runs
 
 SIZE = 300
@@ -160,6 +161,7 @@ def predict(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str =
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, pa.array(names, pa.string()), pa.array(scores)], [*piece.schema.names, "lang_pred", "score"]
                 )
+        give_back()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL("lang_pred string, score double").fields]))
 
@@ -177,6 +179,7 @@ def predict_corpus(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows whose language is one of those learned, with a score of at least ``min_score``."""
-    columns = docs.columns
-    own = predict(docs.select(F.struct(*columns).alias("row"), F.col("text").alias("text")), learn(docs, _training()))
-    return own.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
+    rest = [c for c in docs.columns if c != "text"]
+    own = predict(docs.select("text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row")), learn(docs, _training()))
+    own = own.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
+    return own.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

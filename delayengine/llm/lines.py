@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from delayengine.llm.packed import BLOCKS, blocks, pack, shard_of, unpack
-from delayengine.llm.scratch import mapped, put
+from delayengine.llm.scratch import give_back, mapped, put
 from delayengine.llm.words import Texts, find, mix, mixed, pieces, runs, texts_of, words_of
 from delayengine.session import new_folder, stage
 
@@ -41,7 +41,9 @@ THRESHOLD = 0.8
 _BITS = 43  # of a word's hash; the other bits of a number take the line
 _COUNTERS = 1 << 22
 _MAP, LISTED, GROUP = 8, 4, 2048
+SHARD_BYTES = 12 << 20  # bytes of text for a shard of keys and of words
 _PARTS = 64  # rows in which a task hands its counters on
+_FLUSH = 1_000_000  # words of lines that a task merges at once
 _LATE = np.int64(2**63 - 1)  # stands for a null id
 
 
@@ -202,11 +204,12 @@ def _lines_out(levels, threshold: float, shards: int) -> Callable:
                 parts.append([lines.key, lines.key2, doc, line, text, lines.size, np.ones(len(doc), np.int64), count, *_bitmaps(lines).T])
                 words.append(flat)
                 size += len(lines.words)
-                if size > 8_000_000:
+                if size > _FLUSH:
                     yield flush()
                     parts, words, size = [], [], 0
         if parts:
             yield flush()
+        give_back()
 
     return run
 
@@ -236,9 +239,11 @@ def _sets_merged(folder: str, shards: int) -> Callable:
         shard = shard_of(flat["word"] << np.uint64(64 - _BITS), shards)
         order = np.lexsort((flat["word"], shard))
         owner, flat, shard = owner[order], flat[order], shard[order]
-        return pa.Table.from_batches([blocks(0, shard, shards, [
+        out = pa.Table.from_batches([blocks(0, shard, shards, [
             flat["word"], keys[owner], doc[owner], line[owner].astype(np.uint32), size[owner].astype(np.uint32), flat["place"].copy(), folded[owner],
         ])])
+        give_back()
+        return out
 
     return run
 
@@ -463,6 +468,7 @@ def _removing(folder: str, shards: int, columns: list[str]) -> Callable:
                 out = piece.set_column(piece.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
                 out = out.append_column("removed", pa.array(removed, pa.int64()))
                 yield out.select([*columns, "removed"])
+        give_back()
 
     return run
 
@@ -473,11 +479,13 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     ``listed`` candidates of each line are compared first, and a word of over ``group`` sets is split; neither changes a result.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, "line-keys")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
     levels = spark.sparkContext.broadcast(rarity(texts))
     merged = texts.mapInArrow(_lines_out(levels, threshold, shards), BLOCKS).groupBy("shard").applyInArrow(_sets_merged(folder, shards), BLOCKS)
+    merged = stage(merged, "line-words")  # read by both rounds
     columns = "later bigint, best array<struct<far:bigint,earlier:bigint>>, n bigint"
     # the words of a set may be in several shards: the sum of n is at least its number of candidates
     nearest = _compared(merged, _nearest(folder, shards, threshold, listed), columns, group, "line-nearest")
@@ -507,7 +515,8 @@ def clean_lines(docs: DataFrame) -> DataFrame:
 
 def remove_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with later lines removed and ``n_chars`` following the text; a text left without words is dropped if it lost lines."""
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    out = deduplicate(rows).where((F.col("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kept = F.struct(*[F.col(f"`{c}`") for c in ("doc_id", *rest)]).alias("row")  # each text goes through Arrow once
+    out = deduplicate(docs.select("doc_id", "text", kept)).where((F.col("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return out.select(*[(new[c] if c in new else F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
