@@ -44,8 +44,9 @@ NEARLY = (4, 5)  # fixed value: a longer candidate of this part of the count dro
 SCORED = 2_000_000  # fixed value
 BEST = 2000  # fixed value: phrases reported for each language
 SHARD_BYTES = 8 << 20
-WORD_SHARD_BYTES = 64 << 20
-UNIT = 1_000_000  # words that a task sums at once
+WORD_SHARD_BYTES = 24 << 20
+UNIT = 700_000  # words that a task sums at once
+_STEP = 50_000  # words whose bytes are compared at once
 _CODES = 65_535
 _STOP = np.zeros(256, bool)
 _STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -149,11 +150,15 @@ def _shard_of(words: list[np.ndarray], shards: int) -> np.ndarray:
     return shard_of(mixed(*(w.astype(np.uint64) for w in words)), shards)
 
 
+def _bytes_at(flat: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    length = length.astype(np.int64)
+    return flat[np.repeat(starts, length) + runs(length)]
+
+
 def _taken(flat: np.ndarray, length: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """The bytes of the chosen words."""
-    length = length.astype(np.int64)
-    starts = np.cumsum(length) - length
-    return flat[np.repeat(starts[chosen], length[chosen]) + runs(length[chosen])]
+    starts = np.cumsum(length.astype(np.int64)) - length
+    return _bytes_at(flat, starts[chosen], length[chosen])
 
 
 def _word_blocks(ids, counts, lang, length, flat, langs: list[str], shards: int) -> pa.RecordBatch:
@@ -313,8 +318,14 @@ def _merged_words(folder: str, least: int) -> Callable:
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], ids[order][1:] != ids[order][:-1])))
         chosen = np.repeat(order[first], np.diff(first, append=len(ids)))  # the word that stands for each entry
-        if (lang[chosen] != lang[order]).any() or (length[chosen] != length[order]).any() or (_taken(flat, length, chosen) != _taken(flat, length, order)).any():
+        starts = np.cumsum(length.astype(np.int64)) - length
+        if (lang[chosen] != lang[order]).any() or (length[chosen] != length[order]).any():
             raise ValueError("two words have one hash")
+        for at in range(0, len(order), _STEP):
+            one, other = order[at:at + _STEP], chosen[at:at + _STEP]
+            one, other = one[one != other], other[one != other]
+            if (_bytes_at(flat, starts[one], length[one]) != _bytes_at(flat, starts[other], length[other])).any():
+                raise ValueError("two words have one hash")
         total = np.add.reduceat(counts[order], first)
         of_lang = np.bincount(lang[order], counts[order], len(known)).astype(np.int64)
         keep = total >= least
