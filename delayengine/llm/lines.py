@@ -41,7 +41,7 @@ THRESHOLD = 0.8
 _BITS = 43  # of a word's hash; the other bits of a number take the line
 _COUNTERS = 1 << 22
 _MAP, LISTED, GROUP = 8, 4, 2048
-SHARD_BYTES = 12 << 20  # bytes of text for a shard of keys and of words
+SHARD_WORDS = 2_000_000  # words of text for a shard of keys and of words
 _PARTS = 64  # rows in which a task hands its counters on
 _FLUSH = 1_000_000  # words of lines that a task merges at once
 _LATE = np.int64(2**63 - 1)  # stands for a null id
@@ -107,19 +107,21 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _levels(key: tuple, table: pa.Table) -> pa.Table:
     """Sums as levels: 0 none, 1 for exactly one, then eight to each doubling."""
-    total = np.sum([unpack(b)[0].astype(np.float64) for b in table.column("block").to_pylist()], axis=0)
+    total = np.zeros(_COUNTERS // _PARTS)
+    for block in table.column("block"):
+        total += unpack(block.as_py())[0]
     level = np.where(total > 0, 1 + np.ceil(8 * np.log2(np.maximum(total, 1))), 0).clip(0, 255).astype(np.uint8)
-    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([pack([level])], pa.binary())], ["shard", "kind", "block"])
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([int(total.sum())]), pa.array([pack([level])], pa.binary())], ["shard", "words", "block"])
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The level of each counter: 4 MB whatever the size of the corpus."""
-    rows = docs.select("text").mapInArrow(_counted, BLOCKS).groupBy("shard").applyInArrow(_levels, BLOCKS).collect()
+def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """The level of each counter, 4 MB whatever the size of the corpus, and the number of words."""
+    rows = docs.select("text").mapInArrow(_counted, BLOCKS).groupBy("shard").applyInArrow(_levels, "shard int, words long, block binary").collect()
     out = np.zeros(_COUNTERS, np.uint8)
     width = _COUNTERS // _PARTS
     for row in rows:
         out[row.shard * width:(row.shard + 1) * width] = unpack(row.block)[0]
-    return out
+    return out, sum(row.words for row in rows)
 
 
 def _places(piece: pa.RecordBatch, lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,12 +150,15 @@ def _prefixes(lines: Lines, levels: np.ndarray, threshold: float) -> tuple[np.nd
     return owner[keep], place[keep], lines.words[order][keep]
 
 
-def _bitmaps(lines: Lines) -> np.ndarray:
-    """_MAP x 64 bits for each set, one set by each word."""
-    n, bits = len(lines.size), 64 * _MAP
-    out = np.zeros(n * bits, bool)
-    out[np.repeat(np.arange(n) * bits, lines.size) + (mix(lines.words ^ np.uint64(77)) & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(out).view(np.uint64).reshape(n, _MAP)
+def _bitmaps(lines: Lines, wanted: np.ndarray) -> np.ndarray:
+    """_MAP x 64 bits for each set that is wanted, one set by each word; zeros for the others."""
+    n, bits = int(wanted.sum()), 64 * _MAP
+    words = lines.words[np.repeat(wanted, lines.size)]
+    flags = np.zeros(n * bits, bool)
+    flags[np.repeat(np.arange(n) * bits, lines.size[wanted]) + (mix(words ^ np.uint64(77)) & np.uint64(bits - 1)).astype(np.int64)] = True
+    out = np.zeros((len(wanted), _MAP), np.uint64)
+    out[wanted] = np.packbits(flags).view(np.uint64).reshape(n, _MAP)
+    return out
 
 
 def _merged(parts: list[list[np.ndarray]], words: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -201,7 +206,7 @@ def _lines_out(levels, threshold: float, shards: int) -> Callable:
                 flat = np.empty(len(word), [("word", "u8"), ("place", "u2")])
                 flat["word"], flat["place"] = word, np.minimum(place, 65535)
                 count = np.bincount(owner, minlength=len(lines.key))
-                parts.append([lines.key, lines.key2, doc, line, text, lines.size, np.ones(len(doc), np.int64), count, *_bitmaps(lines).T])
+                parts.append([lines.key, lines.key2, doc, line, text, lines.size, np.ones(len(doc), np.int64), count, *_bitmaps(lines, count > 0).T])
                 words.append(flat)
                 size += len(lines.words)
                 if size > _FLUSH:
@@ -461,11 +466,13 @@ def _removing(folder: str, shards: int, columns: list[str]) -> Callable:
                             same = (keys[next_] == lines.key[rows]) & (values[next_, 0] == lines.key2[rows])
                             gone[rows[same]] |= values[next_[same], 1] != own[rows[same]]
                 removed = np.bincount(lines.row[gone], minlength=piece.num_rows)
-                texts = piece.column("text").to_pylist()
-                for row in np.flatnonzero(removed):
-                    drop = set(lines.line[gone & (lines.row == row)].tolist())
-                    texts[row] = "\n".join(x for i, x in enumerate(texts[row].split("\n")) if i not in drop)
-                out = piece.set_column(piece.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+                out, rows = piece, np.flatnonzero(removed)
+                if len(rows):
+                    texts, ends = piece.column("text").to_pylist(), np.searchsorted(lines.row, rows, side="right")
+                    for row, start, end in zip(rows.tolist(), np.searchsorted(lines.row, rows).tolist(), ends.tolist(), strict=True):
+                        drop = set(lines.line[start:end][gone[start:end]].tolist())
+                        texts[row] = "\n".join(x for i, x in enumerate(texts[row].split("\n")) if i not in drop)
+                    out = piece.set_column(piece.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
                 out = out.append_column("removed", pa.array(removed, pa.int64()))
                 yield out.select([*columns, "removed"])
         give_back()
@@ -480,10 +487,10 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "line-keys")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
-    levels = spark.sparkContext.broadcast(rarity(texts))
+    levels, words = rarity(texts)
+    levels = spark.sparkContext.broadcast(levels)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // SHARD_WORDS)
     merged = texts.mapInArrow(_lines_out(levels, threshold, shards), BLOCKS).groupBy("shard").applyInArrow(_sets_merged(folder, shards), BLOCKS)
     merged = stage(merged, "line-words")  # read by both rounds
     columns = "later bigint, best array<struct<far:bigint,earlier:bigint>>, n bigint"
