@@ -15,7 +15,8 @@ from delayengine.operators.quality import enriched_report, flight_report, live_r
 from delayengine.session import get_session
 from delayengine.sources.stored import whole_table
 from delayengine.streaming.messages import to_messages
-from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.history import History
+from delayengine.streaming.state import StateTable
 
 TARGETS = ("flights", "enriched", "live", "all")
 
@@ -27,9 +28,10 @@ def report(
     if target in ("flights", "all"):
         found.append(flight_report(whole_table(spark, flights), F.current_date()))
     if target in ("enriched", "all"):
-        found.append(enriched_report(whole_table(spark, history)))
+        stored = History(spark, history).read()
+        found.append(enriched_report(spark.createDataFrame([], "icao24 string") if stored is None else stored))
     if target in ("live", "all"):
-        current = SnapshotTable(spark, state).read()
+        current = StateTable(spark, state).read()
         empty = spark.createDataFrame([], "value string")
         found.append(live_report(empty if current is None else to_messages(current)))
     return union_all(found)

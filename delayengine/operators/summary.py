@@ -30,12 +30,16 @@ def _grounded() -> Column:
     return F.coalesce("on_ground", F.lit(False))
 
 
+def delay_signal() -> Column:
+    """An aircraft on the ground, or one at medium or high risk."""
+    return _grounded() | F.coalesce(F.col("risk_label").isin("medium", "high"), F.lit(False))
+
+
 def density(flights: DataFrame, as_of: Column) -> DataFrame:
     """Aircraft and ground-delay signals per hub.
 
     A hub outside the fixed position table sits where its first aircraft (by id) is.
     """
-    signal = _grounded() | F.coalesce(F.col("risk_label").isin("medium", "high"), F.lit(False))
     table = F.create_map(
         *chain.from_iterable(
             (F.lit(code), F.struct(F.lit(lat).alias("lat"), F.lit(lon).alias("lon")))
@@ -45,7 +49,7 @@ def density(flights: DataFrame, as_of: Column) -> DataFrame:
     first = F.min_by(F.struct("lat", "lon"), F.struct("icao24", "flight_id"))
     grouped = flights.groupBy(hub_of(flights).alias("region")).agg(
         F.count(F.lit(1)).alias("count"),
-        F.count_if(signal).alias("ground_delay_count"),
+        F.count_if(delay_signal()).alias("ground_delay_count"),
         first.alias("first"),
     )
     place = F.coalesce(F.try_element_at(table, F.col("region")), F.col("first"))
@@ -61,10 +65,9 @@ def density(flights: DataFrame, as_of: Column) -> DataFrame:
 
 def density_series(flights: DataFrame, time: str) -> DataFrame:
     """``density`` counts per minute of ``time``: the history the activity trend reads."""
-    signal = _grounded() | F.coalesce(F.col("risk_label").isin("medium", "high"), F.lit(False))
     return flights.groupBy(
         F.date_trunc("minute", F.col(time)).alias("timestamp"), hub_of(flights).alias("region")
-    ).agg(F.count(F.lit(1)).alias("count"), F.count_if(signal).alias("ground_delay_count"))
+    ).agg(F.count(F.lit(1)).alias("count"), F.count_if(delay_signal()).alias("ground_delay_count"))
 
 
 def service_density(records: DataFrame, as_of: Column) -> DataFrame:

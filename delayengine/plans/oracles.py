@@ -300,6 +300,26 @@ def _vectors() -> str:
     )
 
 
+# Events by arrival; before each arrival the watermark stands two minutes before the newest row delivered so far.
+def _arriving(rows: str) -> str:
+    return f"""
+arrivals_v AS (
+  SELECT *, least(2, event_id * 3 // (SELECT max(event_id) + 1 FROM events)
+    + CASE WHEN event_id % 53 = 0 THEN 1 ELSE 0 END) AS arrival FROM {rows}
+), timely_v AS (
+  SELECT a.*, coalesce(date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <=
+    (SELECT date_trunc('millisecond', max(b.event_ts)) - INTERVAL 2 MINUTE FROM arrivals_v b WHERE b.arrival < a.arrival), false) AS late
+  FROM arrivals_v a
+)"""
+
+
+RULE_SLOT = "CASE WHEN carrier IN ('AA', 'DL', 'UA', 'WN') THEN carrier ELSE '???' END"
+CLOCK = """CAST(hour(event_ts) AS INTEGER) AS hour_of_day, CAST(dayofweek(event_ts) + 1 AS INTEGER) AS day_of_week,
+  CAST(month(event_ts) AS INTEGER) AS month"""
+PROBABLE = "CASE WHEN p < 0.3 THEN 'low' WHEN p < 0.6 THEN 'medium' ELSE 'high' END"
+
+_KEYED = NORMALIZED[NORMALIZED.index("SELECT"):NORMALIZED.rindex(")")].replace("SELECT icao24", "SELECT event_id, icao24", 1)
+
 DAY_OLD = "event_ts > now - INTERVAL 86400 SECOND"
 
 # --- One statement per query ---------------------------------------------------------
@@ -499,7 +519,37 @@ ORACLES: dict[str, str] = {
           c.name AS origin_airport_name, c.timezone AS origin_airport_timezone
         FROM latest_v s LEFT JOIN countries_v c ON c.country = s.origin_country, now_v
         WHERE {DAY_OLD}""",
-    "stream_density": f"""WITH {STATES} SELECT date_trunc('minute', event_ts) AS timestamp,
-        origin_country AS region, count(*) AS count,
-        count(*) FILTER (WHERE on_ground) AS ground_delay_count FROM states_v GROUP BY ALL""",
+    "stream_history": f"""WITH {STATES},{AIRPORT_TEXTS},{_arriving("states_v")},
+        first_v AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY load_order DESC) AS rn
+          FROM airports_v) WHERE rn = 1),
+        second_v AS (FROM first_v UNION ALL SELECT * REPLACE ('A' || code AS code, 'New ' || name AS name) FROM first_v),
+        named_v AS (SELECT 0::BIGINT AS v, country, min(code) AS code, min(name) AS name FROM first_v GROUP BY country
+          UNION ALL SELECT 1, country, min(code), min(name) FROM second_v GROUP BY country),
+        stored_v AS (SELECT 0::BIGINT AS v, * FROM arrivals_v WHERE arrival = 0 UNION ALL SELECT 1, * FROM arrivals_v WHERE arrival = 1
+          UNION ALL SELECT 1, * FROM arrivals_v)
+        SELECT s.v AS reference_version, n.code AS origin_airport_icao_code, n.name AS origin_airport_name, count(*) AS states
+        FROM stored_v s LEFT JOIN named_v n ON n.v = s.v AND n.country = s.origin_country
+        WHERE event_ts::DATE = (SELECT (min(ts) + (max(ts) - min(ts)) / 2)::DATE FROM events) GROUP BY ALL""",
+    "stream_density": f"""WITH {STATES},{_arriving("states_v")}
+        SELECT date_trunc('minute', event_ts) AS timestamp, origin_country AS region, count(*) AS count,
+          count(*) FILTER (WHERE on_ground) AS ground_delay_count, 0::BIGINT AS late
+        FROM timely_v WHERE NOT late GROUP BY ALL
+        UNION ALL SELECT NULL, NULL, 0, 0, count(*) FROM timely_v WHERE late""",
+    "stream_trend": f"""WITH {STATES},{_trip("states_v")},
+        placed_v AS (SELECT *, {_label("coalesce(predicted_delay_minutes, 0)")} AS risk_label FROM live_v WHERE latitude IS NOT NULL),
+        {_arriving("placed_v")}, m AS (SELECT *, date_trunc('minute', event_ts) AS mi FROM timely_v WHERE NOT late)
+        SELECT mi AS timestamp, count(*) AS active_aircraft, count(*) FILTER (WHERE {SIGNAL}) AS ground_delays
+        FROM m WHERE mi >= (SELECT max(mi) FROM m) - INTERVAL 43200 MINUTE GROUP BY mi""",
+    "stream_scored_by_rule": f"""WITH {STATES}, c AS (SELECT event_id, icao24, iata AS carrier, {CLOCK}
+          FROM states_v JOIN {IATA} ON icao = left(callsign, 3)),
+        s AS (SELECT *, {_rule(RULE_SLOT)} AS p FROM c)
+        SELECT * EXCLUDE p, p AS delay_probability, {PROBABLE} AS risk_label FROM s""",
+    "predictions_filled_by_rule": f"""WITH {STATES},{_trip("states_v")},{NORMALIZED}, c AS (
+          SELECT icao24, event_id, coalesce(iata, left(callsign, 2)) AS carrier, {CLOCK}
+          FROM states_v LEFT JOIN {IATA} ON icao = left(callsign, 3) WHERE latitude IS NOT NULL),
+        s AS (SELECT event_id, carrier, {_rule(RULE_SLOT)} AS p FROM c),
+        g AS (SELECT *, {_round("p * 60", 1)} AS guess FROM s)
+        SELECT n.* EXCLUDE event_id REPLACE (g.carrier AS carrier, guess AS predicted_delay_minutes, {PROBABLE} AS risk_label,
+          {_round("greatest(0.02::DOUBLE, least(guess / 60, 1.0::DOUBLE))", 2)} AS delay_risk)
+        FROM ({_KEYED}) n JOIN g USING (event_id)""",
 }

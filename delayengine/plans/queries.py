@@ -32,14 +32,18 @@ from delayengine.operators import (
 from delayengine.plans import tables
 from delayengine.plans.dashboard import normalized_live
 from delayengine.session import new_folder, stage
-from delayengine.sinks.tables import write_months
+from delayengine.sinks.tables import write_airports, write_months
 from delayengine.sources import airports as airport_source
 from delayengine.sources import flights as flight_source
 from delayengine.streaming import messages, pipeline
+from delayengine.streaming.folders import BatchTable
+from delayengine.streaming.history import History
 from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.state import StateTable
 
 # The test events span a month, so the live state is kept for a day here.
 DAY = 86_400
+MONTH_MINUTES = 43_200
 YEARS = range(1995, 2002)
 
 
@@ -265,6 +269,12 @@ def metrics_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("auc", "accuracy", "precision", "recall", "f1")
 
 
+def predictions_filled_by_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``predictions_filled``, from a score table that SQL repeats."""
+    scores = model.score_table(spark, RULE_CARRIERS, _rule(F.col("carrier")))
+    return normalized_live(tables.live(spark, sf), tables.newest(spark, sf), scores)
+
+
 def score_agreement(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out rows, and how many get another probability from the score table than from the forest."""
     train, test = _tallied(spark, sf)
@@ -501,50 +511,126 @@ def delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
 # --- Streams -------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    # A pattern, so that the table may be one file or a folder of them.
-    schema = tables.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
-    return tables.states_from_events(events)
+def _in_arrivals(
+    spark: SparkSession, sf: str, base: str, start: Callable[[DataFrame, int], object]
+) -> None:
+    """Deliver the events in three arrivals, some of them late, each to a query that goes on where the last one ended.
+
+    ``start`` gets the stream of events and the arrival's number and returns the running query.
+    """
+    events = tables.arrivals(spark, sf)
+    schema = events.drop("arrival").schema
+    for arrival in range(tables.ARRIVALS):
+        own = events.where(F.col("arrival") == arrival).drop("arrival")
+        own.write.mode("append").parquet(f"{base}/events")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/events")
+        start(tables.states_from_events(stream), arrival).awaitTermination()
+
+
+def _raw(states: DataFrame) -> DataFrame:
+    return messages.to_messages(states).select("value", F.current_timestamp().alias("arrived_at"))
 
 
 def stream_latest_state(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages -> parse -> enrich -> history and current state, over a file stream."""
-    raw = messages.to_messages(_event_stream(spark, sf)).select(
-        "value", F.current_timestamp().alias("arrived_at")
-    )
+    """Messages -> parse -> enrich -> history and current state, over several micro-batches and restarts."""
     base = new_folder(spark, "live")
-    state = SnapshotTable(spark, f"{base}/state")
+    state = StateTable(spark, f"{base}/state", DAY)
     sink = pipeline.live_sink(
-        _reference(spark, sf), state, f"{base}/history", f"{base}/rejects", DAY
+        _reference(spark, sf), state, History(spark, f"{base}/history"), BatchTable(spark, f"{base}/rejects")
     )
-    pipeline.run(raw, sink, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    _in_arrivals(spark, sf, base, lambda states, _: pipeline.run(
+        _raw(states), sink, f"{base}/checkpoint", availableNow=True
+    ))
     return state.read().withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
+def stream_history(spark: SparkSession, sf: str) -> DataFrame:
+    """One day of the compacted history: each arrival joined with the newest airports, of which the second brings new ones.
+
+    The last arrival comes through a new checkpoint: it adds to the history, whatever its batch number.
+    """
+    base = new_folder(spark, "live")
+    airports = SnapshotTable(spark, f"{base}/airports")
+    history = History(spark, f"{base}/history")
+    sink = pipeline.live_sink(
+        pipeline.NewestReference(spark, airports.root), StateTable(spark, f"{base}/state", DAY), history,
+        BatchTable(spark, f"{base}/rejects"),
+    )
+
+    def start(states: DataFrame, arrival: int):
+        if arrival < 2:
+            loaded = _airports(spark, sf)
+            if arrival == 1:
+                loaded = loaded.withColumns({"name": F.concat(F.lit("New "), "name"), "code": F.concat(F.lit("A"), "code")})
+            write_airports(airports, loaded)
+        else:
+            history.compact()
+        checkpoint = f"{base}/checkpoint" if arrival < 2 else f"{base}/checkpoint-2"
+        return pipeline.run(_raw(states), sink, checkpoint, availableNow=True)
+
+    _in_arrivals(spark, sf, base, start)
+    history.compact()
+    history.clean()
+    return history.read(tables.history_day(spark, sf)).groupBy(pipeline.REFERENCE_VERSION, "origin_airport_icao_code", "origin_airport_name").agg(
+        F.count(F.lit(1)).alias("states")
+    )
+
+
+def _counted(spark: SparkSession, sf: str, counts: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Per-minute counts of the arrivals in update mode, and the rows that the watermark dropped."""
+    base = new_folder(spark, "counts")
+    stored = BatchTable(spark, f"{base}/counts")
+    _in_arrivals(spark, sf, base, lambda states, _: pipeline.run(
+        counts(_timed(states)), pipeline.counts_sink(stored), f"{base}/checkpoint", "update", availableNow=True
+    ))
+    newest = stage(pipeline.newest_counts(stored.read()), "counts")
+    return newest, pipeline.late_rows(counts(_timed(tables.states(spark, sf))), newest)
+
+
+def _timed(states: DataFrame) -> DataFrame:
+    return states.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+
+
 def stream_density(spark: SparkSession, sf: str) -> DataFrame:
-    states = _event_stream(spark, sf).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    base = new_folder(spark, "density")
-    # One availableNow run reads the events in no particular order: nothing is late.
-    counts = pipeline.minute_density(states, "origin_country", lateness="3650 days")
-    sink = pipeline.counts_sink(f"{base}/counts")
-    run = pipeline.run(counts, sink, f"{base}/checkpoint", "update", availableNow=True)
-    run.awaitTermination()
-    newest = pipeline.newest_counts(spark.read.parquet(f"{base}/counts"))
-    return newest.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    """Counts per minute and country with a watermark of two minutes; the last row counts what came too late."""
+    newest, late = _counted(spark, sf, lambda states: pipeline.minute_density(states, "origin_country"))
+    found = pipeline.with_late(newest, late)
+    return found.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
+def stream_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """The activity trend as the dashboard reads it, over the stored counts of the stream."""
+
+    def counts(states: DataFrame) -> DataFrame:
+        label = label_from_minutes(F.coalesce("predicted_delay_minutes", F.lit(0.0)))
+        flights = tables.with_trip(states).dropna(subset=["latitude", "longitude"]).withColumn("risk_label", label)
+        return pipeline.minute_density(flights, summary.hub_of(flights), signal=summary.delay_signal())
+
+    found = summary.activity_trend(_counted(spark, sf, counts)[0], minutes=MONTH_MINUTES)
+    return found.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def _scored_stream(spark: SparkSession, sf: str, scores: model.ScoreTable) -> DataFrame:
     base = new_folder(spark, "scored")
-    sink = pipeline.scored_sink(_scores(spark, sf), f"{base}/rows")
-    stream = _event_stream(spark, sf)
-    pipeline.run(stream, sink, f"{base}/checkpoint", availableNow=True).awaitTermination()
-    return spark.read.parquet(f"{base}/rows").select(
+    output = BatchTable(spark, f"{base}/rows")
+    sink = pipeline.scored_sink(scores, output)
+    _in_arrivals(spark, sf, base, lambda states, _: pipeline.run(
+        states, sink, f"{base}/checkpoint", availableNow=True
+    ))
+    return output.read().select(
         "event_id", "icao24", "carrier", "hour_of_day", "day_of_week", "month",
         "delay_probability", "risk_label",
     )
 
 
+def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored_stream(spark, sf, _scores(spark, sf))
+
+
+def stream_scored_by_rule(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored_stream(spark, sf, model.score_table(spark, RULE_CARRIERS, _rule(F.col("carrier"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -555,13 +641,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         temporal_features, labelled, training_rows, training_cells, class_balance,
         holdout_tally, scored_flights, confusion_matrix, model_metrics,
         collapsed_model_metrics, predictions_filled, scored_by_rule, confusion_by_rule,
-        metrics_by_rule, score_agreement,
+        metrics_by_rule, predictions_filled_by_rule, score_agreement,
         country_reference, country_reference_coherent, airports_filtered, airports_rejected,
         airports_upsert, state_enriched, latest_state, live_expired, live_limit,
         carrier_strict, carrier_fallback, state_features, states_json_parsed, state_vectors,
         state_topic_json, normalized_flights, api_live_records, risk_from_delay,
         risk_from_probability, delays_top, risk_table, map_points, density, congestion_risk,
         congestion_chart, api_density, congestion_load, kpis, activity_trend, delay_histogram,
-        stream_latest_state, stream_density, stream_scored,
+        stream_latest_state, stream_history, stream_density, stream_trend, stream_scored,
+        stream_scored_by_rule,
     )
 }

@@ -7,6 +7,7 @@ into the operator under test.
 
 from __future__ import annotations
 
+import datetime
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ CARRIERS = tuple(ICAO_TO_IATA.values())[:8]
 PREFIXES = (*tuple(ICAO_TO_IATA)[:8], "ZZZ")
 HUBS = tuple(HUB_POSITIONS)
 ROW_ID = ("l_orderkey", "l_linenumber")
+# Events reach the streams in so many parts; every LATE_EVERY-th comes one part later.
+ARRIVALS, LATE_EVERY = 3, 53
 
 
 @cache
@@ -128,6 +131,21 @@ def states_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``arrival``, the part of the delivery they come in."""
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]  # one column, one value
+    place = F.floor(F.col("event_id") * F.lit(ARRIVALS) / F.lit((last or 0) + 1))
+    late = F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0)
+    return events.withColumn("arrival", F.least(place + late, F.lit(ARRIVALS - 1)).cast("int"))
+
+
+def history_day(spark: SparkSession, sf_dir: str) -> datetime.date:
+    """The day in the middle of the events."""
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    return (low + (high - low) / 2).date()
+
+
 def with_trip(live: DataFrame) -> DataFrame:
     """Add origin, destination and a predicted delay (absent for every seventh event)."""
     user = F.conv("icao24", 16, 10).cast("bigint")

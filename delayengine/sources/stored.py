@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from delayengine.operators.latest import unexpired
 from delayengine.operators.normalize import api_records, first_records
 from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.state import DEFAULT_TTL_SECONDS, StateTable
 
 
 def whole_table(spark: SparkSession, path: str) -> DataFrame:
@@ -24,18 +24,15 @@ def airport_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def live_records(
-    spark: SparkSession, root: str, as_of: Column, limit: int = 500, ttl_seconds: int | None = None
+    spark: SparkSession, root: str, as_of: Column, limit: int = 500, ttl_seconds: int = DEFAULT_TTL_SECONDS
 ) -> DataFrame:
     """Positioned records of the current state in the service layout, first by aircraft.
 
-    With ``ttl_seconds``, states that have grown too old since the last batch are left
-    out as well, measured from ``as_of``.
+    States older than ``ttl_seconds`` at ``as_of`` (now) are left out, also those that have grown so since the last batch.
     """
-    state = SnapshotTable(spark, root).read()
+    state = StateTable(spark, root, ttl_seconds).read(as_of)
     if state is None:
         raise FileNotFoundError(f"no live state at {root}")
-    if ttl_seconds is not None:
-        state = unexpired(state, ttl_seconds, horizon=as_of)
     return first_records(api_records(state, as_of), limit)
 
 

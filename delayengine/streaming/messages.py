@@ -39,6 +39,14 @@ def without_key() -> Column:
     return F.coalesce(F.col("flight.icao24"), F.lit("")) == F.lit("")
 
 
+def reject_reason(parsed: DataFrame) -> Column:
+    """Why a message can't become a state: no aircraft, or neither a readable poll time nor an arrival. NULL if it can."""
+    timed = F.col("flight.polled_at").try_cast("timestamp").isNotNull()
+    if "arrived_at" in parsed.columns:
+        timed = timed | F.col("arrived_at").isNotNull()
+    return F.when(without_key(), F.lit("no aircraft")).when(~timed, F.lit("no time"))
+
+
 def parse_vectors(raw: DataFrame, polled_at: Column) -> DataFrame:
     """One row per state vector of the polled documents in ``value``.
 

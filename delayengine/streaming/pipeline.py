@@ -4,32 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from delayengine.operators.enrich import with_airport
+from delayengine.operators.enrich import country_reference, with_airport
 from delayengine.operators.features import state_features
 from delayengine.operators.latest import current, union_all
 from delayengine.operators.model import ScoreTable, score
-from delayengine.streaming.messages import flat_states, parse_states, without_key
+from delayengine.session import stage
+from delayengine.streaming.folders import BatchTable, origin
+from delayengine.streaming.history import History
+from delayengine.streaming.messages import flat_states, parse_states, reject_reason
 from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.state import DEFAULT_TTL_SECONDS, StateTable, tied
 
-DEFAULT_TTL_SECONDS = 60  # fixed value
-
-
-def batch_folder(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_id={batch_id}"
-
-
-def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
-    """Append-only history; a replayed batch overwrites its own directory."""
-    rows.write.mode("overwrite").parquet(batch_folder(root, batch_id))
-
-
-def _tied(states: DataFrame) -> DataFrame:
-    """A last sort key from the row's content, so that equal times have a fixed order."""
-    return states.withColumn("tie", F.xxhash64(*states.columns))
+REFERENCE_VERSION = "reference_version"
 
 
 def merge_state(
@@ -37,45 +27,69 @@ def merge_state(
 ) -> DataFrame:
     """Current state after ``states`` arrived: newest per aircraft, expired ones gone.
 
-    Newest is by event time, so a late message does not replace a newer one.
+    Newest is by event time, so a late message does not replace a newer one. ``StateTable`` keeps
+    the same rows bucket by bucket.
     """
     arrived = union_all([previous, states]) if previous is not None else states
-    return current(_tied(arrived), "icao24", ["event_ts", "tie"], ttl_seconds).drop("tie")
+    return current(tied(arrived), "icao24", ["event_ts", "tie"], ttl_seconds).drop("tie")
 
 
 def enriched_states(raw: DataFrame, reference: DataFrame) -> DataFrame:
-    """Keyed states of a raw stream or batch, joined with the airport reference."""
+    """Usable states of a raw stream or batch, joined with the airport reference."""
     parsed = parse_states(raw)
-    return with_airport(flat_states(parsed.filter(~without_key())), reference)
+    return with_airport(flat_states(parsed.filter(reject_reason(parsed).isNull())), reference)
+
+
+class NewestReference:
+    """The country reference out of the newest committed version of a stored airport table.
+
+    Asked once a batch: it is reduced and stored anew only when a version has been added, so an upsert shows in the next batch.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.table = SnapshotTable(spark, root)
+        self.version: int | None = None
+        self.rows: DataFrame | None = None
+
+    def __call__(self) -> tuple[DataFrame, int]:
+        versions = self.table.versions()
+        if not versions:
+            raise FileNotFoundError(f"no airports stored at {self.table.root}")
+        if versions[-1] != self.version:
+            self.rows, self.version = stage(country_reference(self.table.at(versions[-1])), "countries"), versions[-1]
+        return self.rows, self.version
 
 
 def live_sink(
-    reference: DataFrame,
-    state: SnapshotTable,
-    history: str,
-    rejects: str,
-    ttl_seconds: int = DEFAULT_TTL_SECONDS,
+    reference: DataFrame | Callable[[], tuple[DataFrame, int]],
+    state: StateTable,
+    history: History,
+    rejects: BatchTable,
     extras: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> Callable[[DataFrame, int], None]:
     """What to do with a raw micro-batch: append the history, refresh the state table.
 
     The batch is parsed once. Its enriched rows are stored first and the state is
     merged from the stored rows, so the join runs once and nothing but the parsed
-    batch is held in memory. Every write is keyed by the batch id, so a replay after
-    a failure repeats it instead of adding to it.
+    batch is held in memory. Every write is keyed by query and batch, so a replay after
+    a failure repeats it instead of adding to it, and a query with a new checkpoint adds to what is there.
+    History rows carry the version of the reference they were joined with (NULL for a fixed one).
     """
 
     def handle(raw: DataFrame, batch_id: int) -> None:
-        parsed = parse_states(raw).persist()
+        by = origin(raw, batch_id)
+        airports, version = (reference, None) if isinstance(reference, DataFrame) else reference()
+        parsed = parse_states(raw)
+        parsed = parsed.withColumn("reason", reject_reason(parsed)).persist()
         try:
-            enriched = with_airport(flat_states(parsed.filter(~without_key())), reference)
-            write_batch(enriched, history, batch_id)
-            write_batch(parsed.filter(without_key()).select("value"), rejects, batch_id)
+            good = flat_states(parsed.filter(F.col("reason").isNull()).drop("reason"))
+            enriched = with_airport(good, airports).withColumn(REFERENCE_VERSION, F.lit(version).cast("long"))
+            stored = history.append(enriched, by)
+            rejects.write(parsed.filter(F.col("reason").isNotNull()).select("value", "reason"), by)
         finally:
             parsed.unpersist()
-        reader = raw.sparkSession.read.schema(enriched.schema)
-        stored = reader.parquet(batch_folder(history, batch_id))
-        state.write(merge_state(state.read(before=batch_id), stored, ttl_seconds), batch_id)
+        stored = stored.drop(REFERENCE_VERSION)
+        state.apply(stored, by)
         for extra in extras:
             extra(stored, batch_id)
 
@@ -97,49 +111,84 @@ def run(
     return writer.start()
 
 
-def minute_density(states: DataFrame, hub: str, lateness: str = "2 minutes") -> DataFrame:
-    """Aircraft and aircraft on the ground per minute and hub, over event time.
+def minute_density(
+    states: DataFrame, hub: str | Column, lateness: str = "2 minutes", signal: Column | None = None
+) -> DataFrame:
+    """Aircraft and ground-delay signals per minute and hub, over event time.
 
-    ``lateness`` bounds the state: a minute is forgotten once the newest event is
-    that much past it. Works on a batch too, where the watermark has no effect.
+    ``signal`` is by default an aircraft on the ground. ``lateness`` bounds the stream's state: once the newest event is
+    that much past a minute's end, the minute is forgotten and its rows are dropped; ``late_rows`` tells which. On a
+    batch the watermark has no effect.
     """
+    hub = F.col(hub) if isinstance(hub, str) else hub
+    grounded = F.coalesce("on_ground", F.lit(False))
     return (
         states.withWatermark("event_ts", lateness)
-        .groupBy(F.window("event_ts", "1 minute").alias("w"), F.col(hub).alias("region"))
+        .groupBy(F.window("event_ts", "1 minute").alias("w"), hub.alias("region"))
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.count_if(F.coalesce("on_ground", F.lit(False))).alias("ground_delay_count"),
+            F.count_if(grounded if signal is None else signal).alias("ground_delay_count"),
         )
         .select(F.col("w.start").alias("timestamp"), "region", "count", "ground_delay_count")
     )
 
 
-def counts_sink(root: str) -> Callable[[DataFrame, int], None]:
+def counts_sink(counts: BatchTable) -> Callable[[DataFrame, int], None]:
     """Sink for ``minute_density`` in update mode: each batch stores the counts it changed."""
 
     def handle(changed: DataFrame, batch_id: int) -> None:
-        write_batch(changed, root, batch_id)
+        counts.write(changed, origin(changed, batch_id))
 
     return handle
 
 
 def newest_counts(changes: DataFrame) -> DataFrame:
-    """The last count of each minute and hub out of everything ``counts_sink`` stored."""
+    """The count of each minute and hub out of everything ``counts_sink`` stored.
+
+    A query's last count replaces its earlier ones; counts of several queries (checkpoints) are of
+    different rows and add up.
+    """
     counts = F.struct("count", "ground_delay_count")
-    return (
-        changes.groupBy("timestamp", "region")
-        .agg(F.max_by(counts, "batch_id").alias("c"))
-        .select("timestamp", "region", "c.*")
+    last = changes.groupBy("query", "timestamp", "region").agg(F.max_by(counts, "batch_id").alias("c"))
+    return last.groupBy("timestamp", "region").agg(
+        F.sum("c.count").alias("count"), F.sum("c.ground_delay_count").alias("ground_delay_count")
     )
 
 
+def late_rows(arrived: DataFrame, counted: DataFrame) -> DataFrame:
+    """Per minute and hub how many rows that arrived are not counted: those the watermark dropped.
+
+    ``arrived`` is ``minute_density`` of the stored history, ``counted`` is ``newest_counts``; both must have seen
+    the same batches. Counting by difference is exact, while the state operator's own metric
+    (``dropped_partials``) is of rows already summed per task.
+    """
+    given = counted.select("timestamp", "region", F.col("count").alias("kept"))
+    joined = arrived.select("timestamp", "region", "count").join(given, ["timestamp", "region"], "left")
+    late = F.col("count") - F.coalesce("kept", F.lit(0))
+    return joined.select("timestamp", "region", late.alias("late")).where(F.col("late") > 0)
+
+
+def with_late(counted: DataFrame, late: DataFrame) -> DataFrame:
+    """The counts and, in a row of its own without minute and hub, how many rows came too late."""
+    blank = [F.lit(None).cast(counted.schema[c].dataType).alias(c) for c in ("timestamp", "region")]
+    total = late.agg(F.coalesce(F.sum("late"), F.lit(0)).alias("late"))
+    return counted.withColumn("late", F.lit(0).cast("long")).unionByName(
+        total.select(*blank, *[F.lit(0).cast("long").alias(c) for c in ("count", "ground_delay_count")], "late")
+    )
+
+
+def dropped_partials(query: StreamingQuery) -> int:
+    """How many partial sums the state operators of the recent batches dropped as late."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def scored_sink(
-    scores: ScoreTable, output: str, mode: str = "strict"
+    scores: ScoreTable, output: BatchTable, mode: str = "strict"
 ) -> Callable[[DataFrame, int], None]:
     """Score each micro-batch of flat states; unknown airlines get no prediction."""
 
     def handle(states: DataFrame, batch_id: int) -> None:
         features = state_features(states, F.col("event_ts"), mode)
-        write_batch(score(scores, features), output, batch_id)
+        output.write(score(scores, features), origin(states, batch_id))
 
     return handle

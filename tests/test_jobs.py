@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from delayengine.plans import tables
 from delayengine.sinks.topics import publish_kafka
-from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.folders import BatchTable
+from delayengine.streaming.history import History
+from delayengine.streaming.state import StateTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,12 +45,14 @@ def test_all_jobs(spark, raw, monkeypatch, capsys):
     run(monkeypatch, "publish", "--input", d / "docs", "--folder", d / "topic")
     run(monkeypatch, "stream", "--folder", d / "topic", "--airports", d / "airports", "--output", d / "live",
         "--model", trained["model"], "--once")
-    history = spark.read.parquet(f"{d}/live/history")
+    run(monkeypatch, "stream", "--airports", d / "airports", "--output", d / "live", "--compact")
+    assert "1 batches compacted" in capsys.readouterr().out
+    history = History(spark, f"{d}/live/history").read()
     assert history.count() == 200 and history.filter("origin_airport_name is not null").count() > 0
-    state = SnapshotTable(spark, f"{d}/live/state").read()
+    state = StateTable(spark, f"{d}/live/state").read()
     assert 0 < state.count() == state.select("icao24").distinct().count()
-    assert 0 < spark.read.parquet(f"{d}/live/scored").count() < 200
-    run(monkeypatch, "score", "--model", trained["model"], "--input", d / "live/history", "--output", d / "scored", "--rejects", d / "srej")
+    assert 0 < BatchTable(spark, f"{d}/live/scored").read().count() < 200
+    run(monkeypatch, "score", "--model", trained["model"], "--history", d / "live/history", "--output", d / "scored", "--rejects", d / "srej")
     assert spark.read.parquet(f"{d}/scored").count() + spark.read.parquet(f"{d}/srej").count() == 200
     capsys.readouterr()
     run(monkeypatch, "quality", "--target", "live", "--state", d / "live/state")

@@ -12,7 +12,9 @@ from delayengine.sinks.tables import write_airports
 from delayengine.sources import airports as airport_source
 from delayengine.sources.stored import airport_table, live_records
 from delayengine.streaming import messages
+from delayengine.streaming.folders import Origin
 from delayengine.streaming.snapshots import SnapshotTable
+from delayengine.streaming.state import StateTable
 
 NOW = "2024-05-01 10:11:12"
 NORMALIZED = (
@@ -332,25 +334,26 @@ def test_published_messages_parse_back(spark, tmp_path):
     assert len(lines[0]) == 18
 
 
+def stored_state(spark, root, rows):
+    states = spark.createDataFrame(rows, "icao24 string, latitude double, longitude double, t string")
+    states = states.withColumn("event_ts", F.col("t").cast("timestamp")).drop("t")
+    StateTable(spark, root).apply(states, Origin("q", 0))
+
+
 def test_live_records_come_ordered_and_limited(spark, tmp_path):
-    state = SnapshotTable(spark, str(tmp_path / "state"))
-    rows = [(f"{i:03d}", 1.0, 1.0) for i in range(20)] + [("zzz", None, 1.0)]
-    state.write(spark.createDataFrame(rows, "icao24 string, latitude double, longitude double"), 0)
-    got = live_records(spark, str(tmp_path / "state"), now(), 5).collect()
+    root = str(tmp_path / "state")
+    stored_state(spark, root, [(f"{i:03d}", 1.0, 1.0, "2024-05-01 10:11:00") for i in range(20)] + [("zzz", None, 1.0, "2024-05-01 10:11:00")])
+    got = live_records(spark, root, now(), 5).collect()
     assert [r.icao24 for r in got] == ["000", "001", "002", "003", "004"]
     with pytest.raises(FileNotFoundError):
         live_records(spark, str(tmp_path / "none"), now())
 
 
-def test_live_records_can_expire_on_reading(spark, tmp_path):
-    state = SnapshotTable(spark, str(tmp_path / "state"))
-    times = spark.createDataFrame(
-        [("old", 1.0, 1.0, "2024-05-01 10:10:12"), ("new", 1.0, 1.0, "2024-05-01 10:10:13")],
-        "icao24 string, latitude double, longitude double, t string",
-    )
-    state.write(times.withColumn("event_ts", F.col("t").cast("timestamp")).drop("t"), 0)
-    assert [r.icao24 for r in live_records(spark, state.root, now(), ttl_seconds=60).collect()] == ["new"]
-    assert live_records(spark, state.root, now()).count() == 2
+def test_live_records_expire_on_reading(spark, tmp_path):
+    root = str(tmp_path / "state")
+    stored_state(spark, root, [("old", 1.0, 1.0, "2024-05-01 10:10:12"), ("new", 1.0, 1.0, "2024-05-01 10:10:13")])
+    assert [r.icao24 for r in live_records(spark, root, now()).collect()] == ["new"]
+    assert live_records(spark, root, now(), ttl_seconds=120).count() == 2
 
 
 def test_iso_of_as_of(spark):

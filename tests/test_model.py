@@ -188,7 +188,7 @@ def test_training_job(spark, tmp_path, monkeypatch):
         train_job.run(spark, flights, models, "v3", years, mode="auto")
     out, rejects = str(tmp_path / "scored"), str(tmp_path / "rejects")
     tables.states(spark, SF).write.parquet(str(tmp_path / "states"))
-    score_job.run(spark, found["model"], str(tmp_path / "states"), out, rejects)
+    score_job.run(spark, found["model"], spark.read.parquet(str(tmp_path / "states")), out, rejects)
     scored, refused = spark.read.parquet(out), spark.read.parquet(rejects)
     assert scored.count() + refused.count() == 1000 and refused.count() > 0
     assert refused.filter("carrier is not null").count() == 0
