@@ -16,6 +16,12 @@ def with_month_keys(flights: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def with_open_keys(flights: DataFrame, strict: bool = False) -> DataFrame:
+    """Add ``year`` and ``month``, NULL for rows without a readable date: those then share a partition of their own."""
+    day = flight_date(F.col("FL_DATE"), strict)
+    return flights.withColumns({"year": F.year(day), "month": F.month(day)})
+
+
 def undated(flights: DataFrame, strict: bool = False) -> DataFrame:
     """The rows ``with_month_keys`` leaves out."""
     return flights.filter(flight_date(F.col("FL_DATE"), strict).isNull())

@@ -327,6 +327,18 @@ DAY_OLD = "event_ts > now - INTERVAL 86400 SECOND"
 ORACLES: dict[str, str] = {
     "csv_roundtrip": f"""WITH {DIRTY}
         SELECT {CANONICAL}, {KEYS} FROM dirty_v WHERE FL_DATE <> 'not-a-date'""",
+    "csv_mixed_headers": f"""WITH {DIRTY}
+        SELECT FL_DATE, OP_CARRIER, ORIGIN, DEST, CRS_DEP_TIME, DEP_DELAY, ARR_DELAY, CANCELLED,
+          CASE WHEN l_orderkey % 3 <> 2 THEN DISTANCE END AS DISTANCE,
+          CASE WHEN l_orderkey % 3 <> 2 THEN CARRIER_DELAY END AS CARRIER_DELAY,
+          CASE WHEN l_orderkey % 3 <> 2 THEN WEATHER_DELAY END AS WEATHER_DELAY, {KEYS}
+        FROM dirty_v WHERE FL_DATE <> 'not-a-date'""",
+    "ingest_report": f"""WITH {FLIGHTS}
+        SELECT count(*) AS rows, count(*) FILTER (WHERE l_orderkey % 97 = 0) AS undated,
+          count(*) FILTER (WHERE l_orderkey % 97 = 0) AS rejects_kept,
+          count(*) FILTER (WHERE l_orderkey % 101 = 0) AS CRS_DEP_TIME, 0::BIGINT AS DEP_DELAY,
+          0::BIGINT AS ARR_DELAY, 0::BIGINT AS CANCELLED, 0::BIGINT AS DISTANCE,
+          0::BIGINT AS CARRIER_DELAY, 0::BIGINT AS WEATHER_DELAY FROM flights_v""",
     "csv_cast_failures": f"""WITH {FLIGHTS}
         SELECT count(*) FILTER (WHERE l_orderkey % 101 = 0) AS CRS_DEP_TIME, 0::BIGINT AS DEP_DELAY,
           0::BIGINT AS ARR_DELAY, 0::BIGINT AS CANCELLED, 0::BIGINT AS DISTANCE,

@@ -16,6 +16,7 @@ from delayengine.functions.risk import (
     minutes_from_probability,
     score_from_minutes,
 )
+from delayengine.jobs import ingest
 from delayengine.operators import (
     clean,
     enrich,
@@ -31,6 +32,7 @@ from delayengine.operators import (
 )
 from delayengine.plans import tables
 from delayengine.plans.dashboard import normalized_live
+from delayengine.schema import CSV_NAMES, REQUIRED_FLIGHT_COLUMNS
 from delayengine.session import new_folder, stage
 from delayengine.sinks.tables import write_airports, write_months
 from delayengine.sources import airports as airport_source
@@ -59,6 +61,32 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return flight_source.scan_months(spark, months)
 
 
+def _mixed_csv(spark: SparkSession, sf: str) -> str:
+    """Three folders of CSV files: all columns, the same from last to first, and without the optional ones."""
+    raw, texts = new_folder(spark, "csv"), tables.flight_texts(spark, sf, tables.ROW_ID)
+    names = [c for c in texts.columns if c not in tables.ROW_ID]
+    required = [CSV_NAMES[c] for c in REQUIRED_FLIGHT_COLUMNS]
+    for kind, columns in enumerate((names, names[::-1], required)):
+        part = texts.where(F.col("l_orderkey") % 3 == kind).select(*columns)
+        part.write.option("header", True).csv(f"{raw}/kind{kind}")
+    return raw
+
+
+def csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of differing headers -> typed, month-partitioned Parquet, rejects beside -> scan."""
+    months = new_folder(spark, "months")
+    ingest.run(spark, _mixed_csv(spark, sf), months, keep_rejects=True)
+    return flight_source.scan_months(spark, months)
+
+
+def ingest_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What an ingest counted while it wrote, and the rejects it kept."""
+    months = new_folder(spark, "months")
+    found = ingest.run(spark, _mixed_csv(spark, sf), months, keep_rejects=True)
+    kept = flight_source.scan_rejects(spark, months).agg(F.count(F.lit(1)).alias("rejects_kept"))
+    return kept.select(*[F.lit(n).cast("long").alias(name) for name, n in found.items()], "rejects_kept")
+
+
 def csv_cast_failures(spark: SparkSession, sf: str) -> DataFrame:
     return flight_source.cast_failures(tables.flight_texts(spark, sf))
 
@@ -634,7 +662,7 @@ def stream_scored_by_rule(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        csv_roundtrip, csv_cast_failures, year_dirs_scan, year_month_filter,
+        csv_roundtrip, csv_mixed_headers, ingest_report, csv_cast_failures, year_dirs_scan, year_month_filter,
         flights_partitioned, rejected_dates, clean_flights,
         hour_of_day, by_route, by_carrier, by_hour, stats_grouping_sets, route_features,
         quality_report, quality_summary, enriched_quality, live_quality,

@@ -81,7 +81,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flight_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_texts(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The same flights as the source's text columns, with flaws an ingest must survive.
 
     Some dates and departure times are no dates or numbers, some integers carry
@@ -98,7 +98,7 @@ def flight_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(departure)
     )
     named = [text.alias(CSV_NAMES[name]) for name, text in texts.items()]
-    return rows.select(*named, F.concat(F.lit("row "), order.cast("string")).alias("Remarks"))
+    return rows.select(*keep, *named, F.concat(F.lit("row "), order.cast("string")).alias("Remarks"))
 
 
 def states(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,41 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``header`` and ``files`` for each kind of first line below ``path``.
+
+    One pass over the text without parsing it: a header is the line, in a file's first block, that names all
+    required columns. A file without one is listed under a NULL header.
+    """
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path)
+    at = F.col("_metadata.file_path").alias("file")
+    bare = F.regexp_replace("value", r'^\x{FEFF}|["\r]', "")
+    cells = F.transform(F.split(bare, ","), F.trim)
+    needed = F.array(*[F.lit(CSV_NAMES[c]) for c in REQUIRED_FLIGHT_COLUMNS])
+    # cheap test first: most lines hold no column name
+    named = F.col("value").contains(CSV_NAMES[REQUIRED_FLIGHT_COLUMNS[0]]) & (F.size(F.array_except(needed, cells)) == 0)
+    found = text.select(at, F.when(named & (F.col("_metadata.file_block_start") == 0), F.concat_ws(",", cells)).alias("header"))
+    first = found.groupBy("file").agg(F.min("header").alias("header"))
+    return first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+
+
+def read_mixed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Every CSV below ``path`` as text, whatever columns each file has and in which order.
+
+    Files of one header are read together; the parts are put together by name, with NULL where a file lacks a column.
+    Files that don't name the required columns are an error.
+    """
+    kinds = csv_headers(spark, path).collect()  # a row for each kind of header; a reader needs the file names anyway
+    unreadable = [f for k in kinds if k.header is None for f in k.files]
+    if unreadable:
+        raise ValueError(f"required columns absent from the CSV header of {len(unreadable)} files: {unreadable[:5]}")
+    if not kinds:
+        raise FileNotFoundError(f"no CSV files below {path}")
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    parts = [reader.csv(k.files) for k in sorted(kinds, key=lambda k: k.header)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def _number(text: Column, kind: str) -> Column:
     # Through double: '12.00' is a valid integer text in these files; NaN is no value.
     value = text.try_cast("double")
@@ -50,8 +86,8 @@ def to_flights(raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
-def cast_failures(raw: DataFrame) -> DataFrame:
-    """One row: per numeric column, how many non-empty texts do not convert."""
+def failure_counts(raw: DataFrame) -> list[Column]:
+    """Per numeric column, how many non-empty texts do not convert: aggregates, or metrics to observe."""
     counts = []
     for name, kind in FLIGHT_TYPES.items():
         source = CSV_NAMES[name]
@@ -60,7 +96,12 @@ def cast_failures(raw: DataFrame) -> DataFrame:
         text = F.col(source)
         lost = (F.trim(text) != F.lit("")) & _number(text, kind).isNull()
         counts.append(F.count_if(lost).alias(name))
-    return raw.agg(*counts)
+    return counts
+
+
+def cast_failures(raw: DataFrame) -> DataFrame:
+    """One row of ``failure_counts``."""
+    return raw.agg(*failure_counts(raw))
 
 
 def scan_months(
@@ -72,7 +113,14 @@ def scan_months(
     """
     root = root.rstrip("/")
     flights = spark.read.option("basePath", root).parquet(f"{root}/year=*/month=*")
-    return in_month(flights, year, month)
+    return in_month(flights.filter(F.col("year").isNotNull()), year, month)
+
+
+def scan_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Rows without a readable date, which the ingest keeps in the partition without year and month."""
+    root = root.rstrip("/")
+    flights = spark.read.option("basePath", root).parquet(f"{root}/year=*/month=*")
+    return flights.filter(F.col("year").isNull()).drop("year", "month")
 
 
 def in_month(flights: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delayengine.plans import tables
 from delayengine.sinks.topics import publish_kafka
+from delayengine.sources.flights import scan_rejects
 from delayengine.streaming.folders import BatchTable
 from delayengine.streaming.history import History
 from delayengine.streaming.state import StateTable
@@ -34,8 +35,10 @@ def raw(spark, tmp_path):
 
 def test_all_jobs(spark, raw, monkeypatch, capsys):
     d = raw
-    run(monkeypatch, "ingest", "--input", d / "raw", "--output", d / "flights", "--rejects", d / "rej", "--count-failures")
-    assert spark.read.parquet(f"{d}/rej").count() > 0 and "CRS_DEP_TIME" in capsys.readouterr().out
+    run(monkeypatch, "ingest", "--input", d / "raw", "--output", d / "flights", "--keep-rejects")
+    said = capsys.readouterr().out
+    rejects = scan_rejects(spark, f"{d}/flights").count()
+    assert rejects > 0 and f"undated {rejects}" in said and "CRS_DEP_TIME" in said
     run(monkeypatch, "stats", "--input", d / "flights", "--output", d / "stats", "--year", 1997)
     assert spark.read.parquet(f"{d}/stats/by_hour").count() == 24 + 1  # and the unreadable times
     run(monkeypatch, "train", "--input", d / "flights", "--models", d / "models", "--years", "1996,1997", "--trees", 3, "--depth", 3, "--mode", "collapsed")
