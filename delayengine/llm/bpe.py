@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from delayengine.llm.scratch import holds
 from delayengine.llm.words import pieces
 
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -300,6 +301,16 @@ def _codec(digest: str, pattern: str, holder) -> Codec:
     return codec
 
 
+def _forget() -> None:
+    if _codec.cache_info().currsize:
+        _codec.cache_clear()
+        gc.unfreeze()
+        gc.collect()
+
+
+holds("byte_bpe", _forget)
+
+
 class _Raw:
     """A vocabulary file on its way to the cache; equal to every other, so the digest alone is the key."""
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from delayengine.llm.scratch import give_back
+from delayengine.llm.scratch import alone, give_back
 from delayengine.llm.words import pieces, runs
 
 SIZE = 300
@@ -144,6 +144,7 @@ def predict(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str =
     model = docs.sparkSession.sparkContext.broadcast((langs, table, places))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("language")
         langs, table, places = model.value
         for batch in batches:
             for piece in pieces(batch, text):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from delayengine.llm.packed import BLOCKS, blocks, pack, shard_of, unpack
-from delayengine.llm.scratch import give_back, mapped, put
+from delayengine.llm.scratch import alone, give_back, mapped, put
 from delayengine.llm.words import Texts, find, mix, mixed, pieces, runs, texts_of, words_of
 from delayengine.session import new_folder, stage
 
@@ -92,6 +92,7 @@ def _counter(words: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    alone("lines")
     counts = np.zeros(_COUNTERS, np.uint32)
     for batch in batches:
         for piece in pieces(batch):

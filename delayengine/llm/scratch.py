@@ -7,12 +7,14 @@ import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 
 _mapped: dict[tuple[str, str, str], np.ndarray] = {}
+_held: dict[str, Callable[[], None]] = {}
 MAX_MAPPED = 100_000
 
 
@@ -60,3 +62,17 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def holds(name: str, forget: Callable[[], None]) -> None:
+    """An operator keeps much in its workers between tasks; ``forget`` lets go of it."""
+    _held[name] = forget
+
+
+def alone(name: str) -> None:
+    """A task of this operator begins: what others left in the worker goes. Only caches are lost."""
+    others = [forget for held, forget in _held.items() if held != name]
+    for forget in others:
+        forget()
+    if others:
+        give_back()

@@ -157,3 +157,16 @@ def test_units_forgotten_are_encoded_anew(monkeypatch):
     encode, own = reference(), w._Encoder(PATH)
     for text in ("one two three four five", "six one two", "seven one"):
         assert own.encode(texts_of(pa.array([text])))[0].tolist() == encode(text)
+
+
+def test_workers_let_go_of_what_other_operators_held():
+    from delayengine.llm import scratch
+
+    gone = []
+    scratch.holds("one", lambda: gone.append("one"))
+    scratch.holds("two", lambda: gone.append("two"))
+    try:
+        scratch.alone("one")
+        assert "two" in gone and "one" not in gone
+    finally:
+        del scratch._held["one"], scratch._held["two"]
