@@ -5,8 +5,8 @@ match; running sums of their lengths are the spans, in code points. Only texts w
 
 Entropy. Candidates are runs of 20 and more key characters with digits and letters that no span of a pattern covers; of
 a run that one covers in part, the rest. A window of 20 characters slides over
-each; per class (hex digits of either case, base-64 characters) the counts of the window are kept, and a step changes
-the sum of c log2 c by the character that comes and the one that goes. Where the class's entropy reaches
+each; per class (hex digits of either case, base-64 characters) a step changes the sum of c log2 c by the counts of the
+character that comes and of the one that goes. Its cost is in proportion to the characters of candidates. Where the class's entropy reaches
 its limit, the candidate is a span of kind ``entropy``, unless it is on the allow-list (UUIDs, plain words and
 numbers, paths, runs such as the alphabet).
 
@@ -28,6 +28,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
+BLOCK = 256  # matches that are folded together
+_MATCH = "struct<start:int,size:int,inner:int,found:string>"
 _CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 _ALLOWED = (
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[A-Za-z_=/+-]+$|^[0-9_=/+-]+$"
@@ -35,24 +37,47 @@ _ALLOWED = (
 )
 
 
+def _appended(parts: Column, kind: str, start: Column, item) -> Column:
+    """Array of ``item(at, part)`` for parts that take ``at`` further by gap and size: a fold that appends."""
+    empty = F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    add = lambda acc, x: F.struct(
+        (acc["at"] + x["gap"] + x["size"]).alias("at"),
+        F.when(x["size"] > 0, F.concat(acc["out"], F.array(item(acc["at"] + x["gap"], x)))).otherwise(acc["out"]).alias("out"),
+    )
+    return F.aggregate(parts, empty, add, lambda acc: acc["out"])
+
+
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, size, inner): all matches from the left, none overlapping, and the size of a group in them."""
+    """Array of (start, size, inner, found): all matches from the left, none overlapping, and the size of a group in them.
+
+    Places are running sums, which a fold can only append one by one; so that this costs no square of the number
+    of matches, blocks of them are summed first and then folded each from its own start.
+    """
     # what is left of the text matches too, with an empty second group, so that nothing is scanned twice
     around = f"(?s)(.*?)(?:({pattern})|\\z)"
     gaps, found = F.regexp_extract_all(text, F.lit(around), F.lit(1)), F.regexp_extract_all(text, F.lit(around), F.lit(2))
     inner = F.regexp_extract_all(text, F.lit(around), F.lit(2 + group)) if group else found
     parts = F.arrays_zip(
-        F.transform(gaps, F.length).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(inner, F.length).alias("inner")
-    )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,size:int,inner:int>>").alias("out"))
-    add = lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + x["size"]).alias("at"),
-        F.when(
-            x["size"] > 0,
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), x["size"].alias("size"), x["inner"].alias("inner")))),
-        ).otherwise(acc["out"]).alias("out"),
+        F.transform(gaps, F.length).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(inner, F.length).alias("inner"), found.alias("found")
     )
-    return F.aggregate(parts, empty, add, lambda acc: acc["out"])
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), lambda b: F.slice(parts, b * BLOCK + 1, BLOCK))
+    return _bound(blocks, _placed)
+
+
+def _placed(blocks: Column) -> Column:
+    total = lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x["gap"] + x["size"])
+    sums = F.transform(blocks, lambda block: F.struct(F.lit(0).alias("gap"), total(block).alias("size")))
+    # every block has a character, but for one that is only the empty end
+    starts = _appended(sums, "int", F.lit(0), lambda at, x: at)
+    item = lambda at, x: F.struct(at.alias("start"), x["size"].alias("size"), x["inner"].alias("inner"), x["found"].alias("found"))
+    zipped = F.arrays_zip(blocks.alias("block"), starts.alias("start"))
+    full = F.filter(zipped, lambda z: z["start"].isNotNull())
+    return F.flatten(F.transform(full, lambda z: _appended(z["block"], _MATCH, z["start"], item)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: an expression named in a fold would be computed at each step."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _spans(text: Column, kind: str, order: int, pattern: str, least: int, group: int = 0) -> Column:
@@ -69,27 +94,34 @@ def _weight(c: Column) -> Column:
 
 
 def window_entropy(text: Column, letters: str, window: int = WINDOW) -> Column:
-    """The highest Shannon entropy, in bits, of the class's characters in any window that holds only such characters; else 0."""
+    """The highest Shannon entropy, in bits, of the class's characters in any window that holds only such characters; else 0.
+
+    One step for each character: how often the one that comes and the one that goes are in the window tells how the sum of c log2 c changes.
+    """
     places = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(letters), c) - 1)  # -1: of another class
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(letters)).alias("counts"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"),
-    )
+    return _bound(places, lambda p: _best_window(p, window))
+
+
+def _best_window(places: Column, window: int) -> Column:
+    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
 
     def step(acc: Column, i: Column) -> Column:
         new = F.element_at(places, i)
         old = F.when(i > window, F.element_at(places, F.greatest(i - window, F.lit(1)))).otherwise(-1)
-        count = lambda p: F.when(p >= 0, F.element_at(acc["counts"], F.greatest(p, F.lit(0)) + 1)).otherwise(0)
-        moved = new != old
-        c_in, c_out = count(new), count(old)
-        total = acc["sum"] + F.when(
-            moved, F.when(new >= 0, _weight(c_in + 1) - _weight(c_in)).otherwise(0.0) + F.when(old >= 0, _weight(c_out - 1) - _weight(c_out)).otherwise(0.0)
-        ).otherwise(0.0)
+        held = F.slice(places, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
+        count = lambda which: F.size(F.filter(held, lambda c: c == which))
+        come = lambda: _bound(count(new), lambda c: _weight(c + 1) - _weight(c))
+        go = lambda: _bound(count(old), lambda c: _weight(c - 1) - _weight(c))
+        change = F.when(new >= 0, come()).otherwise(0.0) + F.when(old >= 0, go()).otherwise(0.0)
+        total = acc["sum"] + F.when(new != old, change).otherwise(0.0)
         n = acc["n"] + (new >= 0).cast("int") - (old >= 0).cast("int")
-        counts = F.when(moved, F.transform(acc["counts"], lambda c, p: c + (p == new).cast("int") - (p == old).cast("int"))).otherwise(acc["counts"])
-        entropy = F.when(n == window, F.log2(F.lit(float(window))) - total / window).otherwise(0.0)
-        return F.struct(counts.alias("counts"), n.alias("n"), total.alias("sum"), F.greatest(acc["best"], entropy).alias("best"))
+        moved = F.struct(n.alias("n"), total.alias("sum"))
+        return _bound(moved, lambda m: F.struct(
+            m["n"].alias("n"), m["sum"].alias("sum"),
+            F.greatest(acc["best"], F.when(m["n"] == window, F.log2(F.lit(float(window))) - m["sum"] / window).otherwise(0.0)).alias("best"),
+        ))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), start, step, lambda acc: acc["best"])
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(places), F.lit(1))), start, step, lambda acc: acc["best"])
 
 
 def _classes() -> dict[str, str]:
@@ -105,13 +137,18 @@ def _suspicious(text: Column) -> Column:
 
 
 def _uncovered(run: Column, base: Column) -> Column:
-    """Array of (start, size): the parts of a run that no span covers, as long as a window."""
+    """Array of (start, size, found): the parts of a run that no span covers, as long as a window."""
     end = run["start"] + run["size"]
-    first = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:int,size:int>>").alias("out"))
+    kind = "array<struct<start:int,size:int>>"
+    first = F.struct(run["start"].alias("at"), F.array().cast(kind).alias("out"))
     part = lambda acc, to: F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), (to - acc["at"]).alias("size"))))
     add = lambda acc, b: F.struct(F.greatest(acc["at"], b["end"]).alias("at"), part(acc, b["start"]).alias("out"))
     overlapping = F.filter(base, lambda b: (b["start"] < end) & (run["start"] < b["end"]))
-    return F.filter(F.aggregate(overlapping, first, add, lambda acc: part(acc, end)), lambda p: p["size"] >= WINDOW)
+    free = F.filter(F.aggregate(overlapping, first, add, lambda acc: part(acc, end)), lambda p: p["size"] >= WINDOW)
+    # from the run, not from the text: a place in a text is found by counting from its beginning
+    return F.transform(free, lambda p: F.struct(
+        p["start"].alias("start"), p["size"].alias("size"), F.substring(run["found"], p["start"] - run["start"] + 1, p["size"]).alias("found")
+    ))
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -121,13 +158,12 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         _spans(whole, "assign", 0, ASSIGN, LEAST["assign"], 1), _spans(whole, "access", 1, ACCESS, LEAST["access"]),
         _spans(whole, "hex", 2, HEX, LEAST["hex"]),
     ))
-    none = F.array().cast("array<struct<start:int,size:int,inner:int>>")
+    none = F.array().cast(f"array<{_MATCH}>")
     runs = F.when(whole.rlike(_CANDIDATE), _matches(whole, _CANDIDATE)).otherwise(none)
     out = docs.withColumns({"base": base, "__runs": runs})
-    piece = lambda m: F.substring(whole, m["start"] + 1, m["size"])
     loose = F.flatten(F.transform("__runs", lambda m: _uncovered(m, F.col("base"))))
     extra = F.transform(
-        F.filter(loose, lambda m: _suspicious(piece(m))),
+        F.filter(loose, lambda m: _suspicious(m["found"])),
         lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("order"), F.lit("entropy").alias("kind"), (m["start"] + m["size"]).alias("end")),
     )
     return out.withColumn("spans", F.array_sort(F.concat("base", extra))).drop("__runs")

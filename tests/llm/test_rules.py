@@ -286,6 +286,26 @@ def test_window_entropy(spark):
         assert abs(r.e - plain(r.t)) < 1e-9
 
 
+def test_secrets_cost_follows_the_text(spark):
+    """A blob of 100 KB and 10,000 candidates in one text: a cost by the square of either would take hours."""
+    import random
+    import time
+
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    pick = random.Random(1)
+    blob = "".join(pick.choices(letters, k=100_000))
+    words = ["".join(pick.choices(letters, k=24)) for _ in range(10_000)]
+    keys = [f"{i:024x}" for i in range(1, 3000)]
+    table = spark.createDataFrame([(1, blob), (2, " ".join(words)), (3, " ".join(keys))], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in secrets.scan_corpus(table).collect()}
+    assert time.time() - start < 120
+    assert got[1].spans == "entropy:0:100000"
+    spans = [tuple(map(int, x.split(":")[1:])) for x in got[2].spans.split(",") if x.startswith("entropy")]
+    assert len(spans) > 9000 and all(a % 25 == 0 and b == a + 24 for a, b in spans)
+    assert got[3].n_hex == 2999 and got[3].spans.startswith("hex:0:24,hex:25:49,") and got[3].spans.endswith("hex:74950:74974")
+
+
 def test_secrets_of_odd_rows(odd, nothing):
     got = secrets.scan_corpus(odd).collect()
     assert len(got) == odd.count() and {r.spans for r in got} == {""}
