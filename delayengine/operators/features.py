@@ -118,19 +118,20 @@ def state_features(
 ) -> DataFrame:
     """Add the four model features to live states.
 
-    The time is the first readable of ``times`` (epoch seconds or ISO text), else
-    ``as_of``. Hours are UTC; ``timezone`` names a column with a zone to use instead.
+    The time is the first of ``times`` that is there (epoch seconds other than 0, or ISO text other
+    than an empty one); where that can't be read, or none is there, it is ``as_of``. Hours are UTC; ``timezone`` names a column with a zone to use instead.
     """
-    clocks = []
-    for name in times:
-        if name not in states.columns:
-            continue
+    now = as_of.cast("timestamp_ntz")
+    moment = now
+    for name in reversed([t for t in times if t in states.columns]):
         kind = states.schema[name].dataType.simpleString()
         value = F.col(name)
-        if kind not in ("string", "timestamp", "timestamp_ntz"):
-            value = F.nullif(value, F.lit(0).cast(kind))
-        clocks.append(utc_clock(value, kind))
-    moment = F.coalesce(*clocks, as_of.cast("timestamp_ntz"))
+        given = value.isNotNull()
+        if kind == "string":
+            given = given & (value != F.lit(""))
+        elif kind not in ("timestamp", "timestamp_ntz"):
+            given = given & (value != F.lit(0).cast(kind))
+        moment = F.when(given, F.coalesce(utc_clock(value, kind), now)).otherwise(moment)
     if timezone:
         zoned = F.from_utc_timestamp(moment.cast("timestamp"), F.col(timezone))
         moment = F.coalesce(zoned.cast("timestamp_ntz"), moment)

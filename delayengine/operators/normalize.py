@@ -135,13 +135,18 @@ def _plain(records: DataFrame, name: str, kind: str, default: Column) -> Column:
     return F.col(name).cast(kind) if name in records.columns else default.cast(kind)
 
 
+def _first_there(records: DataFrame, aliases: tuple[str, ...]) -> tuple[str, ...]:
+    """The first spelling that the record set has, whatever its values: a later one stands in for an absent key only."""
+    return tuple(a for a in aliases if a in records.columns)[:1]
+
+
 def api_records(records: DataFrame, as_of: Column) -> DataFrame:
     """The 17-column service layout; records without a position are left out."""
     origin = pick(records, ORIGIN, "string", F.lit("UNK"))
     callsign = F.trim(pick(records, CALLSIGN, "string", F.lit("UNKNOWN")))
     named = records.select(
-        pick(records, API_LAT, "double").alias("lat"),
-        pick(records, API_LON, "double").alias("lon"),
+        pick(records, _first_there(records, API_LAT), "double").alias("lat"),
+        pick(records, _first_there(records, API_LON), "double").alias("lon"),
         callsign.alias("callsign"),
         F.coalesce(pick(records, FLIGHT_ID[:2], "string"), callsign).alias("flight_id"),
         _plain(records, "icao24", "string", F.lit("")).alias("icao24"),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,7 +90,7 @@ def _flight_rules(as_of: Column) -> list[Check]:
     ]
 
 
-def _report(table: DataFrame, rules: list[Check], fixed: list[Column]) -> DataFrame:
+def _report(table: DataFrame, rules: list[Check], fixed: list[tuple], rows: Column | None = None) -> DataFrame:
     def line(name: str, expected: str, passed: Column, observed: Column) -> Column:
         passed = F.coalesce(passed, F.lit(False))
         return F.struct(
@@ -109,23 +109,49 @@ def _report(table: DataFrame, rules: list[Check], fixed: list[Column]) -> DataFr
     lines += [line(r.name, r.expected, r.passed(), r.observed()) for r in live]
     lines += [line(r.name, r.expected, F.lit(False), F.lit("column missing")) for r in gone]
     aggregates = [column.alias(name) for r in live for name, column in r.aggregates.items()]
-    one_row = table.agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+    one_row = table.agg((F.count(F.lit(1)) if rows is None else rows).alias("rows"), *aggregates)
     return one_row.select(F.inline(F.array(*lines)))
 
 
-def flight_report(flights: DataFrame, as_of: Column) -> DataFrame:
-    """Columns ``check, passed, observed, message`` for a flights table.
-
-    An all-NULL delay or date column fails its check. ``as_of`` is today's date.
-    """
-    missing = [c for c in FLIGHT_TYPES if c not in flights.columns]
-    columns = (
+def _columns_line(columns: Sequence[str]) -> tuple[str, str, Column, Column]:
+    missing = [c for c in FLIGHT_TYPES if c not in columns]
+    return (
         "required_columns",
         f"{len(FLIGHT_TYPES)} flight columns present",
         F.lit(not missing),
         F.lit("missing=" + (",".join(missing) or "none")),
     )
-    return _report(flights, _flight_rules(as_of), [columns])
+
+
+def flight_report(flights: DataFrame, as_of: Column) -> DataFrame:
+    """Columns ``check, passed, observed, message`` for a flights table.
+
+    An all-NULL delay or date column fails its check. ``as_of`` is today's date.
+    """
+    return _report(flights, _flight_rules(as_of), [_columns_line(flights.columns)])
+
+
+def _merged(name: str) -> Column:
+    """How partial aggregates of a table's parts combine, by the ending of their names."""
+    if name == "rows" or name.endswith("_bad"):
+        return F.sum(name)
+    return F.min(name) if name.endswith("_min") else F.max(name)
+
+
+def flight_partials(flights: DataFrame, as_of: Column, by: tuple[str, ...] = ("year", "month")) -> DataFrame:
+    """One row for each month with the aggregates that all checks of ``flight_report`` need."""
+    rules = [r for r in _flight_rules(as_of) if r.column in flights.columns]
+    aggregates = [c.alias(name) for r in rules for name, c in r.aggregates.items()]
+    return flights.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+
+
+def report_of_partials(partials: DataFrame, columns: Sequence[str], as_of: Column) -> DataFrame:
+    """``flight_report`` of a table with these columns, from the partial rows of its months."""
+    rules = [r for r in _flight_rules(as_of) if r.column in columns]
+    names = ["rows", *(name for r in rules for name in r.aggregates)]
+    merged = [replace(r, aggregates={n: _merged(n) for n in r.aggregates}) for r in _flight_rules(as_of)]
+    blank = [F.lit(None).alias(c) for c in columns if c not in partials.columns]
+    return _report(partials.select(*names, *blank, *[c for c in ("year", "month") if c in columns]), merged, [_columns_line(columns)], F.sum("rows"))
 
 
 def enriched_report(documents: DataFrame) -> DataFrame:
@@ -135,7 +161,7 @@ def enriched_report(documents: DataFrame) -> DataFrame:
 
 
 def live_report(messages: DataFrame) -> DataFrame:
-    """The live table holds entries and all of them are valid JSON (column ``value``)."""
+    """The live table holds entries, all of them valid JSON (column ``value``) and, where it has a ``key``, all under one."""
     invalid = F.try_parse_json(F.col("value")).isNull()
     rules = [
         _no_violations("live_json_valid", "values are JSON", "value", invalid),
@@ -145,6 +171,9 @@ def live_report(messages: DataFrame) -> DataFrame:
             lambda: F.concat(F.lit("rows="), _text(F.col("rows"))),
         ),
     ]
+    if "key" in messages.columns:
+        blank = F.coalesce(F.col("key"), F.lit("")) == F.lit("")
+        rules.append(_no_violations("live_keys", "entries have a key", "key", blank))
     return _report(messages, rules, [])
 
 

@@ -111,7 +111,8 @@ def _trip(source: str) -> str:
     return f"""
 live_v AS (
   SELECT * EXCLUDE u,
-    CASE WHEN u % 13 = 12 THEN 'ZZZ' ELSE ([{hubs}])[u % 10 + 1] END AS origin,
+    CASE WHEN u % 13 = 12 THEN 'ZZZ' WHEN u % 4 = 0 THEN ([{hubs}])[1] WHEN u % 5 = 1 THEN ([{hubs}])[2]
+      ELSE ([{hubs}])[u % 10 + 1] END AS origin,
     ([{hubs}])[(u * 3 + 4) % 10 + 1] AS dest,
     CASE WHEN event_id % 7 <> 6 THEN (event_id % 90) / 2.0 END AS predicted_delay_minutes
   FROM (SELECT *, CAST('0x' || icao24 AS BIGINT) AS u FROM {source})
@@ -346,6 +347,8 @@ ORACLES: dict[str, str] = {
     "year_dirs_scan": f"""WITH {FLIGHTS}, k AS (SELECT {KEYS} FROM flights_v)
         SELECT year, month, count(*) AS flights FROM k
         WHERE year BETWEEN 1995 AND 2001 GROUP BY ALL""",
+    "some_year_dirs": f"""WITH {FLIGHTS}, k AS (SELECT {KEYS} FROM flights_v)
+        SELECT year, month, count(*) AS flights FROM k WHERE year IN (1996, 1999) GROUP BY ALL""",
     "year_month_filter": f"""WITH {FLIGHTS}, k AS (SELECT *, {KEYS} FROM flights_v)
         SELECT * FROM k WHERE year = 1997 AND month = 6""",
     "flights_partitioned": f"WITH {FLIGHTS} SELECT *, {KEYS} FROM flights_v",
@@ -370,11 +373,24 @@ ORACLES: dict[str, str] = {
     "quality_report": QUALITY,
     "quality_summary": f"""SELECT count(*) FILTER (WHERE passed) AS passed, count(*) AS total
         FROM ({QUALITY})""",
+    "quality_after_rewrite": QUALITY.replace("k AS (SELECT *,", """k AS (SELECT * REPLACE (
+          CASE WHEN FL_DATE LIKE '1997-06-%' THEN -DISTANCE ELSE DISTANCE END AS DISTANCE,
+          CAST(CASE WHEN FL_DATE LIKE '1997-06-%' THEN DEP_DELAY + 700 ELSE DEP_DELAY END AS FLOAT) AS DEP_DELAY),""", 1),
+    "enriched_quality_raw": f"""WITH a AS (SELECT count(*) FILTER (WHERE event_id % 41 = 0 OR event_id % 43 = 0) AS icao24_present FROM events)
+        {_bad("icao24_present", "icao24 not NULL")}""",
+    "live_quality_raw": f"""WITH a AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 41 = 0) AS live_json_valid,
+          count(*) FILTER (WHERE event_id % 43 = 0) AS live_keys FROM events)
+        {_bad("live_json_valid", "values are JSON")}
+        UNION ALL {_check("live_entries", "at least one entry", "(n > 0)", "('rows=' || n)")}
+        UNION ALL {_bad("live_keys", "entries have a key")}""",
+    "message_rejects": """SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'no aircraft' END AS reason,
+        count(*) AS messages FROM events GROUP BY ALL""",
     "enriched_quality": f"""WITH e AS ({ENRICHED}), a AS (
         SELECT count(*) FILTER (WHERE icao24 IS NULL) AS icao24_present FROM e)
         {_bad("icao24_present", "icao24 not NULL")}""",
-    "live_quality": f"""WITH {LATEST}, a AS (SELECT count(*) AS n, 0 AS live_json_valid FROM latest_v)
+    "live_quality": f"""WITH {LATEST}, a AS (SELECT count(*) AS n, 0 AS live_json_valid, 0 AS live_keys FROM latest_v)
         {_bad("live_json_valid", "values are JSON")}
+        UNION ALL {_bad("live_keys", "entries have a key")}
         UNION ALL {_check("live_entries", "at least one entry", "(n > 0)", "('rows=' || n)")}""",
     "temporal_features": f"""WITH {FLIGHTS} SELECT l_orderkey, l_linenumber,
         CAST(CRS_DEP_TIME // 100 % 24 AS INTEGER) AS hour_of_day,
@@ -450,6 +466,10 @@ ORACLES: dict[str, str] = {
         CAST(dayofweek(event_ts) + 1 AS INTEGER) AS day_of_week,
         CAST(month(event_ts) AS INTEGER) AS month
         FROM states_v LEFT JOIN {IATA} ON icao = left(callsign, 3)""",
+    "state_features_text": f"""WITH {STATES}, t AS (SELECT event_id, callsign, CASE
+          WHEN event_id % 5 = 0 THEN now WHEN event_id % 5 = 2 THEN event_ts
+          WHEN event_id % 3 = 1 THEN event_ts - INTERVAL 7 HOUR ELSE now END AS event_ts FROM states_v, now_v)
+        SELECT event_id, iata AS carrier, {CLOCK} FROM t LEFT JOIN {IATA} ON icao = left(callsign, 3)""",
     "states_json_parsed": f"WITH {STATES} SELECT * EXCLUDE event_id FROM states_v",
     "state_vectors": _vectors(),
     "state_topic_json": f"""WITH {STATES} SELECT icao24 AS key, '{{"icao24":"' || icao24
@@ -460,6 +480,16 @@ ORACLES: dict[str, str] = {
         || '","time_position":' || time_position || '}}' AS value FROM states_v""",
     "normalized_flights": f"{ALL_FLIGHTS_LIVE} SELECT * FROM normalized_v",
     "api_live_records": f"{ALL_RECORDS} SELECT * FROM api_v",
+    "api_spellings": f"""WITH {STATES},{_trip("states_v")}, r AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN callsign ELSE callsign END AS cs,
+          CASE event_id % 4 WHEN 0 THEN origin WHEN 1 THEN 'BBB' WHEN 2 THEN 'NNN' ELSE 'EEE' END AS o,
+          CASE WHEN event_id % 6 <> 0 AND event_id % 7 <> 0 THEN event_id % 7 * 1000.0 END AS al FROM live_v)
+        SELECT icao24 AS flight_id, icao24, cs AS callsign, left(cs, 3) AS carrier, o AS origin,
+          CASE WHEN event_id % 5 = 0 THEN dest ELSE 'AAA' END AS dest, o AS nearest_airport,
+          CAST(latitude AS DOUBLE) AS lat, CAST(longitude AS DOUBLE) AS lon,
+          CAST(coalesce(al, nullif(baro_altitude, 0), nullif(geo_altitude, 0), 0) AS DOUBLE) AS altitude, 0::DOUBLE AS velocity,
+          CAST(true_track AS DOUBLE) AS heading, false AS on_ground, CAST(1200 AS INTEGER) AS crs_dep_time, CAST(500 AS DOUBLE) AS distance,
+          CAST(month(now) AS INTEGER) AS month, CASE WHEN event_id % 2 = 0 THEN polled_at ELSE 'seen' END AS timestamp
+        FROM r, now_v WHERE latitude IS NOT NULL AND event_id % 3 <> 0""",
     "risk_from_delay": f"""WITH {STATES},{_trip('states_v')} SELECT event_id,
         {_label("predicted_delay_minutes")} AS risk_label,
         CASE WHEN predicted_delay_minutes IS NOT NULL THEN
@@ -493,7 +523,7 @@ ORACLES: dict[str, str] = {
     "congestion_risk": f"""{CURRENT},{HUB_SCORES} SELECT *,
         CASE WHEN score < 50 THEN 'green' WHEN score < 75 THEN 'orange' ELSE 'red' END AS band
         FROM scores_v ORDER BY score DESC, hub""",
-    "congestion_chart": f"""{ALL_FLIGHTS_LIVE},{HUB_SCORES} SELECT hub, score,
+    "congestion_chart": f"""{CURRENT},{HUB_SCORES} SELECT hub, score,
         CASE WHEN score < 50 THEN 'green' WHEN score < 75 THEN 'orange' ELSE 'red' END AS band
         FROM scores_v ORDER BY score, hub""",
     "api_density": f"""{CURRENT_RECORDS} SELECT nearest_airport AS region, count(*) AS count,
@@ -541,7 +571,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 1, * FROM arrivals_v)
         SELECT s.v AS reference_version, n.code AS origin_airport_icao_code, n.name AS origin_airport_name, count(*) AS states
         FROM stored_v s LEFT JOIN named_v n ON n.v = s.v AND n.country = s.origin_country
-        WHERE event_ts::DATE = (SELECT (min(ts) + (max(ts) - min(ts)) / 2)::DATE FROM events) GROUP BY ALL""",
+        WHERE event_ts::DATE = (SELECT (min(ts) + (max(ts) - min(ts)) / 3)::DATE FROM events) GROUP BY ALL""",
     "stream_density": f"""WITH {STATES},{_arriving("states_v")}
         SELECT date_trunc('minute', event_ts) AS timestamp, origin_country AS region, count(*) AS count,
           count(*) FILTER (WHERE on_ground) AS ground_delay_count, 0::BIGINT AS late

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayengine.functions.clock import scheduled_hour
+from delayengine.functions.clock import iso_utc, scheduled_hour
 from delayengine.functions.risk import (
     congestion_band,
     label_from_minutes,
@@ -34,6 +34,7 @@ from delayengine.plans import tables
 from delayengine.plans.dashboard import normalized_live
 from delayengine.schema import CSV_NAMES, REQUIRED_FLIGHT_COLUMNS
 from delayengine.session import new_folder, stage
+from delayengine.sinks.partials import refresh_partials
 from delayengine.sinks.tables import write_airports, write_months
 from delayengine.sources import airports as airport_source
 from delayengine.sources import flights as flight_source
@@ -102,6 +103,12 @@ def year_dirs_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan.groupBy("year", "month").agg(F.count(F.lit(1)).alias("flights"))
 
 
+def some_year_dirs(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the directories of the named years are listed."""
+    scan = flight_source.scan_years(spark, _month_table(spark, sf), (1996, 1999))
+    return scan.groupBy("year", "month").agg(F.count(F.lit(1)).alias("flights"))
+
+
 def year_month_filter(spark: SparkSession, sf: str) -> DataFrame:
     return flight_source.scan_months(spark, _month_table(spark, sf), year=1997, month=6)
 
@@ -177,6 +184,20 @@ def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     return quality.roll_up(quality_report(spark, sf))
 
 
+def quality_after_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """The report from figures kept by month, after one month was written anew with worse rows."""
+    path = _month_table(spark, sf)
+    store = SnapshotTable(spark, new_folder(spark, "partials"))
+    refresh_partials(spark, path, store, _today())
+    month = flight_source.scan_months(spark, path, 1997, 6)
+    worse = month.withColumns({"DISTANCE": -F.col("DISTANCE"), "DEP_DELAY": F.col("DEP_DELAY") + F.lit(700).cast("float")})
+    write_months(stage(worse, "worse"), path)
+    again = refresh_partials(spark, path, store, _today())
+    if again != [(1997, 6)]:
+        raise AssertionError(f"months read again: {again}")
+    return quality.report_of_partials(store.read(), flight_source.scan_months(spark, path).columns, _today())
+
+
 def enriched_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.enriched_report(state_enriched(spark, sf))
 
@@ -185,6 +206,21 @@ def live_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.live_report(messages.to_messages(latest_state(spark, sf)))
 
 
+def enriched_quality_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over all messages, unusable ones too: this one fails."""
+    parsed = messages.parse_states(tables.raw_messages(spark, sf).select("value"))
+    return quality.enriched_report(enrich.with_airport(messages.flat_states(parsed), _reference(spark, sf)))
+
+
+def live_quality_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.live_report(tables.raw_messages(spark, sf).select("key", "value"))
+
+
+def message_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = messages.parse_states(tables.raw_messages(spark, sf))
+    return parsed.groupBy(messages.reject_reason(parsed).alias("reason")).agg(F.count(F.lit(1)).alias("messages"))
+
+
 # --- Batch: features and model -------------------------------------------------------
 
 
@@ -394,6 +430,18 @@ def state_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def state_features_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Times as text: some unreadable (then it is now), some empty (then the next one counts)."""
+    states, event = tables.states(spark, sf), F.col("event_id")
+    texts = states.withColumns({
+        "time_position": F.when(event % 5 == 0, F.lit("soon")).when(event % 5 == 1, F.lit("")).when(event % 5 == 2, F.col("polled_at")),
+        "timestamp": F.when(event % 3 == 0, F.lit("later")).when(event % 3 == 1, iso_utc(F.col("event_ts") - F.make_dt_interval(hours=F.lit(7)))),
+    })
+    return features.state_features(texts, tables.newest(spark, sf)).select(
+        "event_id", "carrier", "hour_of_day", "day_of_week", "month"
+    )
+
+
 def states_json_parsed(spark: SparkSession, sf: str) -> DataFrame:
     raw = messages.to_messages(tables.states(spark, sf)).select("value")
     return messages.flat_states(messages.parse_states(raw)).withColumn(
@@ -447,8 +495,8 @@ def _normalized(spark: SparkSession, sf: str) -> DataFrame:
     return normalized_live(tables.live(spark, sf), tables.newest(spark, sf))
 
 
-def _current(spark: SparkSession, sf: str) -> DataFrame:
-    return normalized_live(_latest_live(spark, sf), tables.newest(spark, sf))
+def _current(spark: SparkSession, sf: str, now: Column | None = None) -> DataFrame:
+    return normalized_live(_latest_live(spark, sf), tables.newest(spark, sf) if now is None else now)
 
 
 def normalized_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,6 +507,23 @@ def api_live_records(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.api_records(tables.live(spark, sf), tables.newest(spark, sf))
 
 
+def api_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Service records whose fields come in several spellings, empty and zero values among them."""
+    live, event = tables.live(spark, sf), F.col("event_id")
+    records = live.select(
+        "event_id", "icao24", F.when(event % 3 != 0, F.col("latitude")).alias("latitude"), F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"), F.when(event % 2 == 0, F.lit("")).otherwise(F.col("callsign")).alias("callsign"),
+        F.col("callsign").alias("call_sign"), F.when(event % 4 == 0, F.col("origin")).alias("origin"),
+        F.when(event % 4 == 1, F.lit("BBB")).otherwise(F.lit("")).alias("airport"),
+        F.when(event % 4 == 2, F.lit("NNN")).alias("nearest_airport"), F.lit("EEE").alias("estDepartureAirport"),
+        F.when(event % 5 == 0, F.col("dest")).alias("destination"), F.lit("AAA").alias("estArrivalAirport"),
+        F.when(event % 6 == 0, F.lit(0.0)).otherwise(event % 7 * 1000.0).alias("altitude"), "baro_altitude", "geo_altitude",
+        F.lit(0.0).alias("heading"), "true_track",
+        F.when(event % 2 == 0, F.col("polled_at")).otherwise(F.lit("")).alias("timestamp"), F.lit("seen").alias("last_seen"),
+    )
+    return normalize.api_records(records, tables.newest(spark, sf))
+
+
 def risk_from_delay(spark: SparkSession, sf: str) -> DataFrame:
     minutes = F.col("predicted_delay_minutes")
     return tables.live(spark, sf).select(
@@ -491,7 +556,8 @@ def map_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def density(spark: SparkSession, sf: str) -> DataFrame:
-    return summary.density(_current(spark, sf), tables.newest(spark, sf))
+    now = tables.newest(spark, sf)
+    return summary.density(_current(spark, sf, now), now)
 
 
 def congestion_risk(spark: SparkSession, sf: str) -> DataFrame:
@@ -500,19 +566,17 @@ def congestion_risk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def congestion_chart(spark: SparkSession, sf: str) -> DataFrame:
-    return views.congestion_bars(summary.congestion(_normalized(spark, sf)))
-
-
-def _service_records(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.api_records(_latest_live(spark, sf), tables.newest(spark, sf))
+    return views.congestion_bars(summary.congestion(_current(spark, sf)))
 
 
 def api_density(spark: SparkSession, sf: str) -> DataFrame:
-    return summary.service_density(_service_records(spark, sf), tables.newest(spark, sf))
+    now = tables.newest(spark, sf)
+    return summary.service_density(normalize.api_records(_latest_live(spark, sf), now), now)
 
 
 def congestion_load(spark: SparkSession, sf: str) -> DataFrame:
-    return summary.congestion(_service_records(spark, sf), model="load")
+    records = normalize.api_records(_latest_live(spark, sf), tables.newest(spark, sf))
+    return summary.congestion(records, model="load")
 
 
 def kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -662,18 +726,20 @@ def stream_scored_by_rule(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        csv_roundtrip, csv_mixed_headers, ingest_report, csv_cast_failures, year_dirs_scan, year_month_filter,
+        csv_roundtrip, csv_mixed_headers, ingest_report, csv_cast_failures, year_dirs_scan,
+        some_year_dirs, year_month_filter,
         flights_partitioned, rejected_dates, clean_flights,
         hour_of_day, by_route, by_carrier, by_hour, stats_grouping_sets, route_features,
-        quality_report, quality_summary, enriched_quality, live_quality,
+        quality_report, quality_summary, quality_after_rewrite, enriched_quality, live_quality,
+        enriched_quality_raw, live_quality_raw, message_rejects,
         temporal_features, labelled, training_rows, training_cells, class_balance,
         holdout_tally, scored_flights, confusion_matrix, model_metrics,
         collapsed_model_metrics, predictions_filled, scored_by_rule, confusion_by_rule,
         metrics_by_rule, predictions_filled_by_rule, score_agreement,
         country_reference, country_reference_coherent, airports_filtered, airports_rejected,
         airports_upsert, state_enriched, latest_state, live_expired, live_limit,
-        carrier_strict, carrier_fallback, state_features, states_json_parsed, state_vectors,
-        state_topic_json, normalized_flights, api_live_records, risk_from_delay,
+        carrier_strict, carrier_fallback, state_features, state_features_text, states_json_parsed, state_vectors,
+        state_topic_json, normalized_flights, api_live_records, api_spellings, risk_from_delay,
         risk_from_probability, delays_top, risk_table, map_points, density, congestion_risk,
         congestion_chart, api_density, congestion_load, kpis, activity_trend, delay_histogram,
         stream_latest_state, stream_history, stream_density, stream_trend, stream_scored,

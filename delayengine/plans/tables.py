@@ -141,18 +141,24 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_day(spark: SparkSession, sf_dir: str) -> datetime.date:
-    """The day in the middle of the events."""
+    """The day a third of the way through the events."""
     low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    return (low + (high - low) / 2).date()
+    return (low + (high - low) / ARRIVALS).date()
 
 
 def with_trip(live: DataFrame) -> DataFrame:
-    """Add origin, destination and a predicted delay (absent for every seventh event)."""
+    """Add origin, destination and a predicted delay (absent for every seventh event).
+
+    Two hubs take a fourth and a fifth of the aircraft, so that congestion differs between hubs.
+    """
     user = F.conv("icao24", 16, 10).cast("bigint")
     event = F.col("event_id")
     return live.withColumns(
         {
-            "origin": F.when(user % 13 == 12, F.lit("ZZZ")).otherwise(_one_of(HUBS, user % 10)),
+            "origin": F.when(user % 13 == 12, F.lit("ZZZ"))
+            .when(user % 4 == 0, F.lit(HUBS[0]))
+            .when(user % 5 == 1, F.lit(HUBS[1]))
+            .otherwise(_one_of(HUBS, user % 10)),
             "dest": _one_of(HUBS, (user * 3 + 4) % 10),
             "predicted_delay_minutes": F.when(event % 7 != 6, (event % 90) / 2.0),
         }
@@ -163,6 +169,17 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_trip(states(spark, sf_dir))
 
 
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``states`` as key and JSON, with what a topic may hold: every 43rd without a key, every 41st cut off."""
+    own = states(spark, sf_dir)
+    sent = own.withColumn("icao24", F.when(F.col("event_id") % 43 != 0, F.col("icao24")))
+    text = F.to_json(F.struct(*[c for c in sent.columns if c not in ("event_ts", "event_id")]), {"ignoreNullFields": "false"})
+    return sent.select(
+        "event_id", F.col("icao24").alias("key"),
+        F.when(F.col("event_id") % 41 == 0, F.substring(text, 1, 8)).otherwise(text).alias("value"),
+    )
+
+
 def airport_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``supplier`` as the airports file: text columns and the order of loading."""
     key = F.col("s_suppkey")

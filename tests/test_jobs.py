@@ -59,9 +59,9 @@ def test_all_jobs(spark, raw, monkeypatch, capsys):
     assert spark.read.parquet(f"{d}/scored").count() + spark.read.parquet(f"{d}/srej").count() == 200
     capsys.readouterr()
     run(monkeypatch, "quality", "--target", "live", "--state", d / "live/state")
-    assert capsys.readouterr().out.strip().endswith("2/2 checks passed")
+    assert capsys.readouterr().out.strip().endswith("3/3 checks passed")
     with pytest.raises(SystemExit) as stop:  # the test flights are older than the first expected year
-        run(monkeypatch, "quality", "--flights", d / "flights", "--history", d / "live/history", "--state", d / "live/state")
+        run(monkeypatch, "quality", "--flights", d / "flights", "--history", d / "live/history", "--state", d / "live/state", "--partials", d / "partials")
     out = capsys.readouterr().out
     assert stop.value.code == 1 and "FAIL year from 2019" in out and "PASS icao24 not NULL: violations=0" in out
 

@@ -43,3 +43,19 @@ def test_statistics_read_only_their_columns(spark):
 def test_expiry_reaches_the_scan(spark):
     plan = driver.queries()["live_expired"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts," in plan
+
+
+def test_every_branch_occurs(spark):
+    """Bands, alerts, limits, failing checks and late rows are all met by the queries that should show them."""
+    def rows(name):
+        return driver.queries()[name](spark, SF).collect()
+
+    assert {r.band for r in rows("congestion_chart")} == {r.band for r in rows("congestion_risk")} == {"green", "orange", "red"}
+    assert rows("kpis")[0].congestion_alerts > 0
+    latest = driver.queries()["latest_state"](spark, SF).where("latitude is not null").count()
+    assert len(rows("live_limit")) == 60 < latest
+    assert {r.reason for r in rows("message_rejects")} == {None, "no aircraft"}
+    assert not any(r.passed for r in rows("enriched_quality_raw"))
+    assert {r.check: r.passed for r in rows("live_quality_raw")} == {"live_json_valid": False, "live_entries": True, "live_keys": False}
+    assert sum(r.late for r in rows("stream_density")) > 0
+    assert {r.reference_version for r in rows("stream_history")} == {0, 1}
