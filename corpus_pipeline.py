@@ -39,7 +39,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids, their number, and digests of the ids and of the text decoded from them."""
     reach(spark)
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids"), path, pattern)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path, pattern)
     return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), *bpe.digest_columns())
 
 

@@ -379,6 +379,26 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", te
     return coded.mapInArrow(run, _added(coded, text, "string"))
 
 
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with ``encode``'s ids and ``decode``'s text of them instead of the text, by one worker a task: each worker holds a codec."""
+    codec = _shared(docs, vocabulary, pattern)
+    rest = [c for c in docs.columns if c != text]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec()
+        for batch in batches:
+            for piece in pieces(batch, text):
+                gc.disable()  # as in ``encode``
+                coded = [np.asarray(own.encode(t or "")) for t in piece.column(text).to_pylist()]
+                gc.freeze()
+                gc.enable()
+                texts = pa.array([own.decode(x) for x in coded], pa.string())
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), _lists(coded), texts], [*rest, ids, decoded])
+
+    kept = docs.select(*[F.col(f"`{c}`") for c in rest])
+    return docs.mapInArrow(run, _added(kept, ids, f"array<int>, `{decoded}` string"))
+
+
 def digest_columns(ids: str = "ids", decoded: str = "decoded") -> list[Column]:
     """ids_sha256, of the decimal ids joined by commas, and decoded_sha256."""
     joined = F.array_join(F.col(ids).cast("array<string>"), ",")
