@@ -11,8 +11,9 @@ the first of each kind of line stays, and nothing depends on how the rows are de
    size, position and bitmap filters leave candidates; each later set keeps the nearest few, and how many it had.
    A word of many sets is cut into chunks, and each two of them are compared in a task of their own.
    Bitmaps stand in sorted arrays below the shared folder: two sets differ in at least as many words as bits.
-4. The candidates' sets are made anew from the texts and intersected. A later set whose listed candidates
-   all fail, though it had others, is compared with all of them in a second round, so no match is lost.
+4. The candidates' sets are made anew from the lines where they first stand and intersected. A later set whose listed
+   candidates all fail, though it had others, is compared with all of them in a second round, so no match is lost.
+   That round deals out only the entries of its sets' words.
 5. Sets to remove and first places of repeated sets are stored as sorted hash arrays; a last pass over the texts
    looks its lines up there. Texts are never shuffled.
 
@@ -58,10 +59,15 @@ class Lines(NamedTuple):
     words: np.ndarray
 
 
+def _cuts(texts: Texts) -> np.ndarray:
+    """Where each line begins, and the end of all."""
+    data, offsets = texts
+    return np.unique(np.concatenate([offsets, np.flatnonzero(data == 10) + 1])) if len(data) else offsets[:1]
+
+
 def lines_of(texts: Texts) -> Lines:
     data, offsets = texts
-    ends = np.flatnonzero(data == 10) + 1
-    cuts = np.unique(np.concatenate([offsets, ends])) if len(data) else offsets[:1]
+    cuts = _cuts(texts)
     found = words_of(Texts(data, cuts))
     words, row = found.hashes >> np.uint64(64 - _BITS), found.rows
     if len(cuts) < 1 << (64 - _BITS):  # line and word in one number: one plain sort
@@ -93,11 +99,19 @@ def _counter(words: np.ndarray) -> np.ndarray:
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     alone("lines")
-    counts = np.zeros(_COUNTERS, np.uint32)
+    counts, held = np.zeros(_COUNTERS, np.uint32), []
+
+    def add() -> None:  # many words at once: each time touches all counters
+        counts[:] += np.bincount(np.concatenate(held), minlength=_COUNTERS).astype(np.uint32)
+        held.clear()
+
     for batch in batches:
         for piece in pieces(batch):
-            words = words_of(texts_of(piece.column("text"))).hashes >> np.uint64(64 - _BITS)
-            counts += np.bincount(_counter(words), minlength=_COUNTERS).astype(np.uint32)
+            held.append(_counter(words_of(texts_of(piece.column("text"))).hashes >> np.uint64(64 - _BITS)).astype(np.int32))
+            if sum(map(len, held)) > _COUNTERS // 2:
+                add()
+    if held:
+        add()
     if counts.any():
         width = _COUNTERS // _PARTS
         yield pa.RecordBatch.from_arrays([
@@ -125,9 +139,18 @@ def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, sum(row.words for row in rows)
 
 
+def _ids(piece: pa.RecordBatch) -> np.ndarray:
+    return piece.column("doc_id").fill_null(int(_LATE)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _spot(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """One hash of doc_id and line; texts that share a doc_id share it."""
+    return mixed(doc.view(np.uint64), line.astype(np.uint64))
+
+
 def _places(piece: pa.RecordBatch, lines: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_id, line and text hash of each line, and one hash of all three."""
-    ids = piece.column("doc_id").fill_null(int(_LATE)).to_numpy(zero_copy_only=False).astype(np.int64)
+    """doc_id, line and text hash of each line."""
+    ids = _ids(piece)
     texts = piece.column("text_hash").to_numpy(zero_copy_only=False).astype(np.int64)
     return ids[lines.row], lines.line.astype(np.int64), texts[lines.row]
 
@@ -319,10 +342,16 @@ def _nearest(folder: str, shards: int, threshold: float, listed: int) -> Callabl
             count[b] += 1
             best[b] = np.sort(np.column_stack([best[b], far << 32 | a]), 1)[:, :listed]
         has = np.flatnonzero(count)
-        rows = [[{"far": x >> 32, "earlier": int(keys[x & 0xFFFFFFFF].view(np.int64))} for x in line if x < 1 << 40] for line in best[has].tolist()]
+        best, spot = best[has], _spot(entries[2], entries[3]).view(np.int64)
+        used = best < 1 << 40
+        near = best[used] & 0xFFFFFFFF
+        rows = pa.StructArray.from_arrays(
+            [pa.array(best[used] >> 32), pa.array(keys[near].view(np.int64)), pa.array(spot[near])], ["far", "earlier", "other"]
+        )
+        ends = np.concatenate(([0], np.cumsum(used.sum(1)))).astype(np.int32)
         return pa.table(
-            [pa.array(keys[has].view(np.int64)), pa.array(rows, pa.list_(pa.struct([("far", pa.int64()), ("earlier", pa.int64())]))), pa.array(count[has])],
-            ["later", "best", "n"],
+            [pa.array(keys[has].view(np.int64)), pa.array(spot[has]), pa.ListArray.from_arrays(ends, rows), pa.array(count[has])],
+            ["later", "spot", "best", "n"],
         )
 
     return run
@@ -332,16 +361,45 @@ def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
     """All candidates of the sets whose keys are stored as open, one row for each pair at hand."""
 
     def run(entries: list[np.ndarray], cut: int | None) -> pa.Table:
-        wanted = _stored(folder, "open", entries[1], shards)
-        keep = np.isin(entries[0], np.unique(entries[0][wanted]))
-        cut = cut if cut is None else int(keep[:cut].sum())
-        entries, wanted = [e[keep] for e in entries], wanted[keep]
-        later, earlier = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        kinds, where = np.unique(entries[1], return_inverse=True)
+        wanted = _stored(folder, "open", kinds, shards)[where]
+        later, earlier = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for b, a, _ in _candidates(entries, cut, folder, shards, threshold):
-            later.append(entries[1][b[wanted[b]]])
-            earlier.append(entries[1][a[wanted[b]]])
-        pairs = np.unique(np.stack([np.concatenate(later), np.concatenate(earlier)], 1), axis=0)
-        return pa.table([pa.array(pairs[:, 0].copy().view(np.int64)), pa.array(pairs[:, 1].copy().view(np.int64))], ["later", "earlier"])
+            later.append(b[wanted[b]])
+            earlier.append(a[wanted[b]])
+        both, spot = (np.concatenate(later), np.concatenate(earlier)), _spot(entries[2], entries[3])
+        pairs = np.unique(np.stack([of[i] for of in (entries[1], spot) for i in both], 1), axis=0).view(np.int64)
+        return pa.table([pa.array(pairs[:, i].copy()) for i in range(4)], ["later", "earlier", "spot", "other"])
+
+    return run
+
+
+def _words_of_open(folder: str, shards: int) -> Callable:
+    """The words by which the sets stored as open were sent, moved to the top bits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.column("block"):
+                word, keys, *_ = unpack(block.as_py())
+                kinds, where = np.unique(keys, return_inverse=True)
+                words = np.unique(word[_stored(folder, "open", kinds, shards)[where]]) << np.uint64(64 - _BITS)
+                if len(words):
+                    yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64))], ["key"])
+
+    return run
+
+
+def _sent_with(folder: str, shards: int) -> Callable:
+    """The blocks' entries of stored words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, block in zip(batch.column("shard").to_pylist(), batch.column("block"), strict=True):
+                columns = unpack(block.as_py())
+                keep = _stored(folder, "words", columns[0] << np.uint64(64 - _BITS), shards)  # a block is in the order of words
+                if keep.any():
+                    rows = [pa.array([shard], pa.int32()), pa.array([0], pa.int32()), pa.array([pack([c[keep] for c in columns])], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(rows, ["shard", "kind", "block"])
 
     return run
 
@@ -400,11 +458,9 @@ def _store(rows: DataFrame, folder: str, name: str, shards: int) -> None:
 
 
 def _stored(folder: str, name: str, keys: np.ndarray, shards: int) -> np.ndarray:
-    """Which keys are in the stored arrays."""
+    """Which keys, given in order, are in the stored arrays."""
     out = np.zeros(len(keys), bool)
-    shard = shard_of(keys, shards)
-    for s in np.unique(shard):
-        own = np.flatnonzero(shard == s)
+    for s, own in _by_shard(keys, shards):
         try:
             out[own] = find(mapped(folder, f"{name}-{s}-keys", "u8"), keys[own])[1]
         except FileNotFoundError:
@@ -412,29 +468,45 @@ def _stored(folder: str, name: str, keys: np.ndarray, shards: int) -> np.ndarray
     return out
 
 
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
+    """The shards of keys given in order, and where each one's keys stand."""
+    shard = shard_of(keys, shards)
+    first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))[:len(shard)])
+    for start, end in zip(first.tolist(), [*first[1:].tolist(), len(shard)], strict=True):
+        yield int(shard[start]), slice(start, end)
+
+
 def _sets_of(folder: str, name: str, shards: int) -> Callable:
-    """The words of the sets whose keys are stored."""
+    """The sets of the lines that stand at stored places (and of those at the same line of another text with the doc_id)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
-                lines = lines_of(texts_of(piece.column("text")))
+                texts = texts_of(piece.column("text"))
+                cuts = _cuts(texts)
+                row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(cuts[:-1], texts.offsets)))
+                spot = _spot(_ids(piece)[row], np.arange(len(row)) - np.searchsorted(cuts, texts.offsets[row]))
+                order = np.argsort(spot)
+                at = np.sort(order[_stored(folder, name, spot[order], shards)])
+                if not len(at):
+                    continue
+                length = np.diff(cuts)[at]
+                lines = lines_of(Texts(texts.data[np.repeat(cuts[at], length) + runs(length)], np.concatenate(([0], np.cumsum(length)))))
                 _, first = np.unique(lines.key, return_index=True)
-                first = first[_stored(folder, name, lines.key[first], shards)]
-                starts = np.cumsum(lines.size) - lines.size
-                words = lines.words.view(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(lines.key[first].view(np.int64)),
-                    pa.array([words[starts[i]:starts[i] + lines.size[i]] for i in first], pa.list_(pa.int64())),
-                ], ["key", "words"])
+                first.sort()
+                wanted = np.zeros(len(lines.key), bool)
+                wanted[first] = True
+                ends = np.concatenate(([0], np.cumsum(lines.size[first]))).astype(np.int32)
+                words = pa.array(lines.words[np.repeat(wanted, lines.size)].view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(lines.key[first].view(np.int64)), pa.ListArray.from_arrays(ends, words)], ["key", "words"])
 
     return run
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, folder: str, name: str, shards: int, threshold: float) -> DataFrame:
-    """The pairs (later, earlier) that are as alike as the threshold, by their full sets."""
-    _store(pairs.select(F.explode(F.array("later", "earlier")).alias("key")), folder, name, shards)
-    sets = docs.select("text").mapInArrow(_sets_of(folder, name, shards), "key bigint, words array<bigint>").dropDuplicates(["key"])
+    """The pairs (later, earlier, and where each stands) that are as alike as the threshold, by their full sets."""
+    _store(pairs.select(F.explode(F.array("spot", "other")).alias("key")), folder, name, shards)
+    sets = docs.select("doc_id", "text").mapInArrow(_sets_of(folder, name, shards), "key bigint, words array<bigint>").dropDuplicates(["key"])
     sets = stage(sets, "line-sets")
     pairs = pairs.join(sets.select(F.col("key").alias("later"), F.col("words").alias("a")), "later")
     pairs = pairs.join(sets.select(F.col("key").alias("earlier"), F.col("words").alias("b")), "earlier")
@@ -451,17 +523,15 @@ def _removing(folder: str, shards: int, columns: list[str]) -> Callable:
                 lines = lines_of(texts_of(piece.column("text")))
                 gone = np.zeros(len(lines.key), bool)
                 if len(gone):
-                    kinds, where = np.unique(lines.key, return_inverse=True)
-                    gone = _stored(folder, "near", kinds, shards)[where]
+                    order = np.argsort(lines.key)
+                    kinds = lines.key[order]
+                    gone[order] = _stored(folder, "near", kinds, shards)
                     own = _place_hash(*_places(piece, lines))
-                    shard = shard_of(lines.key, shards)
-                    for s in np.unique(shard):
-                        rows = np.flatnonzero(shard == s)
+                    for s, part in _by_shard(kinds, shards):
                         keys = mapped(folder, f"repeated-{s}-keys", "u8")
                         values = mapped(folder, f"repeated-{s}-values", "u8").reshape(-1, 2)
-                        at, known = find(keys, lines.key[rows])
-                        known = np.flatnonzero(known)
-                        rows, at = rows[known], at[known]
+                        at, known = find(keys, kinds[part])
+                        rows, at = order[part][known], at[known]
                         for step in (0, 1):  # two sets with one first hash stand side by side
                             next_ = np.minimum(at + step, len(keys) - 1) if len(keys) else at
                             same = (keys[next_] == lines.key[rows]) & (values[next_, 0] == lines.key2[rows])
@@ -494,18 +564,21 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // SHARD_WORDS)
     merged = texts.mapInArrow(_lines_out(levels, threshold, shards), BLOCKS).groupBy("shard").applyInArrow(_sets_merged(folder, shards), BLOCKS)
     merged = stage(merged, "line-words")  # read by both rounds
-    columns = "later bigint, best array<struct<far:bigint,earlier:bigint>>, n bigint"
+    columns = "later bigint, spot bigint, best array<struct<far:bigint,earlier:bigint,other:bigint>>, n bigint"
     # the words of a set may be in several shards: the sum of n is at least its number of candidates
     nearest = _compared(merged, _nearest(folder, shards, threshold, listed), columns, group, "line-nearest")
     best = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("best")))), 1, listed)
-    nearest = stage(nearest.groupBy("later").agg(best.alias("best"), F.sum("n").alias("n")), "line-candidates")
-    pairs = nearest.select("later", F.explode("best.earlier").alias("earlier")).distinct()
+    nearest = stage(nearest.groupBy("later").agg(F.first("spot").alias("spot"), best.alias("best"), F.sum("n").alias("n")), "line-candidates")
+    pairs = nearest.select("later", "spot", F.inline("best")).drop("far")
     first = stage(_verified(pairs, texts, folder, "first", shards, threshold).select("later").distinct(), "line-matches")
     near = first
     open_ = stage(nearest.where(F.col("n") > F.size("best")).join(first, "later", "left_anti").select("later"), "line-open")
     if not open_.isEmpty():
         _store(open_, folder, "open", shards)
-        pairs = _compared(merged, _all_candidates(folder, shards, threshold), "later bigint, earlier bigint", group, "line-all").distinct()
+        _store(merged.mapInArrow(_words_of_open(folder, shards), "key bigint"), folder, "words", shards)
+        few = merged.mapInArrow(_sent_with(folder, shards), BLOCKS)
+        columns = "later bigint, earlier bigint, spot bigint, other bigint"
+        pairs = _compared(few, _all_candidates(folder, shards, threshold), columns, group, "line-all").distinct()
         near = near.unionByName(_verified(stage(pairs, "line-pairs"), texts, folder, "second", shards, threshold).select("later"))
     _store(near, folder, "near", shards)
     fields = [f.name for f in docs.schema.fields]

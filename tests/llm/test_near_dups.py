@@ -4,9 +4,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from delayengine.llm import components, lines, near_dups
+from delayengine.llm.words import texts_of, words_of
 
 
 def words(text):
@@ -134,3 +136,24 @@ def test_short_lines_inside_longer_ones(spark, listed, group):
     got = {r.doc_id: r.text for r in lines.deduplicate(table, listed=listed, group=group).collect()}
     assert got == {k[0]: v for k, v in kept_lines(rows).items()}
     assert (got[2], got[4], got[6]) == ("", "white blue", "one two three four")
+
+
+def test_candidates_are_made_anew_from_their_own_lines_only(tmp_path):
+    """A place names one line of each text with its doc_id; other lines and other texts are not read for words."""
+    batch = pa.record_batch([pa.array([7, 8, None, 7]), pa.array(["a b\nc d\ne", "f\ng h", "i j\nk", "\nl m"])], ["doc_id", "text"])
+    spots = np.sort(lines._spot(np.array([7, lines._LATE]), np.array([1, 0])))
+    for s in range(3):
+        lines.put(str(tmp_path), f"some-{s}-keys", spots[lines.shard_of(spots, 3) == s])
+    got = [r for b in lines._sets_of(str(tmp_path), "some", 3)(iter([batch])) for r in b.to_pylist()]
+    want = lines.lines_of(lines.texts_of(pa.array(["c d", "i j", "l m"])))
+    assert [r["key"] for r in got] == want.key.view(np.int64).tolist()
+    assert [w for r in got for w in r["words"]] == want.words.tolist()
+
+
+def test_words_of_texts_that_meet_within_a_word():
+    texts = ["", "ab", "", "b c", " ", "d\n", "", "e"]
+    joined = words_of(texts_of(pa.array(texts)))
+    alone = [words_of(texts_of(pa.array([t]))) for t in texts]
+    assert joined.hashes.tolist() == [h for w in alone for h in w.hashes.tolist()]
+    assert joined.counts.tolist() == [len(w.hashes) for w in alone] == [0, 1, 0, 2, 0, 1, 0, 1]
+    assert joined.rows.tolist() == [1, 3, 3, 5, 7]
