@@ -69,9 +69,9 @@ def live_sink(
 ) -> Callable[[DataFrame, int], None]:
     """What to do with a raw micro-batch: append the history, refresh the state table.
 
-    The batch is parsed once. Its enriched rows are stored first and the state is
-    merged from the stored rows, so the join runs once and nothing but the parsed
-    batch is held in memory. Every write is keyed by query and batch, so a replay after
+    The batch is read twice, for what is kept and for the rejects, and never cached: parsed messages take many times
+    the room of their source, and a task would hold and read its whole part as one block. The enriched rows are stored first and
+    the state is merged from the stored rows, so the join runs once. Every write is keyed by query and batch, so a replay after
     a failure repeats it instead of adding to it, and a query with a new checkpoint adds to what is there.
     History rows carry the version of the reference they were joined with (NULL for a fixed one).
     """
@@ -80,14 +80,11 @@ def live_sink(
         by = origin(raw, batch_id)
         airports, version = (reference, None) if isinstance(reference, DataFrame) else reference()
         parsed = parse_states(raw)
-        parsed = parsed.withColumn("reason", reject_reason(parsed)).persist()
-        try:
-            good = flat_states(parsed.filter(F.col("reason").isNull()).drop("reason"))
-            enriched = with_airport(good, airports).withColumn(REFERENCE_VERSION, F.lit(version).cast("long"))
-            stored = history.append(enriched, by)
-            rejects.write(parsed.filter(F.col("reason").isNotNull()).select("value", "reason"), by)
-        finally:
-            parsed.unpersist()
+        parsed = parsed.withColumn("reason", reject_reason(parsed))
+        good = flat_states(parsed.filter(F.col("reason").isNull()).drop("reason"))
+        enriched = with_airport(good, airports).withColumn(REFERENCE_VERSION, F.lit(version).cast("long"))
+        stored = history.append(enriched, by)
+        rejects.write(parsed.filter(F.col("reason").isNotNull()).select("value", "reason"), by)
         stored = stored.drop(REFERENCE_VERSION)
         state.apply(stored, by)
         for extra in extras:

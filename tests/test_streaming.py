@@ -318,3 +318,19 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder and new_folder(spark, "x").startswith(f"{folder}/delayengine/x-")
     assert get_session("tests").sparkContext is spark.sparkContext
+
+
+def test_a_batch_is_not_cached(spark, airports, tmp_path):
+    """A cached batch is one block for each task, many times the size of its source."""
+    base, plans = str(tmp_path), []
+
+    class Watched(BatchTable):
+        def write(self, rows, by):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            super().write(rows, by)
+
+    rejects = Watched(spark, f"{base}/rejects")
+    sink = pipeline.live_sink(country_reference(airports), StateTable(spark, f"{base}/state"), History(spark, f"{base}/history"), rejects)
+    sink(spark.createDataFrame([(message("a", "10:00:00"),), ("{}",)], "value string"), 0)
+    assert len(plans) == 1 and "InMemoryTableScan" not in plans[0]
+    assert rejects.read().count() == 1 and StateTable(spark, f"{base}/state").read().count() == 1
