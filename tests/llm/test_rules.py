@@ -331,3 +331,15 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing):
             assert function(spark, table, SF).columns == table.columns
             function(spark, table, SF).collect()
         corpus_pipeline.STAGES[-1][1](spark, table, SF).collect()
+
+
+def test_every_page_is_differenced_and_its_markup_checked(spark, documents):
+    page = "<nav>{0}</nav><p>Top {0}</p><article><p>Own {0}</p><p>Same</p><div class='share-price'>{1}</div><div class='comment-list'>c {0}</div></article><p>Bottom</p>"
+    rows = [(i, f"http://h.org/{i}", page.format(i, "Price" if i > 2 else f"Price {i}")) for i in range(6)]
+    rows += [(9, "http://alone.org/", page.format(9, "Price"))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (2000, 2):
+        got = {r.page_id: r.text for r in pages.extract(table, size).collect()}
+        assert all(got[i] == f"Own {i}\nSame\nPrice {i}" for i in range(3))
+        assert all(got[i] == f"Own {i}\nSame" for i in (4, 5, 9))
+        assert got[3] == "Own 3\nSame\nPrice"  # on a tie the page before is the nearest
