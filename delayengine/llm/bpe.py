@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from delayengine.llm.scratch import holds
+from delayengine.llm.scratch import alone, holds
 from delayengine.llm.words import pieces
 
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -296,6 +296,7 @@ def parse_ranks(raw: bytes) -> dict[bytes, int]:
 
 @lru_cache(maxsize=2)
 def _codec(digest: str, pattern: str, holder) -> Codec:
+    alone("byte_bpe")  # what earlier operators left in the worker is not there for small objects to use
     codec = Codec(parse_ranks(holder.raw), pattern)
     gc.freeze()  # the vocabulary lives as long as the worker: its objects need not be visited again
     return codec

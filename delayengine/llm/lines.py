@@ -375,16 +375,15 @@ def _all_candidates(folder: str, shards: int, threshold: float) -> Callable:
 
 
 def _words_of_open(folder: str, shards: int) -> Callable:
-    """The words by which the sets stored as open were sent, moved to the top bits."""
+    """The words of a batch by which the sets stored as open were sent, moved to the top bits."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in batch.column("block"):
-                word, keys, *_ = unpack(block.as_py())
-                kinds, where = np.unique(keys, return_inverse=True)
-                words = np.unique(word[_stored(folder, "open", kinds, shards)[where]]) << np.uint64(64 - _BITS)
-                if len(words):
-                    yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64))], ["key"])
+    def run(batch: pa.RecordBatch) -> np.ndarray:
+        found = [np.zeros(0, np.uint64)]
+        for block in batch.column("block"):
+            word, keys, *_ = unpack(block.as_py())
+            kinds, where = np.unique(keys, return_inverse=True)
+            found.append(np.unique(word[_stored(folder, "open", kinds, shards)[where]]) << np.uint64(64 - _BITS))
+        return np.unique(np.concatenate(found))
 
     return run
 
@@ -440,11 +439,19 @@ def _compared(merged: DataFrame, find: Callable, columns: str, group: int, label
     return small.unionByName(twice.groupBy("word", "low", "high").applyInArrow(chunks, columns))
 
 
-def _store(rows: DataFrame, folder: str, name: str, shards: int) -> None:
-    """Write the distinct values of the only column as sorted arrays, one file for each shard of them."""
+def _first_column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _store(rows: DataFrame, folder: str, name: str, shards: int, values: Callable[[pa.RecordBatch], np.ndarray] = _first_column) -> None:
+    """Write the distinct values of the only column, or what ``values`` finds in a batch, as sorted arrays, one file for each shard.
+
+    ``rows`` come without a Python step of their own: two in a row need two workers a task, and Spark's pool then deals
+    later tasks to all of them in turn, so that each comes to hold what an operator keeps (``byte_bpe``: 260 MB).
+    """
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
+        held = [values(b) for b in batches]
         if held:
             keys = np.unique(np.concatenate(held))
             yield blocks(0, shard_of(keys, shards), shards, [keys])
@@ -575,7 +582,7 @@ def deduplicate(docs: DataFrame, threshold: float = THRESHOLD, listed: int = LIS
     open_ = stage(nearest.where(F.col("n") > F.size("best")).join(first, "later", "left_anti").select("later"), "line-open")
     if not open_.isEmpty():
         _store(open_, folder, "open", shards)
-        _store(merged.mapInArrow(_words_of_open(folder, shards), "key bigint"), folder, "words", shards)
+        _store(merged, folder, "words", shards, _words_of_open(folder, shards))
         few = merged.mapInArrow(_sent_with(folder, shards), BLOCKS)
         columns = "later bigint, earlier bigint, spot bigint, other bigint"
         pairs = _compared(few, _all_candidates(folder, shards, threshold), columns, group, "line-all").distinct()

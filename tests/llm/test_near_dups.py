@@ -157,3 +157,16 @@ def test_words_of_texts_that_meet_within_a_word():
     assert joined.hashes.tolist() == [h for w in alone for h in w.hashes.tolist()]
     assert joined.counts.tolist() == [len(w.hashes) for w in alone] == [0, 1, 0, 2, 0, 1, 0, 1]
     assert joined.rows.tolist() == [1, 3, 3, 5, 7]
+
+
+def test_python_steps_do_not_follow_each_other(documents, monkeypatch):
+    """Two in a row need two workers a task, all of which later tasks use and fill."""
+    plans, store = [], lines._store
+
+    def noted(rows, *rest):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        store(rows, *rest)
+
+    monkeypatch.setattr(lines, "_store", noted)
+    lines.deduplicate(documents, listed=0).count()
+    assert len(plans) == 5 and not [p for p in plans if "InArrow" in p]
