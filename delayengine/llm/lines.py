@@ -190,7 +190,11 @@ def _merged(parts: list[list[np.ndarray]], words: list[np.ndarray]) -> tuple[lis
     columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
     flat = np.concatenate(words)
     key, key2, doc, line, text, size, times, prefix, *bits = columns
-    order = np.lexsort((text, line, doc, key2, key))
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    among = np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same)))  # sets met once need no more order
+    own = order[among]
+    order[among] = own[np.lexsort((text[own], line[own], doc[own], key2[own], key[own]))]
     new = np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (key2[order][1:] != key2[order][:-1])))
     first = np.flatnonzero(new)
     total = np.add.reduceat(times[order], first)
@@ -277,47 +281,81 @@ def _sets_merged(folder: str, shards: int) -> Callable:
     return run
 
 
+def _order(word: np.ndarray, keys: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The order by word, doc_id, line and key: by two plain sorts of numbers where these fit, as sorting by columns takes longer."""
+    n, bits = len(word), 64 - _BITS
+    if 0 < n < 1 << bits and int(doc.max()) - int(doc.min()) < 1 << 40 and int(line.max()) < 1 << 23:
+        place = (doc - doc.min()).astype(np.uint64) << np.uint64(23) | line.astype(np.uint64)
+        at = np.argsort(place)
+        tie = place[at[1:]] == place[at[:-1]]
+        if not (tie & (keys[at[1:]] != keys[at[:-1]])).any():  # else texts share a doc_id, and their keys decide
+            numbers = np.empty(n, np.uint64)
+            numbers[at] = np.arange(n, dtype=np.uint64)
+            numbers |= word << np.uint64(bits)
+            numbers.sort()
+            return at[numbers & np.uint64((1 << bits) - 1)]
+    return np.lexsort((keys, line, doc, word))
+
+
 def _entries(table: pa.Table) -> list[np.ndarray]:
     """Prefix words of a shard, by word and then by place in the corpus."""
     columns = [np.concatenate(c) for c in zip(*(unpack(b) for b in table.column("block").to_pylist()), strict=True)]
-    order = np.lexsort((columns[1], columns[3], columns[2], columns[0]))
+    order = _order(*columns[:4])
     return [c[order] for c in columns]
 
 
-def _steps(word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Indices of each two entries of a word, by how far apart they stand."""
-    active, step = np.arange(len(word)), 0
+def _steps(word: np.ndarray, size: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indices of each two entries of a word whose sizes are near enough, the larger set second.
+
+    The entries of a word are put in the order of size, and pairs made by how far apart they stand there; an entry that
+    has met the last one of its word, or one too large for it, meets no more.
+    """
+    most = np.floor(np.arange(int(size.max(initial=0)) + 1) / threshold + 1e-9).astype(np.int64)  # the largest set that is near enough
+    span = np.int64(len(most) + 1)
+    number = np.cumsum(np.concatenate(([False], word[1:] != word[:-1]))[:len(word)]) * span + size  # word and size as one number
+    order = np.argsort(number, kind="stable")
+    number, ordered = number[order], size[order]
+    end = np.searchsorted(number, number - ordered + np.minimum(most[ordered], span - 2), side="right")  # the first past an entry's partners
+    active = np.arange(len(word))
+    left = end - active
+    step = 0
     while len(active):
         step += 1
-        active = active[active + step < len(word)]
-        active = active[word[active] == word[active + step]]
-        yield active, active + step
+        keep = left > step
+        active, left = active[keep], left[keep]
+        yield order[active], order[active + step]
 
 
 def _across(cut: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The same for each entry before ``cut`` with each from there on."""
+    """Indices of each entry before ``cut`` with each from there on."""
     for step in range(1, n):
         first = np.arange(max(0, cut - step), min(cut, n - step))
         yield first, first + step
 
 
 def _candidates(entries: list[np.ndarray], cut: int | None, folder: str, shards: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Indices of later and earlier sets that share a word and pass the filters, and how far their bitmaps differ."""
+    """Indices of later and earlier sets that share a word and pass the filters, and how far their bitmaps differ; a later set once at a time."""
     word, keys, _, _, size, place, bits = entries
-    size, place = size.astype(np.int64), place.astype(np.int64)
+    size = size.astype(np.int32)
+    rest = size - place.astype(np.int32)  # words of the set from this one on
     part = threshold / (1 + threshold)
+    total = np.arange(2 * int(size.max(initial=0)) + 1)
+    need = np.ceil(part * total - 1e-9).astype(np.int32)  # words to share, by the sum of both sizes; that both have them holds the sizes near
     kinds, where = np.unique(keys, return_inverse=True)
     maps = _maps(folder, kinds, shards)
-    for a, b in _steps(word) if cut is None else _across(cut, len(word)):
-        low, high = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        need = np.ceil(part * (low + high) - 1e-9).astype(np.int64)
-        rest = np.minimum(size[a] - place[a], size[b] - place[b])  # with the word itself
-        differ = low + high - 2 * need
-        good = (low >= threshold * high - 1e-9) & (rest >= need) & (np.bitwise_count(bits[a] ^ bits[b]) <= differ)
+    for a, b in _steps(word, size, threshold) if cut is None else _across(cut, len(word)):
+        both = size[a] + size[b]
+        least = need[both]
+        good = np.minimum(rest[a], rest[b]) >= least
+        a, b, differ = a[good], b[good], (both - 2 * least)[good]
+        good = np.bitwise_count(bits[a] ^ bits[b]) <= differ
         a, b, differ = a[good], b[good], differ[good]
         if len(a):
             far = np.bitwise_count(maps[where[a]] ^ maps[where[b]]).sum(1).astype(np.int64)
-            yield b[far <= differ], a[far <= differ], far[far <= differ]
+            good = far <= differ
+            for own in (good & (a < b), good & (a > b)):  # entries are in the order of the corpus
+                if own.any():
+                    yield np.maximum(a[own], b[own]), np.minimum(a[own], b[own]), far[own]
 
 
 def _maps(folder: str, keys: np.ndarray, shards: int) -> np.ndarray:

@@ -170,3 +170,20 @@ def test_python_steps_do_not_follow_each_other(documents, monkeypatch):
     monkeypatch.setattr(lines, "_store", noted)
     lines.deduplicate(documents, listed=0).count()
     assert len(plans) == 5 and not [p for p in plans if "InArrow" in p]
+
+
+def test_entries_are_ordered_and_paired_as_columns_say():
+    rng = np.random.default_rng(3)
+    n = 3000
+    word, line = rng.integers(0, 40, n).astype(np.uint64), rng.integers(0, 5, n).astype(np.uint32)
+    for doc in (rng.integers(0, 2000, n), rng.integers(0, 4, n), np.where(rng.random(n) < 0.1, lines._LATE, 7)):
+        for keys in (rng.integers(0, 9, n).astype(np.uint64), lines.mixed(doc.view(np.uint64), line.astype(np.uint64))):
+            order = lines._order(word, keys, doc, line)
+            want = np.lexsort((keys, line, doc, word))
+            assert all((c[order] == c[want]).all() for c in (word, keys, doc, line))
+    assert len(lines._order(word[:0], keys[:0], doc[:0], line[:0])) == 0
+    word, size = np.sort(word[:300]), rng.integers(1, 30, 300).astype(np.int32)
+    got = [(min(x, y), max(x, y)) for a, b in lines._steps(word, size, 0.8) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+    near = {(x, y) for x in range(300) for y in range(x + 1, 300) if word[x] == word[y] and min(size[x], size[y]) >= 0.8 * max(size[x], size[y]) - 1e-9}
+    assert len(got) == len(set(got)) and set(got) == near
+    assert list(lines._steps(word[:0], size[:0], 0.8)) == [] or not len(next(lines._steps(word[:0], size[:0], 0.8))[0])
