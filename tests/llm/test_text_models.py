@@ -60,6 +60,13 @@ def test_forgets_states_without_changing_results(codecs):
         assert [*small.encode(word.encode())] == codecs[1].encode_ordinary(word)
 
 
+def test_the_pipeline_keeps_few_states(codecs):
+    few = bpe.Codec(codecs[0].met.ranks, public_tokenizers.PATTERN, 20)
+    text = "internationalization zzzzzzzzzzzzzzzzzzz Überschreibungsfehler unenrèreè"
+    assert few.encode(text).tolist() == codecs[1].encode_ordinary(text) and len(few.met.transducer.states) <= 20
+    assert bpe.FEW_STATES < codecs[0].met.transducer.max_states
+
+
 def test_unfinished_characters_wait():
     data = "aé漢🎉".encode()
     for cut in range(len(data) + 1):
