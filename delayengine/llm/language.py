@@ -5,7 +5,7 @@ separates words. A profile is the ``size`` most frequent n-grams in order, ties
 The distance of two profiles sums how far each of the document's n-grams is out of place,
 ``size`` where the language lacks it. Profiles are learned from a bounded sample: at most about
 ``rows_per_language`` documents of each language, chosen by a hash of their id; their counts are summed in Spark.
-Prediction reads whole texts, all rows, in numpy, a few megabytes at a time.
+Prediction reads whole texts, all rows, in numpy, a quarter of a megabyte at a time: the arrays take some hundred times that.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything if no language was learned.
 Ties between languages go to the first by name. Rows are handled one by one; extra columns stay as they are.
@@ -30,6 +30,7 @@ SIZE = 300
 ROWS_PER_LANGUAGE = 2000
 MAX_LANGUAGES = 1000
 MIN_SCORE = 0.15
+PIECE_BYTES = 1 << 18
 _EDGE = 0x1FFFFF  # stands for the end of a word; no code point is as large
 
 
@@ -101,6 +102,14 @@ def _texts(piece: pa.RecordBatch, column: str) -> list[str]:
     return pc.utf8_lower(piece.column(column).cast(pa.large_string()).fill_null("")).to_pylist()
 
 
+def _bounded(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces, in a worker that holds nothing of other operators, and keeps nothing free afterwards."""
+    alone("language")
+    for batch in batches:
+        yield from pieces(batch, text, PIECE_BYTES)
+    give_back()
+
+
 def learn(docs: DataFrame, training: Column, rows_per_language: int = ROWS_PER_LANGUAGE, size: int = SIZE) -> list[tuple[str, np.ndarray]]:
     """(language, n-grams by rank) from the rows where ``training`` holds and ``lang`` is not null."""
     known = docs.where(training & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
@@ -113,17 +122,16 @@ def learn(docs: DataFrame, training: Column, rows_per_language: int = ROWS_PER_L
     sample = known.where(F.xxhash64("doc_id", F.lit(7)).bitwiseAND(0xFFFFFFFF) < F.element_at(parts, F.col("lang")))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                langs, codes = np.unique(np.array(piece.column("lang").to_pylist(), object), return_inverse=True)
-                rows, grams, counts = gram_counts(_texts(piece, "text"))
-                for i, lang in enumerate(langs):
-                    own = codes[rows] == i
-                    kinds, where = np.unique(grams[own], return_inverse=True)
-                    sums = np.bincount(where, counts[own], len(kinds)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(kinds), pa.string()), pa.array(kinds), pa.array(sums)], ["lang", "gram", "n"]
-                    )
+        for piece in _bounded(batches):
+            langs, codes = np.unique(np.array(piece.column("lang").to_pylist(), object), return_inverse=True)
+            rows, grams, counts = gram_counts(_texts(piece, "text"))
+            for i, lang in enumerate(langs):
+                own = codes[rows] == i
+                kinds, where = np.unique(grams[own], return_inverse=True)
+                sums = np.bincount(where, counts[own], len(kinds)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(kinds), pa.string()), pa.array(kinds), pa.array(sums)], ["lang", "gram", "n"]
+                )
 
     counted = sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -144,25 +152,22 @@ def predict(docs: DataFrame, profiles: list[tuple[str, np.ndarray]], text: str =
     model = docs.sparkSession.sparkContext.broadcast((langs, table, places))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alone("language")
         langs, table, places = model.value
-        for batch in batches:
-            for piece in pieces(batch, text):
-                rows, grams, ranks = top(*gram_counts(_texts(piece, text)), size)
-                n = np.bincount(rows, minlength=piece.num_rows)
-                names, scores = ["und"] * piece.num_rows, np.zeros(piece.num_rows)
-                if langs and len(rows):
-                    at = np.minimum(np.searchsorted(table, grams), len(table) - 1)
-                    own = places[np.where(table[at] == grams, at, len(table))]
-                    far = np.where(own < 0, size, np.abs(own - ranks[:, None]))
-                    total = np.stack([np.bincount(rows, far[:, i], piece.num_rows) for i in range(len(langs))], 1)
-                    best = total.argmin(1)
-                    scores = np.where(n > 0, 1 - total[np.arange(len(n)), best] / np.maximum(n * size, 1), 0.0)
-                    names = [langs[b] if k else "und" for b, k in zip(best, n, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(names, pa.string()), pa.array(scores)], [*piece.schema.names, "lang_pred", "score"]
-                )
-        give_back()
+        for piece in _bounded(batches, text):
+            rows, grams, ranks = top(*gram_counts(_texts(piece, text)), size)
+            n = np.bincount(rows, minlength=piece.num_rows)
+            names, scores = ["und"] * piece.num_rows, np.zeros(piece.num_rows)
+            if langs and len(rows):
+                at = np.minimum(np.searchsorted(table, grams), len(table) - 1)
+                own = places[np.where(table[at] == grams, at, len(table))]
+                far = np.where(own < 0, size, np.abs(own - ranks[:, None]))
+                total = np.stack([np.bincount(rows, far[:, i], piece.num_rows) for i in range(len(langs))], 1)
+                best = total.argmin(1)
+                scores = np.where(n > 0, 1 - total[np.arange(len(n)), best] / np.maximum(n * size, 1), 0.0)
+                names = [langs[b] if k else "und" for b, k in zip(best, n, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns, pa.array(names, pa.string()), pa.array(scores)], [*piece.schema.names, "lang_pred", "score"]
+            )
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL("lang_pred string, score double").fields]))
 
