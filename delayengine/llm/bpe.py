@@ -1,14 +1,11 @@
-"""Byte-level BPE as a transducer over bytes, and streaming decoding.
-
-Encoding. The BPE encoding of a prefix is that of a shorter prefix plus one last token, and a
-sequence of tokens is an encoding exactly when each two neighbours are the encoding of their
-joined bytes. So one left-to-right pass suffices: after each byte, the last token is the one
-that ends there and may follow the last token of where it starts. Only starts from which some
-longer token may still grow stay alive; tokens on which all live starts agree can't change any
-more and are emitted at once. What is left, the token before and the bytes since, is the state of
-a deterministic transducer. States and transitions are made when first met. Beyond a fixed number they
-are used once and not kept, and after many such all are thrown away, so memory is bounded whatever the
-text; lookahead is bounded by the longest token.
+"""Byte-level BPE as a transducer over longest matches, and streaming decoding.
+
+Encoding. A sequence of tokens is an encoding exactly when each two neighbours are the encoding of their
+joined bytes, and a text has one encoding. So a transducer suffices whose state is the last token: it reads the
+longest token that matches the bytes ahead and writes the longest of that token's prefixes that may follow. If
+nothing may, the last token gives way to its next shorter prefix; a place from which no way went on is not
+entered again, so the time follows the number of bytes. Transitions are made when first met. Beyond a fixed number
+they are used once and not kept, and after many such all are thrown away, so memory is bounded whatever the text.
 
 Decoding. Blocks of ids become bytes by one numpy gather; a UTF-8 state machine
 carries an unfinished character from block to block.
@@ -38,54 +35,50 @@ from delayengine.llm.scratch import alone, holds
 from delayengine.llm.words import pieces
 
 MAX_VOCABULARY_BYTES = 64 << 20
-MAX_STATES = 80_000
-FEW_STATES = 20_000  # some 65 MB less in a worker, for a third more time
+MAX_STATES = 250_000  # some 20 MB
+FEW_STATES = 80_000
 MAX_PIECES = 300_000
 BLOCK = 65_536
+_NONE: dict = {}
 
 
-class _State:
-    """``live``: for each start that may still matter, the trie node of the bytes since, and the
-    encoding up to it; ``done`` is the encoding of the whole tail."""
-
-    __slots__ = ("before", "done", "live", "next", "tail")
-
-    def __init__(self, before: int, tail: bytes, live: list[tuple[tuple, tuple[int, ...]]], done: tuple[int, ...]):
-        self.before, self.tail, self.live, self.done = before, tail, live, done
-        self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
-
-
-_BYTES = [bytes((b,)) for b in range(256)]
-
-
-def _trie(words: list[bytes], ranks: dict[bytes, int], depth: int = 0) -> tuple[dict | None, int | None]:
-    """The node of the words' first ``depth`` bytes, which they share: its children by byte, and the token that ends there."""
-    own = None
+def _trie(words: list[bytes], ranks: dict[bytes, int], depth: int = 0) -> tuple[dict, int]:
+    """The node of the words' first ``depth`` bytes, which they share: its children by byte, and the token that ends there, or -1."""
+    own = -1
     if len(words[0]) == depth:  # in order, the shortest comes first
         own, words = ranks[words[0]], words[1:]
     children = {b: _trie(list(group), ranks, depth + 1) for b, group in itertools.groupby(words, lambda w: w[depth])}
-    return children or None, own
+    return children or _NONE, own
+
+
+def _prefixes(words: list[bytes], ranks: dict[bytes, int]) -> dict[int, int]:
+    """For each token the longest shorter one that it begins with, or -1; the words are in order."""
+    out, around = {}, []
+    for word in words:
+        while around and not word.startswith(around[-1]):
+            around.pop()
+        out[ranks[word]] = ranks[around[-1]] if around else -1
+        around.append(word)
+    return out
 
 
 class Transducer:
-    """Encodes one piece of text, state by state; ``ranks`` maps a token's bytes to its id."""
+    """Encodes one piece of text, token by token; ``ranks`` maps a token's bytes to its id, later than its two halves' ids.
+
+    ``states``: for a last token (-1 before the first) and a matching one, the longest prefix of the latter that may
+    follow the former, or -1.
+    """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {v: k for k, v in ranks.items()}
-        children, _ = _trie(sorted(ranks), ranks) if ranks else (None, None)
-        self.root = children or {}, None
+        words = sorted(w for w in ranks if w)
+        self.root = _trie(words, ranks)[0] if words else _NONE
+        self.shorter = _prefixes(words, ranks)
+        self.longest = max(map(len, words), default=0)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.follows: dict[int, bool] = {}
-        self.states: dict[tuple[int, bytes], _State] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        for state in self.states.values():
-            state.next.clear()  # no cycles are left for the garbage collector
+        self.states: dict[int, int] = {}
         self.missed = 0
-        self.start = _State(-1, b"", [(self.root, ())], ())
-        self.states = {(-1, b""): self.start}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a byte, and for a token that merges never make."""
@@ -107,90 +100,85 @@ class Transducer:
         seam that is a token itself would have merged, had its turn come before the merge that was undone last.
         A token that merges never make follows nothing.
         """
-        known = self.follows.get(left << 32 | right)
-        if known is None:
-            if len(self.follows) >= 4 * self.max_states:
-                self.follows.clear()
-            a, b, turn = left, right, 1 << 60
-            known = None if self._made(right) else False
-            if left < 0 and known is None:
-                known = True
-            while known is None:
-                over = self.ranks.get(self.tokens[a] + self.tokens[b], 1 << 60)
-                if over < turn:
-                    known = False
-                elif a > b:
-                    halves = self._halves(a)
-                    if halves:
-                        a, turn = halves[1], a
-                    elif (halves := self._halves(b)) and b < turn:
-                        b, turn = halves[0], b + 1
-                    else:
-                        known = True
+        if not self._made(right):
+            return False
+        if left < 0:
+            return True
+        a, b, turn = left, right, 1 << 60
+        while True:
+            over = self.ranks.get(self.tokens[a] + self.tokens[b], 1 << 60)
+            if over < turn:
+                return False
+            if a > b:
+                halves = self._halves(a)
+                if halves:
+                    a, turn = halves[1], a
+                elif (halves := self._halves(b)) and b < turn:
+                    b, turn = halves[0], b + 1
                 else:
-                    halves = self._halves(b)
-                    if halves:
-                        b, turn = halves[0], b + 1
-                    elif halves := self._halves(a):
-                        a, turn = halves[1], a
-                    else:
-                        known = True
-            self.follows[left << 32 | right] = known
-        return known
+                    return True
+            else:
+                halves = self._halves(b)
+                if halves:
+                    b, turn = halves[0], b + 1
+                elif halves := self._halves(a):
+                    a, turn = halves[1], a
+                else:
+                    return True
 
     def _made(self, token: int) -> bool:
         """Whether merges make this token, so that it can stand in an encoding."""
         return len(self.tokens[token]) == 1 or self._halves(token) is not None
 
-    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        before, follows, live, path = state.before, self.follows, [], None
-        for node, own in state.live:  # from the longest token to the shortest
-            node = node[0].get(byte)
+    def _match(self, data: bytes, at: int) -> int:
+        """The longest token that the bytes begin with at a place, or -1."""
+        children, found = self.root, -1
+        for byte in data[at:at + self.longest]:
+            node = children.get(byte)
             if node is None:
-                continue
+                break
             children, token = node
-            if children:
-                live.append((node, own))
-            if path is None and token is not None:
-                left = own[-1] if own else before
-                known = follows.get(left << 32 | token)
-                if known or known is None and self._may_follow(left, token):
-                    path = (*own, token)
-        if path is None:
-            raise ValueError(f"the vocabulary has no token for byte {byte}")
-        tail, out = state.tail + _BYTES[byte], ()
-        if not live:
-            before, tail, out, path = path[-1], b"", path, ()
-        elif live[0][1]:  # no token that begins with the tail can grow any more
-            agreed, most = 0, min(len(path), *(len(own) for _, own in live))
-            while agreed < most and all(own[agreed] == path[agreed] for _, own in live):
-                agreed += 1
-            if agreed:
-                out, path = path[:agreed], path[agreed:]
-                before, tail = out[-1], tail[sum(len(self.tokens[t]) for t in out):]
-                live = [(node, own[agreed:]) for node, own in live]
-        key = before, tail
-        found = self.states.get(key)
-        if found is None:
-            live.append((self.root, path))
-            found = _State(before, tail, live, path)
-            if len(self.states) >= self.max_states:  # full: the state is used once, those met first stay
-                self.missed += 1
-                return found, out
-            self.states[key] = found
-        state.next[byte] = pair = found, out
-        return pair
+            if token >= 0:
+                found = token
+        return found
+
+    def _step(self, left: int, token: int) -> int:
+        key = left << 32 | token
+        while token >= 0 and not self._may_follow(left, token):
+            token = self.shorter[token]
+        if len(self.states) < self.max_states:
+            self.states[key] = token
+        else:  # full: the transition is used once, those met first stay
+            self.missed += 1
+        return token
 
     def encode(self, data: bytes) -> list[int]:
         if self.missed > 8 * self.max_states:  # the texts may have changed
-            self._forget()
-        state, out, step = self.start, [], self._step
-        for byte in data:
-            found = state.next.get(byte)
-            state, done = found if found else step(state, byte)
-            if done:
-                out += done
-        return [*out, *state.done]
+            self.states.clear()
+            self.missed = 0
+        known, tokens, match = self.states.get, self.tokens, self._match
+        out, left, at, end, closed = [], -1, 0, len(data), set()
+        token = match(data, 0)
+        while at < end:
+            if token >= 0:
+                found = known(left << 32 | token)
+                token = self._step(left, token) if found is None else found
+            if token < 0:  # no way goes on from here
+                if not out:
+                    raise ValueError(f"the vocabulary has no tokens for {data[:64]!r}")
+                closed.add(at)
+                last = out.pop()
+                at -= len(tokens[last])
+                left, token = out[-1] if out else -1, self.shorter[last]
+                continue
+            to = at + len(tokens[token])
+            if to in closed:
+                token = self.shorter[token]
+                continue
+            out.append(token)
+            left, at = token, to
+            token = match(data, at)
+        return out
 
 
 class _Met(dict):
@@ -355,10 +343,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", i
         own = codec()
         for batch in batches:
             for piece in pieces(batch, text):
-                gc.disable()  # the transducer makes many objects, and cuts its cycles itself
                 found = _lists([own.encode(t or "") for t in piece.column(text).to_pylist()])
-                gc.freeze()
-                gc.enable()
                 yield pa.RecordBatch.from_arrays([*piece.columns, found], [*piece.schema.names, ids])
 
     return docs.mapInArrow(run, _added(docs, ids, "array<int>"))
@@ -381,22 +366,21 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", te
     return coded.mapInArrow(run, _added(coded, text, "string"))
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def round_trip(
+    docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", max_states: int = FEW_STATES
+) -> DataFrame:
     """``docs`` with ``encode``'s ids and ``decode``'s text of them instead of the text, by one worker a task: each worker holds a codec.
 
-    It keeps few states, as it ends a job whose earlier stages have made their executors large.
+    It keeps few states unless told otherwise, as it ends a job whose earlier stages have made their executors large.
     """
-    codec = _shared(docs, vocabulary, pattern, FEW_STATES)
+    codec = _shared(docs, vocabulary, pattern, max_states)
     rest = [c for c in docs.columns if c != text]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec()
         for batch in batches:
             for piece in pieces(batch, text):
-                gc.disable()  # as in ``encode``
-                coded = [np.asarray(own.encode(t or "")) for t in piece.column(text).to_pylist()]
-                gc.freeze()
-                gc.enable()
+                coded = [own.encode(t or "") for t in piece.column(text).to_pylist()]
                 texts = pa.array([own.decode(x) for x in coded], pa.string())
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), _lists(coded), texts], [*rest, ids, decoded])
 
@@ -412,5 +396,5 @@ def digest_columns(ids: str = "ids", decoded: str = "decoded") -> list[Column]:
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text."""
-    coded = encode(docs.select("doc_id", "text"), vocabulary, pattern).select("doc_id", "ids")
-    return decode(coded, vocabulary, pattern).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digest_columns())
+    coded = round_trip(docs.select("doc_id", "text"), vocabulary, pattern, max_states=MAX_STATES)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digest_columns())

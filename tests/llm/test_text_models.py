@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from delayengine.llm import bpe, language, ngram_lm, toxicity, words
+from delayengine.llm import bpe, language, ngram_lm, scratch, toxicity, words
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -67,6 +68,32 @@ def test_the_pipeline_keeps_few_states(codecs):
     assert bpe.FEW_STATES < codecs[0].met.transducer.max_states
 
 
+def test_new_words_take_little_memory(codecs):
+    rng = random.Random(3)
+    fresh = ["".join(rng.choice(["in", "the", "on", "er", "at", "ou", "sh", "nt"]) for _ in range(6)) for _ in range(3000)]
+    own = bpe.Transducer(codecs[0].met.ranks)
+    tracemalloc.start()
+    try:
+        for word in fresh:
+            own.encode(word.encode())
+        assert tracemalloc.get_traced_memory()[0] < 2e6
+    finally:
+        tracemalloc.stop()
+    assert all(own.encode(w.encode()) == codecs[1].encode_ordinary(w) for w in fresh if w.encode() not in own.ranks)
+
+
+def test_a_vocabulary_without_a_byte():
+    own = bpe.Transducer({b"a": 0, b"b": 1, b"ab": 2})
+    assert own.encode(b"aabb") == [0, 2, 1] and own.encode(b"") == []
+    with pytest.raises(ValueError):
+        own.encode(b"abz")
+
+
+def test_digests_take_one_python_step(documents):
+    plan = bpe.digests(documents, PATH, public_tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_unfinished_characters_wait():
     data = "aé漢🎉".encode()
     for cut in range(len(data) + 1):
@@ -166,6 +193,21 @@ def test_grams_of_a_batch(odd):
     assert [got[i] for i in range(len(texts))] == [plain_grams(t) for t in texts]
 
 
+def test_language_steps_are_alone_and_small(monkeypatch):
+    gone = []
+    monkeypatch.setitem(scratch._held, "byte_bpe", lambda: gone.append("byte_bpe"))
+    batch = pa.RecordBatch.from_pydict({"text": ["some words " * 2000, None] * 60})
+    found = list(language._bounded(iter([batch])))
+    assert gone == ["byte_bpe"] and pa.Table.from_batches(found).equals(pa.Table.from_batches([batch]))
+    tracemalloc.start()
+    try:
+        for piece in found:
+            language.gram_counts(language._texts(piece, "text"))
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_language_held_out(spark, documents):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.predict_corpus(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out")
