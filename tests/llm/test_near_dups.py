@@ -1,6 +1,7 @@
 """Near duplicates against a comparison of all pairs; line deduplication against a walk over all lines."""
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from delayengine.llm import components, lines, near_dups
+from delayengine.llm.packed import unpack
 from delayengine.llm.words import texts_of, words_of
 
 
@@ -187,3 +189,16 @@ def test_entries_are_ordered_and_paired_as_columns_say():
     near = {(x, y) for x in range(300) for y in range(x + 1, 300) if word[x] == word[y] and min(size[x], size[y]) >= 0.8 * max(size[x], size[y]) - 1e-9}
     assert len(got) == len(set(got)) and set(got) == near
     assert list(lines._steps(word[:0], size[:0], 0.8)) == [] or not len(next(lines._steps(word[:0], size[:0], 0.8))[0])
+
+
+def test_counting_words_takes_one_set_of_counters():
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i % 70_000}" for i in range(k, k + 100_000)) for k in range(0, 900_000, 100_000)] + [None]})
+    tracemalloc.start()
+    try:
+        (found,) = lines._counted(iter([batch]))
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    counts = np.concatenate([unpack(b)[0] for b in found.column("block").to_pylist()])
+    want = np.bincount(lines._counter(words_of(texts_of(batch.column("text"))).hashes >> np.uint64(64 - lines._BITS)), minlength=len(counts))
+    assert (counts == want).all() and counts.sum() == 900_000
